@@ -18,8 +18,10 @@ EVENT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 _BLANKS = r"[\x00-\x20\x7f]*"
 
 _SHORT_INT = r"^[0-9]{1,9}\z"
-# The integer part of a decimal number; ten significant digits hold every int.
-_INT_PART = rf"^{_BLANKS}[+-]?0*[0-9]{{1,10}}(?=(?:\.[0-9]*)?{_BLANKS}\z)"
+# The integer part of a decimal number, below 2 200 000 000. That holds every int, and leaves only
+# a thin band of too large numbers for the cast itself to refuse.
+_DIGITS = r"0*(?:[0-9]{1,9}|1[0-9]{9}|2[01][0-9]{8})"
+_INT_PART = rf"^{_BLANKS}[+-]?{_DIGITS}(?=(?:\.[0-9]*)?{_BLANKS}\z)"
 _NO_INT_PART = rf"^{_BLANKS}[+-]?\.[0-9]*{_BLANKS}\z"
 
 # Spellings of true and false, any case.

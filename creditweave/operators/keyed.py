@@ -43,14 +43,14 @@ def upsert(
     without ``order`` it must hold one row per key as well. Columns only used for ordering are
     dropped, so the result has the columns of ``base``.
 
-    The replaced rows leave by an anti join, so only keys meet and nothing of ``base`` is sorted or
-    aggregated. If the runtime size of the changed keys is under the broadcast threshold, ``base``
-    is not shuffled at all; above it the planner falls back to a shuffled join.
+    Keys are never NULL here (see :func:`split_not_null`). The replaced rows leave by an anti join
+    on the changed keys alone. While those keys are under the broadcast threshold at run time,
+    ``base`` is neither shuffled nor sorted; above it the planner takes a shuffled join on the key,
+    which a table bucketed by the key already satisfies.
     """
     newest = latest_per_key(changes, keys, order) if order else changes
-    replaced = changes.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
-    matches: list[Column] = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    kept = base.join(replaced, on=matches, how="left_anti")
+    replaced = changes.select(*keys).distinct()
+    kept = base.join(replaced, on=list(keys), how="left_anti").select(*base.columns)
     return kept.unionByName(newest.select(*base.columns))
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,9 +37,10 @@ def decision_rules() -> dict[str, Column]:
 
 def decision_violations(clean: DataFrame) -> DataFrame:
     """Applications that break a rule, with the array ``violated_rules``."""
-    named = [F.when(broken, name) for name, broken in decision_rules().items()]
-    return clean.withColumn("violated_rules", F.array_compact(F.array(*named))).filter(
-        F.size("violated_rules") > 0
+    rules = decision_rules()
+    named = [F.when(broken, name) for name, broken in rules.items()]
+    return clean.filter(reduce(or_, rules.values())).withColumn(
+        "violated_rules", F.array_compact(F.array(*named))
     )
 
 
