@@ -138,9 +138,26 @@ VIEWS = {
 }
 
 
+# The key of each table that a view multiplies into its rows.
+_ROW_KEYS = {"orders": "o_orderkey", "events": "event_id"}
+
+
+def _spread(spark: SparkSession, table: str, rows: DataFrame) -> DataFrame:
+    """Spread a table that comes in fewer splits than there are cores.
+
+    The given files are single row groups, so that one task would do all the work. A table of
+    many splits, as on a cluster, is left as it is read.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    if table in _ROW_KEYS and rows.rdd.getNumPartitions() < cores:
+        return rows.repartition(cores, _ROW_KEYS[table])
+    return rows
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A view over the tables in ``sf_dir``."""
     use_utc(spark)
     for table in SOURCE_TABLES:
-        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+        rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+        _spread(spark, table, rows).createOrReplaceTempView(table)
     return spark.sql(VIEWS[name])

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from creditweave.operators import encode_events, flatten_events, parse_events, payload_volume
 from creditweave.schemas import MESSAGE_DDL
-from creditweave.sinks import to_messages
+from creditweave.sinks import publish_events, to_messages
+from creditweave.sources import KafkaConnection
 
 EVENT = {
     "application_id": "loan_784512",
@@ -128,3 +129,10 @@ def test_messages_are_parsed_once(spark):
 def test_source_columns_beyond_the_contract_are_ignored(spark):
     extended = messages(spark, json.dumps(EVENT)).withColumns({"key": F.lit("k"), "headers": F.lit(None)})
     assert parse_events(extended).columns[:4] == ["topic", "partition", "offset", "kafka_timestamp"]
+
+
+def test_publishing_reports_what_was_sent(spark):
+    rows = records(spark, [(f"loan_{i}", "c" * 1000) + (None,) * 8 for i in range(5000)])
+    report = publish_events(rows, KafkaConnection("a:9092"), "t", sink="noop")
+    assert report == payload_volume(to_messages(rows, "t")).first().asDict()
+    assert report["messages"] == 5000
