@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from creditweave.session import use_utc
 
-SOURCE_TABLES = ("orders", "customer", "nation", "region", "events")
+_APPLICATION_TABLES = ("orders", "customer", "nation", "region")
 
 APPLICATIONS_RAW = """
 SELECT CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE concat('app_', cast(o_orderkey AS varchar(20))) END AS application_id,
@@ -137,6 +137,16 @@ VIEWS = {
     "f_event_records": EVENT_RECORDS,
 }
 
+# The given tables that each view reads.
+SOURCES = {
+    "f_applications_raw": _APPLICATION_TABLES,
+    "f_event_messages": _APPLICATION_TABLES,
+    "f_transactions": ("events",),
+    "f_number_text": ("orders",),
+    "f_boolean_text": ("orders",),
+    "f_time_text": ("orders",),
+    "f_event_records": _APPLICATION_TABLES,
+}
 
 # The key of each table that a view multiplies into its rows.
 _ROW_KEYS = {"orders": "o_orderkey", "events": "event_id"}
@@ -157,7 +167,7 @@ def _spread(spark: SparkSession, table: str, rows: DataFrame) -> DataFrame:
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A view over the tables in ``sf_dir``."""
     use_utc(spark)
-    for table in SOURCE_TABLES:
+    for table in SOURCES[name]:
         rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
         _spread(spark, table, rows).createOrReplaceTempView(table)
     return spark.sql(VIEWS[name])

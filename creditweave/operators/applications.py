@@ -21,9 +21,9 @@ _FROM_TEXT = {
 _DECIDING = ("event_time", "requested_amount", "credit_score")
 
 
-def _typed(df: DataFrame, name: str) -> Column:
+def _typed(schema: T.StructType, name: str) -> Column:
     target = CLEAN_APPLICATIONS[name].dataType
-    source = df.schema[name].dataType
+    source = schema[name].dataType
     if source == target:
         return F.col(name)
     if isinstance(source, T.StringType) and target in _FROM_TEXT:
@@ -38,9 +38,10 @@ def clean_applications(raw: DataFrame) -> DataFrame:
     The deciding columns are parsed once inside ``inline``: a plain filter above the projection
     would be pushed below it and parse them a second time for every row.
     """
+    schema = raw.schema
     parsed = raw.filter(F.col("application_id").isNotNull()).select(
         *[name for name in APPLICATION_COLUMNS if name not in _DECIDING],
-        F.inline(F.array(F.struct(*[_typed(raw, name).alias(name) for name in _DECIDING]))),
+        F.inline(F.array(F.struct(*[_typed(schema, name).alias(name) for name in _DECIDING]))),
     )
     kept = parsed.filter(
         F.col("event_time").isNotNull()
@@ -48,5 +49,5 @@ def clean_applications(raw: DataFrame) -> DataFrame:
         & F.col("credit_score").between(MIN_SCORE, MAX_SCORE)
     )
     return kept.select(
-        *[name if name in _DECIDING else _typed(raw, name) for name in APPLICATION_COLUMNS]
+        *[name if name in _DECIDING else _typed(schema, name) for name in APPLICATION_COLUMNS]
     )
