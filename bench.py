@@ -31,7 +31,7 @@ from creditweave.streaming import await_query, start_flatten  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+RUNS = int(os.environ.get("BENCH_RUNS", "1"))
 
 
 def drain(df: DataFrame) -> None:

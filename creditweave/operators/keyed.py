@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,6 +54,28 @@ def upsert(
     return kept.unionByName(newest.select(*base.columns))
 
 
+def merge_upsert(
+    table: str, changes: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
+) -> None:
+    """The same upsert as ``MERGE INTO`` a catalog table, where its format supports row changes.
+
+    Such a table rewrites the files that hold changed keys instead of the whole snapshot.
+    """
+    columns = changes.sparkSession.table(table).columns
+    newest = latest_per_key(changes, keys, order) if order else changes
+    matches = reduce(and_, [F.col(f"{table}.{key}") == F.col(f"__changes.{key}") for key in keys])
+    (
+        newest.select(*columns)
+        .alias("__changes")
+        .mergeInto(table, matches)
+        .whenMatched()
+        .updateAll()
+        .whenNotMatched()
+        .insertAll()
+        .merge()
+    )
+
+
 def key_violations(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
     return rows.groupBy(*keys).agg(F.count("*").alias("row_count")).filter(F.col("row_count") > 1)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
 from creditweave.operators.events import encode_events
 from creditweave.operators.volume import sent_mb
@@ -30,3 +31,23 @@ def publish_events(
     )
     messages.write.format(sink).mode("append").options(**connection.options()).save()
     return {"topic": topic, **sent.get}
+
+
+def start_publishing(
+    records: DataFrame,
+    connection: KafkaConnection,
+    topic: str,
+    checkpoint: str,
+    sink: str = "kafka",
+    **options: str,
+) -> StreamingQuery:
+    """Publish a stream of records: all that is available, then stop; resumes from the checkpoint."""
+    return (
+        to_messages(records, topic)
+        .writeStream.format(sink)
+        .outputMode("append")
+        .options(**connection.options(), **options)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from creditweave.operators import encode_events, flatten_events, parse_events, payload_volume
 from creditweave.schemas import MESSAGE_DDL
-from creditweave.sinks import publish_events, to_messages
+from creditweave.sinks import publish_events, start_publishing, to_messages
 from creditweave.sources import KafkaConnection
 
 EVENT = {
@@ -136,3 +136,15 @@ def test_publishing_reports_what_was_sent(spark):
     report = publish_events(rows, KafkaConnection("a:9092"), "t", sink="noop")
     assert report == payload_volume(to_messages(rows, "t")).first().asDict()
     assert report["messages"] == 5000
+
+
+def test_publishing_a_stream(spark, tmp_path):
+    rows = records(spark, [(f"loan_{i}",) + (None,) * 9 for i in range(10)])
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for _ in range(2):
+        rows.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        query = start_publishing(stream, KafkaConnection("a:9092"), "t", str(tmp_path / "cp"), "parquet", path=out)
+        assert query.awaitTermination(120)
+    sent = spark.read.parquet(out)
+    assert sent.count() == 20 and sent.columns == ["topic", "key", "value"]

@@ -6,7 +6,14 @@ from datetime import datetime
 import pytest
 
 from creditweave.operators import keyed
-from creditweave.operators.keyed import key_violations, latest_per_key, split_not_null, uint32_violations, upsert
+from creditweave.operators.keyed import (
+    key_violations,
+    latest_per_key,
+    merge_upsert,
+    split_not_null,
+    uint32_violations,
+    upsert,
+)
 from tests.plans import optimized, physical
 
 BASE = "id string, value string, seq int"
@@ -124,3 +131,14 @@ def test_timestamp_order(spark):
     ddl = "id string, at timestamp"
     rows = spark.createDataFrame([("a", datetime(2026, 5, 1)), ("a", datetime(2026, 5, 2)), ("a", None)], ddl)
     assert latest_per_key(rows, ["id"], ["at"]).first()["at"] == datetime(2026, 5, 2)
+
+
+def test_merge_is_left_to_the_table_format(spark, tmp_path):
+    """A plain Parquet table has no row changes; Spark refuses the statement, with the names resolved."""
+    spark.sql(f"CREATE TABLE calls_plain (id string, value string, seq int) USING parquet LOCATION '{tmp_path}/t'")
+    try:
+        changes = spark.createDataFrame([("a", "x", 1, 0)], CHANGES)
+        with pytest.raises(Exception, match="MERGE"):
+            merge_upsert("calls_plain", changes, ["id"], ["batch_no", "seq"])
+    finally:
+        spark.sql("DROP TABLE calls_plain")
