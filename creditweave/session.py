@@ -23,7 +23,7 @@ def build_session(app_name: str) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder that every executor can reach.
+    """Path of a new folder, not made yet, that every executor can reach.
 
     Uses the shared folder named by ``spark.checkpoint.dir``. Only a local session without that
     setting falls back to the machine's temporary folder.
@@ -34,4 +34,4 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     master = spark.conf.get("spark.master", "")
     if not master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a shared folder: a cluster cannot use a local one")
-    return tempfile.mkdtemp(prefix=f"creditweave-{label}-")
+    return f"{tempfile.mkdtemp(prefix='creditweave-')}/{label}"

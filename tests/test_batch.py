@@ -130,5 +130,23 @@ def test_scratch_is_in_the_shared_folder(spark):
     assert first.startswith(shared) and first != second
 
 
+class Unset:
+    """A session whose settings are only those given."""
+
+    def __init__(self, **settings):
+        self.conf = self
+        self.settings = settings
+
+    def get(self, name, default=None):
+        return self.settings.get(name, default)
+
+
+def test_scratch_without_a_shared_folder():
+    local = scratch_dir(Unset(**{"spark.master": "local[4]"}), "x")
+    assert Path(local).parent.is_dir() and not Path(local).exists()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Unset(**{"spark.master": "yarn"}), "x")
+
+
 def test_columns_of_the_contract():
     assert len(APPLICATION_COLUMNS) == 14
