@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditweave.llm import bpe, decontaminate, topk, toxicity, urls
+from creditweave.llm import bpe, decontaminate, jaccard, suffix_dedup, topk, toxicity, urls
 from creditweave.llm.common import documents, remainder, ship_code
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -44,6 +44,16 @@ def op4_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(documents(spark, sf_dir), BYTE_BPE)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return suffix_dedup.deduplicated(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return jaccard.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.leaks(documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "best_window", "matched_words")
@@ -51,18 +61,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Words as lists, seeds as joined words in place of hashes, equal words along every alignment of a hit.
 OP10_SQL = r"""
-WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), x -> x <> '') w FROM documents),
-i AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), x -> x <> '') w FROM benchmark),
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') w FROM documents),
+i AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') w FROM benchmark),
 m AS (SELECT * FROM (VALUES ([1, 2, 4, 5, 7, 8, 10]), ([1, 3, 4, 6, 7, 9, 10])) t(care)),
 dp AS (SELECT doc_id, w, unnest(range(0, len(w) - 9)) p FROM d WHERE len(w) >= 10),
 ip AS (SELECT item_id, w, unnest(range(0, len(w) - 9)) q FROM i WHERE len(w) >= 10),
-ds AS (SELECT doc_id, p, care, list_transform(care, c -> w[p + c]) s FROM dp, m),
-iseed AS (SELECT item_id, q, care, list_transform(care, c -> w[q + c]) s FROM ip, m),
+ds AS (SELECT doc_id, p, care, list_transform(care, lambda c: w[p + c]) s FROM dp, m),
+iseed AS (SELECT item_id, q, care, list_transform(care, lambda c: w[q + c]) s FROM ip, m),
 diag AS (SELECT DISTINCT ds.doc_id, iseed.item_id, ds.p - iseed.q AS off FROM ds JOIN iseed ON ds.care = iseed.care AND ds.s = iseed.s),
 eq AS (SELECT g.doc_id, g.item_id, g.off, len(i.w) n,
-         list_transform(range(1, len(i.w) + 1), k -> CASE WHEN g.off + k >= 1 AND g.off + k <= len(d.w) AND d.w[g.off + k] = i.w[k] THEN 1 ELSE 0 END) e
+         list_transform(range(1, len(i.w) + 1), lambda k: CASE WHEN g.off + k >= 1 AND g.off + k <= len(d.w) AND d.w[g.off + k] = i.w[k] THEN 1 ELSE 0 END) e
        FROM diag g JOIN d ON d.doc_id = g.doc_id JOIN i ON i.item_id = g.item_id),
-scored AS (SELECT doc_id, item_id, n, list_sum(e) matched, list_max(list_transform(range(1, n - least(13, n) + 2), k -> list_sum(e[k : k + least(13, n) - 1]))) best FROM eq)
+scored AS (SELECT doc_id, item_id, n, list_sum(e) matched, list_max(list_transform(range(1, n - least(13, n) + 2), lambda k: list_sum(e[k : k + least(13, n) - 1]))) best FROM eq)
 SELECT doc_id, item_id, CAST(max(best) AS INT) AS best_window, CAST(max(matched) AS INT) AS matched_words
 FROM scored WHERE best >= CASE WHEN n >= 13 THEN 11 ELSE ceil(n * 0.8) END GROUP BY doc_id, item_id
 """
@@ -80,6 +90,8 @@ _ALL = {
     "op2_url_filter": op2_url_filter,
     "op3_toxicity": op3_toxicity,
     "op4_bpe_coding": op4_bpe_coding,
+    "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_jaccard_join": op6_jaccard_join,
     "op10_decontamination": op10_decontamination,
 }
 QUERIES = {name: _with_code(query) for name, query in _ALL.items()}
