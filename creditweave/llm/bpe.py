@@ -18,6 +18,7 @@ import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from creditweave.llm.common import CHUNKS, Memo, pieces
 
@@ -181,4 +182,4 @@ def encode_ids(docs: DataFrame, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], [*batch.schema.names, "token_ids"])
 
     kept = docs.drop("token_ids")
-    return kept.mapInArrow(run, kept.schema.add("token_ids", "array<int>"))
+    return kept.mapInArrow(run, StructType([*kept.schema.fields, StructField("token_ids", ArrayType(IntegerType()))]))

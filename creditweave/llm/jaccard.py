@@ -274,13 +274,14 @@ def _tokens(docs: DataFrame, size: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
-    """``doc_id, key, n_shingles, component_id`` for every row of ``docs``.
+    """``doc_id, key, n_shingles, component_id, component_key`` for every row of ``docs``.
 
     Two documents link when 100 * common >= 80 * union of their sets of distinct ``size``-word shingles;
     the component is the smallest id that links reach, the own id included. Null, empty or blank texts
     have no shingles and stay alone. A null id counts as a document of its own text (``key``) and is
-    never named as a component unless all its members are null, then the component is null. Rows that
-    share an id count as one document. Other columns are left out.
+    never named as a component: one whose members are all null is null. ``component_key`` is the smallest
+    key of the component, so it is never null. Rows that share an id count as one document. Other columns
+    are left out.
     """
     spark = docs.sparkSession
     signed = written(spark, signatures(docs, size), "signatures")
@@ -314,7 +315,8 @@ def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
     labels = components(edges).withColumnRenamed("node", "key")
     # A label made for a null id gives way to the smallest real id of its component.
     real = labels.filter(F.col("label") <= _NULL_KEY).groupBy("label").agg(F.min(F.when(F.col("key") > _NULL_KEY, F.col("key"))).alias("real"))
-    labels = labels.join(real, "label", "left").select("key", F.when(F.col("label") > _NULL_KEY, F.col("label")).otherwise(F.col("real")).alias("component"))
+    labels = labels.join(real, "label", "left").select("key", "label", F.when(F.col("label") > _NULL_KEY, F.col("label")).otherwise(F.col("real")).alias("component"))
     named = signed.select("doc_id", "key", F.col("n").alias("n_shingles")).join(labels, "key", "left")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))
-    return named.select("doc_id", "key", "n_shingles", own.alias("component_id"))
+    group = F.when(F.col("n_shingles") == 0, F.col("key")).otherwise(F.col("label"))
+    return named.select("doc_id", "key", "n_shingles", own.alias("component_id"), group.alias("component_key"))

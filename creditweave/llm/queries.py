@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditweave.llm import bpe, decontaminate, jaccard, suffix_dedup, suffix_tree, topk, toxicity, urls
+from creditweave.llm import bpe, decontaminate, html_text, id_coder, jaccard, suffix_dedup, suffix_tree, topk, toxicity, urls
 from creditweave.llm.common import documents, remainder, ship_code
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -58,6 +58,15 @@ def op7_suffix_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score(documents(spark, sf_dir).select("doc_id", "text"), remainder(F.col("doc_id"), 7) != 2)
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.train(pages))
+
+
+def op9_id_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return id_coder.ids_round_trip(documents(spark, sf_dir).select("doc_id", "text"), BYTE_BPE)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.leaks(documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "best_window", "matched_words")
@@ -97,6 +106,8 @@ _ALL = {
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_suffix_tree_score": op7_suffix_tree_score,
+    "op8_html_text": op8_html_text,
+    "op9_id_coder": op9_id_coder,
     "op10_decontamination": op10_decontamination,
 }
 QUERIES = {name: _with_code(query) for name, query in _ALL.items()}

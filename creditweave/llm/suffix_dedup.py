@@ -332,11 +332,11 @@ _RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``n_bytes, n_removed, n_spans, kept_sha256`` and the ``kept`` bytes of each text.
+    """``docs`` with ``n_bytes, n_removed, n_spans, kept_sha256`` and the ``kept`` text.
 
     Removed is every byte covered by a ``LENGTH``-byte string of UTF-8 that also starts earlier: in a
     document with a smaller id, or earlier in the same one. Strings are judged on the input; overlaps
-    count; none crosses documents. A null text counts as empty. Null ids come before all others, in an
+    count; none crosses documents. ``kept`` leaves out the rest of a character that was cut. A null text counts as empty. Null ids come before all others, in an
     order made from their texts; rows that share an id are ordered by a hash of the text, and rows that
     repeat both id and text all keep what one of them keeps. Columns with the names above are replaced.
     """
@@ -360,11 +360,11 @@ def deduplicated(docs: DataFrame) -> DataFrame:
                         pieces.append(data[at:b])
                         removed, n, at = removed + int(e - b), n + 1, int(e)
                 pieces.append(data[at:])
-                rest = b"".join(pieces)
-                for column, value in zip(out, (len(data), removed, n, hashlib.sha256(rest).hexdigest(), rest), strict=True):
+                text_left = "".join(p.decode("utf-8", "ignore") for p in pieces)
+                for column, value in zip(out, (len(data), removed, n, hashlib.sha256(b"".join(pieces)).hexdigest(), text_left), strict=True):
                     column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *(pa.array(v, k) for v, k in zip(out, kinds, strict=True))], names)
 
-    schema = StructType([*kept.schema.fields, *StructType.fromDDL(_RESULT + ", kept binary").fields])
+    schema = StructType([*kept.schema.fields, *StructType.fromDDL(_RESULT + ", kept string").fields])
     return joined.select(*kept.columns, "spans").mapInArrow(run, schema)
