@@ -23,29 +23,21 @@ BROADCAST_SEEDS = 2_000_000
 
 def word_hashes(text: Column) -> Column:
     """64-bit hashes of the lower-cased words of a text; none for a null or empty text."""
-    words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D]+")
-    return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
-
-
-def _windows(n_words: Column) -> Column:
-    """Start positions of the windows of ``SPAN`` words."""
-    return F.when(n_words >= SPAN, F.sequence(F.lit(0), n_words - SPAN)).otherwise(F.array().cast("array<int>"))
-
-
-def _seeds(words: Column, n_words: Column, masks: Sequence[str]) -> Column:
-    """Seed hashes of all windows, mask after mask."""
-
-    def seed(number: int, mask: str):
-        return lambda p: F.xxhash64(F.lit(number), *(F.get(words, p + i) for i, bit in enumerate(mask) if bit == "1"))
-
-    return F.concat(*(F.transform(_windows(n_words), seed(number, mask)) for number, mask in enumerate(masks)))
+    bare = F.btrim(F.lower(F.coalesce(text, F.lit(""))), F.lit(" \t\n\x0b\x0c\r"))
+    words = F.transform(F.split(bare, r"[\x20\x09-\x0D]+"), lambda w: F.xxhash64(w))
+    return F.when(bare == "", F.array().cast("array<bigint>")).otherwise(words)
 
 
 def _seed_rows(table: DataFrame, masks: Sequence[str]) -> DataFrame:
-    """``table`` (with ``words``) with one row per seed: ``seed`` and the window's start ``at``."""
-    counted = table.withColumn("n_words", F.size("words"))
-    rows = counted.select("*", F.posexplode(_seeds(F.col("words"), F.col("n_words"), masks)).alias("_k", "seed"))
-    return rows.withColumn("at", F.col("_k") % (F.col("n_words") - SPAN + 1)).drop("_k")
+    """``table`` (with ``words``) with one row per seed: ``seed``, and ``at``, the start of its window.
+
+    The windows are exploded as positions, and the hashes are plain expressions on the rows, so the whole
+    step stays in generated code; the words ride along by reference.
+    """
+    starts = F.when(F.size("words") >= SPAN, F.sequence(F.lit(0), F.size("words") - SPAN))
+    windows = table.withColumn("at", F.explode(starts))
+    by_mask = [F.xxhash64(F.lit(number), *(F.get("words", F.col("at") + i) for i, bit in enumerate(mask) if bit == "1")) for number, mask in enumerate(masks)]
+    return windows.withColumn("seed", F.explode(F.array(*by_mask)))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = MASKS) -> DataFrame:
@@ -57,19 +49,26 @@ def leaks(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = MASKS) -
     ``text_hash`` tells apart texts with the same or a null ``doc_id``; repeated rows give one. Null or
     empty texts, and items under ``SPAN`` words, have no seeds and never match. Other columns are left out.
     """
-    items = benchmark.select("item_id", word_hashes(F.col("text")).alias("item")).filter(F.size("item") >= SPAN)
-    item_seeds = _seed_rows(items.withColumnRenamed("item", "words"), masks)
+    items = benchmark.select("item_id", word_hashes(F.col("text")).alias("words")).filter(F.size("words") >= SPAN)
     # Items with equal words at a place give one seed row each; the pairs below are kept apart by item_id.
-    item_seeds = item_seeds.select("seed", F.col("at").alias("item_at"), "item_id", F.col("words").alias("item")).distinct()
-    if item_seeds.count() <= BROADCAST_SEEDS:
-        item_seeds = F.broadcast(item_seeds)
+    seeds = _seed_rows(items, masks).select("seed", F.col("at").alias("item_at"), "item_id", F.col("words").alias("item")).distinct()
     texts = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), word_hashes(F.col("text")).alias("words"))
-    hits = _seed_rows(texts, masks).join(item_seeds, "seed")
-    start = F.col("at") - F.col("item_at")
-    skipped, size = F.greatest(-start, F.lit(0)), F.size("item")
-    # The part of the text that lies along the item, taken here so that no whole text leaves this stage.
-    beside = F.slice("words", F.greatest(start, F.lit(0)) + 1, size - skipped)
-    hits = hits.select("doc_id", "text_hash", "item_id", "item", skipped.alias("skipped"), beside.alias("beside"), size.alias("size"))
+    start = (F.col("at") - F.col("item_at")).alias("start")
+    if seeds.count() <= BROADCAST_SEEDS:
+        hits = _seed_rows(texts, masks).join(F.broadcast(seeds), "seed").select("doc_id", "text_hash", "item_id", start, "item", "words")
+    else:
+        # Seeds shuffle without the words, which come back to the alignments that were hit.
+        met = _seed_rows(texts, masks).select("doc_id", "text_hash", "at", "seed").join(seeds.drop("item"), "seed")
+        met = met.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "item_id", start).distinct()
+        same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+        hits = texts.join(met, same).join(items.withColumnRenamed("words", "item"), "item_id")
+    # The part of the text that lies along the item; no whole text leaves the stage of the join, and each
+    # alignment is looked at once.
+    size, skipped = F.size("item"), F.greatest(-F.col("start"), F.lit(0))
+    beside = F.slice("words", F.greatest(F.col("start"), F.lit(0)) + 1, size - skipped)
+    hits = hits.select("doc_id", "text_hash", "item_id", "start", "item", beside.alias("beside"))
+    hits = hits.groupBy("doc_id", "text_hash", "item_id", "start").agg(F.first("item").alias("item"), F.first("beside").alias("beside"))
+    hits = hits.withColumns({"size": size, "skipped": skipped})
     aligned = F.transform("item", lambda w, i: F.coalesce((F.get("beside", i - F.col("skipped")) == w).cast("int"), F.lit(0)))
     hits = hits.withColumn("equal", aligned)
     width = F.least(F.lit(WINDOW), F.col("size"))
