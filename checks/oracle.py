@@ -62,11 +62,11 @@ FROM f_documents
 _CALL_COLUMNS = ", ".join(TRANSACTION_COLUMNS)
 
 
-def _latest(where: str) -> str:
+def _latest(where: str, view: str = "f_transactions") -> str:
     return f"""
     SELECT {_CALL_COLUMNS} FROM (
       SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY batch_no DESC, seq DESC) AS rn
-      FROM f_transactions WHERE {where}) t
+      FROM {view} WHERE {where}) t
     WHERE rn = 1"""
 
 
@@ -131,7 +131,14 @@ _ALLOWED = (
 )
 _LOAN_ID = "printf('loan_%09d', row_number)"
 _DAY_NUMBER = "concat(strftime(submitted_at, '%Y%m%d'), printf('_%09d', row_number))"
-_ISO = "strftime(submitted_at, '%Y-%m-%dT%H:%M:%SZ')"
+def _iso(column: str) -> str:
+    return (
+        f"CASE WHEN microsecond({column}) % 1000000 = 0 THEN strftime({column}, '%Y-%m-%dT%H:%M:%SZ') "
+        f"ELSE strftime({column}, '%Y-%m-%dT%H:%M:%S.%fZ') END"
+    )
+
+
+_ISO = _iso("submitted_at")
 
 
 def _document(which: str) -> str:
@@ -157,7 +164,7 @@ FROM f_event_records
 ROUND_TRIP = f"""
 SELECT row_number AS "offset", {_LOAN_ID} AS application_id, customer_id, region_code, loan_amount,
   term_months, credit_score, {_BAND} AS risk_level, decision_status,
-  date_trunc('second', submitted_at) AS submitted_at, document_type, document_status
+  submitted_at, document_type, document_status
 FROM (
   SELECT *, first_type AS document_type, first_status AS document_status FROM f_event_records
   UNION ALL
@@ -231,6 +238,8 @@ ORACLES: dict[str, str] = {
     "flatten_events": _event_query(FLAT),
     "stream_flatten": _event_query(FLAT),
     "stream_resume": _event_query(FLAT),
+    "stream_bounded_drain": _event_query(FLAT),
+    "stream_rebind": _event_query(FLAT),
     "event_encode": _record_query(EVENT_TEXT),
     "event_round_trip": _record_query(ROUND_TRIP),
     "payload_volume": _with(
@@ -248,6 +257,7 @@ ORACLES: dict[str, str] = {
         f"""SELECT {_LOAN_ID} AS loan_id, concat('app_', {_DAY_NUMBER}) AS application_id,
               concat('call_', {_DAY_NUMBER}) AS call_id FROM f_event_records"""
     ),
+    "iso_utc_event_text": _call_query(f"SELECT seq, {_iso('call_time')} AS call_time_text FROM f_transactions"),
     "iso_utc_text": _record_query(f"SELECT row_number, {_ISO} AS submitted_text FROM f_event_records"),
     "decision_rule_violations": _clean_query(
         f"""SELECT application_id, {_BROKEN_NAMES} AS violated_rules FROM f_clean
@@ -263,9 +273,19 @@ ORACLES: dict[str, str] = {
         """SELECT seq, call_status, CASE WHEN call_status = 'answered' THEN client_response ELSE 'unknown' END
              AS client_response FROM f_transactions"""
     ),
-    "transactions_snapshot": _call_query(BASE),
-    "transactions_snapshot_csv": _call_query(f"SELECT * REPLACE (date_trunc('second', call_time) AS call_time) FROM ({BASE}) b"),
+    "transactions_snapshot": _call_query(UPSERTED),
+    "transactions_snapshot_csv": _call_query(
+        f"""SELECT * REPLACE (duration_sec + CASE WHEN duration_sec % 3 = 0 THEN 3000000000 ELSE 0 END AS duration_sec)
+            FROM ({UPSERTED}) b"""
+    ),
     "transactions_upsert": _call_query(UPSERTED),
+    "transactions_upsert_wide": _with(("f_transactions_wide",), {}, _latest("true", "f_transactions_wide")),
+    "transactions_upsert_keys": _with(
+        ("f_transactions_wide",),
+        {},
+        f"""SELECT call_id, count(*) AS row_count FROM ({_latest("true", "f_transactions_wide")}) t
+            GROUP BY call_id HAVING count(*) > 1""",
+    ),
     "transactions_upsert_rows": _call_query(
         f"""{BASE} AND call_id NOT IN ('call_20260501_001', 'call_20260501_002')
             UNION ALL SELECT * FROM (VALUES

@@ -39,8 +39,8 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    calls = view(spark, sf_dir, "f_transactions")
+def _calls(spark: SparkSession, sf_dir: str, name: str = "f_transactions") -> DataFrame:
+    calls = view(spark, sf_dir, name)
     return calls.withColumn("call_time", F.col("call_time").cast("timestamp"))
 
 
@@ -88,16 +88,22 @@ def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transactions_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base, _ = _call_table(_calls(spark, sf_dir))
+    """Both batches: the table after the upsert, exported and read back."""
     path = scratch_dir(spark, "snapshot")
-    write_snapshot(base, path)
+    write_snapshot(transactions_upsert(spark, sf_dir), path)
     return read_snapshot(spark, path)
 
 
 def transactions_snapshot_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base, _ = _call_table(_calls(spark, sf_dir))
+    """The same table as CSV: times in three ISO spellings, numbers of the whole unsigned range in four."""
+    table = transactions_upsert(spark, sf_dir)
+    number = F.col("duration_sec") + F.when(F.col("duration_sec") % 3 == 0, 3_000_000_000).otherwise(0)
+    plain, turn = number.cast("string"), F.col("duration_sec") % 4
+    numbers = F.when(turn == 0, plain).when(turn == 1, F.concat(F.lit(" "), plain)).when(turn == 2, F.concat(plain, F.lit(".0"))).otherwise(F.concat(F.lit("+0"), plain))
+    exact = F.date_format("call_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    times = F.when(turn == 0, F.col("call_time").cast("string")).when(turn == 1, fn.iso_utc(F.col("call_time"))).otherwise(exact)
     path = scratch_dir(spark, "snapshot-csv")
-    base.write.options(header=True, escape='"', timestampFormat="yyyy-MM-dd HH:mm:ss").csv(path)
+    table.withColumns({"call_time": times, "duration_sec": numbers}).write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False).csv(path)
     return read_snapshot(spark, path, "csv")
 
 
@@ -127,11 +133,25 @@ def parse_iso_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- batch job -------------------------------------------------------------------------------
 
 
+_JOBS: dict[tuple[str, str, str], dict[str, str]] = {}
+
+
+def _job(spark: SparkSession, sf_dir: str, source_format: str) -> dict[str, str]:
+    """The outputs of one run of the job, shared by all queries of a session that read them."""
+    run = (spark.sparkContext.applicationId, sf_dir, source_format)
+    if run not in _JOBS:
+        source, root = scratch_dir(spark, "job-in"), scratch_dir(spark, "job-out")
+        if source_format == "csv":
+            _raw(spark, sf_dir).write.options(header=True, escape='"').csv(source)
+        else:
+            write_table(_raw(spark, sf_dir), source)
+        _JOBS[run] = run_batch(spark, source, f"{root}/", source_format)
+    return _JOBS[run]
+
+
 def batch_job_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows in each of the five outputs of the job, run on a CSV directory."""
-    source, root = scratch_dir(spark, "job-in"), scratch_dir(spark, "job-out")
-    _raw(spark, sf_dir).write.options(header=True, escape='"').csv(source)
-    paths = run_batch(spark, source, f"{root}/")
+    paths = _job(spark, sf_dir, "csv")
     counted = [
         spark.read.parquet(path).agg(F.lit(name).alias("output"), F.count("*").alias("row_count"))
         for name, path in paths.items()
@@ -142,12 +162,7 @@ def batch_job_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batch_job_mart(name: str) -> Query:
     """A mart as the job leaves it, run on a Parquet input and read back."""
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        source, root = scratch_dir(spark, "job-in"), scratch_dir(spark, "job-out")
-        write_table(_raw(spark, sf_dir), source)
-        return spark.read.parquet(run_batch(spark, source, root, "parquet")[name])
-
-    return run
+    return lambda spark, sf_dir: spark.read.parquet(_job(spark, sf_dir, "parquet")[name])
 
 
 def mart(name: str) -> Query:
@@ -203,6 +218,32 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{run}/out")
 
 
+def stream_bounded_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A drain that its time limit stops again and again, each run going on where the last one ended."""
+    archive, run = scratch_dir(spark, "archive"), scratch_dir(spark, "stream")
+    for part in range(3):
+        _messages(spark, sf_dir).filter(F.col("partition") == part).write.mode("append").parquet(archive)
+    while not await_query(start_flatten(stream_messages(spark, archive, max_files_per_trigger=1), f"{run}/out", f"{run}/checkpoint"), 0.5):
+        pass
+    return spark.read.parquet(f"{run}/out")
+
+
+def stream_rebind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A used checkpoint is refused on another stream's output; the right pair then goes on."""
+    archive, run = scratch_dir(spark, "archive"), scratch_dir(spark, "stream")
+    messages = _messages(spark, sf_dir)
+    first = F.col("partition") == 0
+    messages.filter(first).write.parquet(archive)
+    for name in ("a", "b"):
+        await_query(start_flatten(stream_messages(spark, archive), f"{run}/out-{name}", f"{run}/checkpoint-{name}"))
+    messages.filter(~first).write.mode("append").parquet(archive)
+    try:
+        start_flatten(stream_messages(spark, archive), f"{run}/out-a", f"{run}/checkpoint-b")
+    except ValueError:
+        await_query(start_flatten(stream_messages(spark, archive), f"{run}/out-a", f"{run}/checkpoint-a"))
+    return spark.read.parquet(f"{run}/out-a")
+
+
 def event_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_messages(_records(spark, sf_dir), TOPIC)
 
@@ -255,6 +296,10 @@ def iso_utc_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def iso_utc_event_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _calls(spark, sf_dir).select("seq", fn.iso_utc(F.col("call_time")).alias("call_time_text"))
+
+
 # --- row rules -------------------------------------------------------------------------------
 
 
@@ -283,6 +328,18 @@ def transactions_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.upsert(base, changes, TRANSACTION_KEY, ORDER)
 
 
+def transactions_upsert_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that grow with the data."""
+    base, changes = _call_table(_calls(spark, sf_dir, "f_transactions_wide"))
+    return keyed.upsert(base, changes, TRANSACTION_KEY, ORDER)
+
+
+def transactions_upsert_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that the upserted table holds more than once: none, even without an order of the changes."""
+    base, changes = _call_table(_calls(spark, sf_dir, "f_transactions_wide"))
+    return keyed.key_violations(keyed.upsert(base, changes, TRANSACTION_KEY), TRANSACTION_KEY)
+
+
 # The two sample rows of the call table.
 SAMPLE_CALLS = (
     ("call_20260501_001", "2026-05-01 11:42:15", "client_4412", "DE-HE", "credit_card_offer",
@@ -337,6 +394,8 @@ QUERIES: dict[str, Query] = {
     "flatten_events": flatten_events,
     "stream_flatten": stream_flatten,
     "stream_resume": stream_resume,
+    "stream_bounded_drain": stream_bounded_drain,
+    "stream_rebind": stream_rebind,
     "event_encode": event_encode,
     "event_round_trip": event_round_trip,
     "payload_volume": payload_volume,
@@ -344,12 +403,15 @@ QUERIES: dict[str, Query] = {
     "decision_allowed": decision_allowed,
     "padded_ids": padded_ids,
     "iso_utc_text": iso_utc_text,
+    "iso_utc_event_text": iso_utc_event_text,
     "decision_rule_violations": decision_rule_violations,
     "decision_rule_counts": decision_rule_counts,
     "transactions_response_rule": transactions_response_rule,
     "transactions_snapshot": transactions_snapshot,
     "transactions_snapshot_csv": transactions_snapshot_csv,
     "transactions_upsert": transactions_upsert,
+    "transactions_upsert_wide": transactions_upsert_wide,
+    "transactions_upsert_keys": transactions_upsert_keys,
     "transactions_upsert_rows": transactions_upsert_rows,
     "transactions_pk_violations": transactions_pk_violations,
     "transactions_not_null": transactions_not_null,

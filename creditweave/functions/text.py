@@ -20,5 +20,7 @@ def dated_id(prefix: str, day: Column, number: Column) -> Column:
 
 
 def iso_utc(moment: Column) -> Column:
-    """``yyyy-MM-ddTHH:mm:ssZ``. The session zone must be UTC."""
-    return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """``yyyy-MM-ddTHH:mm:ssZ``, with six digits of a second where it has a fraction. The session zone must be UTC."""
+    whole = F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    exact = F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return F.when(moment == F.date_trunc("second", moment), whole).otherwise(exact)

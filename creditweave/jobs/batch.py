@@ -17,6 +17,7 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--format", choices=SOURCE_FORMATS, default="csv", help="input format")
     parser.add_argument("--keep-in-memory", action="store_true", help="cache the clean rows for the marts")
     parser.add_argument("--max-records-per-file", type=int, help="cut the clean table's files at this many rows")
+    parser.add_argument("--run-id", help="write below the output root, in a folder of this name")
     return parser.parse_args(argv)
 
 
@@ -25,7 +26,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = build_session("creditweave-batch")
     try:
         run_batch(
-            spark, args.input, args.output, args.format, args.keep_in_memory, args.max_records_per_file
+            spark, args.input, args.output, args.format, args.keep_in_memory, args.max_records_per_file, args.run_id
         )
     finally:
         spark.stop()

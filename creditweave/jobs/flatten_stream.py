@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import sys
+import warnings
 from collections.abc import Sequence
 
 from creditweave.jobs.settings import FlattenSettings
 from creditweave.session import build_session
 from creditweave.sources.kafka import stream_topic
-from creditweave.streaming.flatten import await_query, replay_paths, start_flatten
+from creditweave.streaming.flatten import ONCE, await_query, replay_paths, start_flatten
 
+#: Exit code of a drain that its time limit stopped: what is committed stays, the next run goes on.
+UNFINISHED = 75
 
-def main(argv: Sequence[str] | None = None) -> None:
+
+def main(argv: Sequence[str] | None = None) -> int:
+    """Run the stream; returns the exit code."""
     settings = FlattenSettings.resolve(argv)
     output, checkpoint = settings.output, settings.checkpoint
     if settings.replay_id:
@@ -24,14 +30,19 @@ def main(argv: Sequence[str] | None = None) -> None:
             starting_offsets=settings.starting_offsets,
             max_offsets_per_trigger=settings.max_offsets_per_trigger,
             min_partitions=settings.min_partitions,
+            fail_on_data_loss=bool(settings.fail_on_data_loss),
         )
         query = start_flatten(
             messages, output, checkpoint, settings.run_mode, settings.processing_time
         )
-        await_query(query, settings.timeout_seconds)
+        drains = settings.run_mode == ONCE
+        if drains and settings.timeout_seconds and not settings.max_offsets_per_trigger:
+            warnings.warn("without --max-offsets-per-trigger the backlog is one batch, and the limit waits for its end", stacklevel=2)
+        finished = await_query(query, settings.timeout_seconds)
+        return UNFINISHED if drains and not finished else 0
     finally:
         spark.stop()
 
 
 if __name__ == "__main__":
-    main()
+    sys.exit(main())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 from collections.abc import Sequence
 
 from creditweave.session import build_session
@@ -18,8 +19,8 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--topic", required=True)
     parser.add_argument("--security-protocol", default="PLAINTEXT")
     parser.add_argument("--sasl-mechanism")
-    parser.add_argument("--sasl-username")
-    parser.add_argument("--sasl-password")
+    parser.add_argument("--sasl-username", default=os.environ.get("KAFKA_USERNAME"), help="KAFKA_USERNAME if not given")
+    parser.add_argument("--sasl-password", default=os.environ.get("KAFKA_PASSWORD"), help="better left to KAFKA_PASSWORD")
     return parser.parse_args(argv)
 
 

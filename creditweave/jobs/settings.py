@@ -50,6 +50,7 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--kafka-sasl-mechanism")
     parser.add_argument("--kafka-sasl-jaas-config")
     parser.add_argument("--max-offsets-per-trigger", type=int, help="upper bound of a micro-batch")
+    parser.add_argument("--fail-on-data-loss", action="store_true", default=None, help="stop when messages expired before they were read")
     parser.add_argument("--min-partitions", type=int, help="split topic partitions into at least this many tasks")
     parser.add_argument("--processing-time", help="trigger interval of a continuous run, such as '1 minute'")
     parser.add_argument("--replay-id", help="replay everything into a new output and checkpoint of this name")
@@ -72,6 +73,7 @@ class FlattenSettings:
     kafka_password: str | None = field(default=None, repr=False)
     max_offsets_per_trigger: int | None = None
     min_partitions: int | None = None
+    fail_on_data_loss: bool | None = None
     processing_time: str | None = None
     replay_id: str | None = None
 
@@ -110,6 +112,6 @@ class FlattenSettings:
         return [
             part
             for name, value in values.items()
-            if value not in (None, "")
-            for part in (_flag(name), str(value))
+            if value not in (None, "", False)
+            for part in ((_flag(name),) if value is True else (_flag(name), str(value)))
         ]

@@ -15,9 +15,19 @@ MAX_UINT32 = 4294967295
 
 
 def _sortable(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.StructType):
+        return all(_sortable(field.dataType) for field in dtype)
+    if isinstance(dtype, T.ArrayType):
+        return _sortable(dtype.elementType)
     return not isinstance(dtype, (T.MapType, T.VariantType))
 
 
+def _tie_break(field: T.StructField) -> Column:
+    """The column itself, or a hash of its JSON text where values have no order."""
+    column = F.col(field.name)
+    return column if _sortable(field.dataType) else F.xxhash64(F.to_json(F.struct(column)))
+
+
 def latest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the highest ``order`` for each key.
 
@@ -25,8 +35,8 @@ def latest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -
     costs its final task one row per input task. The other columns close the order, so that rows
     which tie on ``order`` give the same result when a lost task is run again.
     """
-    rest = [f.name for f in rows.schema if f.name not in (*keys, *order) and _sortable(f.dataType)]
-    ranking = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in (*order, *rest)])
+    rest = [_tie_break(f) for f in rows.schema if f.name not in (*keys, *order)]
+    ranking = Window.partitionBy(*keys).orderBy(*[c.desc() for c in (*map(F.col, order), *rest)])
     return (
         rows.withColumn("__rank", F.row_number().over(ranking))
         .filter(F.col("__rank") == 1)
@@ -34,21 +44,26 @@ def latest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -
     )
 
 
+def _with_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return rows.filter(reduce(and_, [F.col(key).isNotNull() for key in keys]))
+
+
 def upsert(
     base: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
 ) -> DataFrame:
     """Insert or replace whole rows of ``base`` by key.
 
-    ``base`` holds one row per key. ``changes`` may repeat a key, then the highest ``order`` wins;
-    without ``order`` it must hold one row per key as well. Columns only used for ordering are
-    dropped, so the result has the columns of ``base``.
+    ``base`` holds one row per key. ``changes`` may repeat a key, then the highest ``order`` wins, and
+    the highest of the other columns where that ties or is not given; so the result has one row per
+    key as well. Columns only used for ordering are dropped, so the result has the columns of ``base``.
 
-    Keys are never NULL here (see :func:`split_not_null`). The replaced rows leave by an anti join
+    Changes with a NULL in the key are not applied; :func:`split_not_null` names them. The replaced rows leave by an anti join
     on the changed keys alone. While those keys are under the broadcast threshold at run time,
     ``base`` is neither shuffled nor sorted; above it the planner takes a shuffled join on the key,
     which a table bucketed by the key already satisfies.
     """
-    newest = latest_per_key(changes, keys, order) if order else changes
+    changes = _with_keys(changes, keys)
+    newest = latest_per_key(changes, keys, order)
     replaced = changes.select(*keys).distinct()
     kept = base.join(replaced, on=list(keys), how="left_anti").select(*base.columns)
     return kept.unionByName(newest.select(*base.columns))
@@ -62,7 +77,7 @@ def merge_upsert(
     Such a table rewrites the files that hold changed keys instead of the whole snapshot.
     """
     columns = changes.sparkSession.table(table).columns
-    newest = latest_per_key(changes, keys, order) if order else changes
+    newest = latest_per_key(_with_keys(changes, keys), keys, order)
     matches = reduce(and_, [F.col(f"{table}.{key}") == F.col(f"__changes.{key}") for key in keys])
     (
         newest.select(*columns)

@@ -9,8 +9,8 @@ BYTES_PER_MB = 1024 * 1024
 
 
 def sent_mb(value: Column) -> Column:
-    """Aggregate: UTF-8 size of all values in MB, two digits."""
-    return F.round(F.sum(F.octet_length(value)) / BYTES_PER_MB, 2)
+    """Aggregate: UTF-8 size of all values in MB, two digits; 0.0 for no rows."""
+    return F.coalesce(F.round(F.sum(F.octet_length(value)) / BYTES_PER_MB, 2), F.lit(0.0))
 
 
 def payload_volume(messages: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ def run_batch(
     source_format: str = "csv",
     keep_in_memory: bool = False,
     max_records_per_file: int | None = None,
+    run_id: str | None = None,
 ) -> dict[str, str]:
     """Write the five outputs under ``output_root``; returns name to directory.
 
@@ -30,8 +31,13 @@ def run_batch(
     its own columns: together they read about as many column chunks as one pass over the table.
     They are submitted side by side, so that the few-task end of one overlaps the scan of the next.
     ``keep_in_memory`` caches the clean rows instead, for inputs that fit in executor memory.
+
+    The five outputs are overwritten one by one, so a run that fails midway leaves old ones beside new
+    ones. With ``run_id`` they go to a folder of that name, which a reader takes up once the run is over.
+    Sets adaptive execution, which makes one file of a small mart.
     """
-    root = output_root.rstrip("/")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    root = output_root.rstrip("/") + (f"/{run_id}" if run_id else "")
     paths = {name: f"{root}/{name}" for name in (CLEAN_TABLE, *MARTS)}
     clean = clean_applications(read_source(spark, input_path, source_format))
     if keep_in_memory:

@@ -19,8 +19,9 @@ def read_source(
     """Applications from a file or a directory of files.
 
     CSV: header row, ``"`` escaped by doubling it, one record per line so that large files split;
-    every column is text. Without a schema the columns are named by the header (one line is read to
-    find it), so their order in the file does not matter. Parquet brings its own types.
+    every column is text. Without a schema the columns are named by the header of one file. Every
+    file of a directory must have that header, in that order; another one raises when it is read.
+    Parquet brings its own types.
     """
     if source_format not in SOURCE_FORMATS:
         raise ValueError(f"unknown format {source_format!r}; expected one of {', '.join(SOURCE_FORMATS)}")
@@ -28,7 +29,7 @@ def read_source(
     if schema is not None:
         reader = reader.schema(schema)
     if source_format == "csv":
-        reader = reader.options(header=True, multiLine=False, escape='"')
+        reader = reader.options(header=True, multiLine=False, escape='"', enforceSchema=False)
     return reader.load(path)
 
 

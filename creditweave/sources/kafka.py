@@ -64,17 +64,18 @@ def topic_options(
     starting_offsets: str = "earliest",
     max_offsets_per_trigger: int | None = None,
     min_partitions: int | None = None,
+    fail_on_data_loss: bool = False,
 ) -> dict[str, str]:
     """Options of a topic stream.
 
     The start position only counts while the checkpoint is new. Offsets that have expired are
-    skipped. ``max_offsets_per_trigger`` bounds a micro-batch, so that a drain of a long backlog
+    skipped unless ``fail_on_data_loss`` is set. ``max_offsets_per_trigger`` bounds a micro-batch, so that a drain of a long backlog
     commits in steps; ``min_partitions`` splits large topic partitions over more tasks.
     """
     options = connection.options() | {
         "subscribe": topic,
         "startingOffsets": starting_offsets,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if max_offsets_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)

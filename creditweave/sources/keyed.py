@@ -2,33 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditweave.functions.casts import boolean_from_text, int_from_text, timestamp_from_text
+from creditweave.functions.casts import bigint_from_text, boolean_from_text, iso_timestamp, timestamp_from_text
 from creditweave.schemas import TRANSACTION_COLUMNS, TRANSACTIONS_DDL
 from creditweave.sources.files import read_source
 
 
 def read_snapshot(spark: SparkSession, path: str, source_format: str = "parquet") -> DataFrame:
-    """An exported table with its declared columns and types. CSV text is typed leniently."""
+    """An exported table with its declared columns and types.
+
+    CSV text is typed leniently: times in the plain or any ISO form, whole numbers in any spelling.
+    """
     if source_format == "parquet":
         return read_source(spark, path, "parquet", TRANSACTIONS_DDL)
     text = read_source(spark, path, source_format)
     typed = {
-        "call_time": timestamp_from_text(text["call_time"]),
-        "duration_sec": _bigint_from_text(text["duration_sec"]),
+        "call_time": F.coalesce(timestamp_from_text(text["call_time"]), iso_timestamp(text["call_time"])),
+        "duration_sec": bigint_from_text(text["duration_sec"]),
         "follow_up_required": boolean_from_text(text["follow_up_required"]),
     }
     return text.withColumns(typed).select(*TRANSACTION_COLUMNS)
 
 
-def _bigint_from_text(text: Column) -> Column:
-    # Beyond int there is only the upper half of unsigned 32-bit, written as ten plain digits.
-    upper_half = F.when(text.rlike(r"^[0-9]{10}\z"), text.try_cast("bigint"))
-    return F.coalesce(int_from_text(text).cast("bigint"), upper_half)
-
-
 def jdbc_snapshot_options(
     url: str, table: str, lower: str, upper: str, partitions: int, fetch_size: int = 10_000
 ) -> dict[str, str]:

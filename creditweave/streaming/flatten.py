@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -11,23 +13,61 @@ ONCE = "once"
 CONTINUOUS = "continuous"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(jvm_path)
+_PAIR = "_creditweave_stream"
+
+
+class _Files:
+    """Small files of a folder that any of Spark's file systems holds."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._jvm, self._folder = spark._jvm, folder.rstrip("/")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        self._fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+    def _path(self, name: str):
+        return self._jvm.org.apache.hadoop.fs.Path(f"{self._folder}/{name}")
+
+    def has(self, name: str) -> bool:
+        return self._fs.exists(self._path(name))
 
+    def read(self, name: str) -> str | None:
+        if not self.has(name):
+            return None
+        stream = self._fs.open(self._path(name))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
 
-def check_paths(spark: SparkSession, output: str, checkpoint: str) -> None:
-    """Refuse a new checkpoint on an output that another one has filled.
+    def write(self, name: str, text: str) -> None:
+        stream = self._fs.create(self._path(name), True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
 
-    The file sink logs its batches in the output. A new checkpoint starts again at batch 0, which
-    the log already holds, and the sink would skip the batch and its messages without a word.
+
+def bind_paths(spark: SparkSession, output: str, checkpoint: str) -> None:
+    """Make an output and a checkpoint a pair at their first start, and refuse any other pairing.
+
+    The file sink logs its batches in the output and skips batch numbers that the log holds. So a
+    checkpoint on an output that another one has filled would lose messages without a word, and a used
+    checkpoint on a new output would leave out what came before. Both folders hold the name of the pair;
+    the output's is written first, so a start that was cut short can be repeated.
     """
-    used = _exists(spark, f"{output.rstrip('/')}/_spark_metadata")
-    if used and not _exists(spark, f"{checkpoint.rstrip('/')}/offsets"):
+    out, check = _Files(spark, output), _Files(spark, checkpoint)
+    ours, theirs = out.read(_PAIR), check.read(_PAIR)
+    used_output, used_checkpoint = out.has("_spark_metadata"), theirs is not None or check.has("offsets")
+    if ours is not None and ours == theirs:
+        return
+    if used_output or used_checkpoint:
         raise ValueError(
             f"{output} was written with another checkpoint than {checkpoint}; "
-            "use that checkpoint to resume, or a new output to replay"
+            "use that checkpoint to resume, or a new output and a new checkpoint to replay"
         )
+    name = uuid.uuid4().hex
+    out.write(_PAIR, name)
+    check.write(_PAIR, name)
 
 
 def replay_paths(output: str, checkpoint: str, run_id: str) -> tuple[str, str]:
@@ -48,7 +88,7 @@ def start_flatten(
     available, in as many micro-batches as the source's limits ask for, and stops. Every other
     mode runs on, one micro-batch after the other or every ``processing_time``.
     """
-    check_paths(messages.sparkSession, output, checkpoint)
+    bind_paths(messages.sparkSession, output, checkpoint)
     writer = (
         flatten_events(messages)
         .writeStream.format("parquet")
@@ -63,9 +103,25 @@ def start_flatten(
     return writer.start()
 
 
-def await_query(query: StreamingQuery, timeout_seconds: float | None = None) -> None:
-    """Wait for the query to end; with a time limit, stop it when the limit is over."""
+def _done(query: StreamingQuery) -> int:
+    last = query.lastProgress
+    return -1 if last is None else last["batchId"]
+
+
+def await_query(query: StreamingQuery, timeout_seconds: float | None = None) -> bool:
+    """Wait for the query to end; with a time limit, stop it between two micro-batches after the limit.
+
+    The micro-batch that runs when the limit is over is finished and committed, so a drain whose source
+    bounds its batches gets on with every run. Returns whether the query ended by itself.
+    """
     if not timeout_seconds:
         query.awaitTermination()
-    elif not query.awaitTermination(timeout_seconds):
-        query.stop()
+        return True
+    if query.awaitTermination(timeout_seconds):
+        return True
+    before = _done(query)
+    while query.status["isTriggerActive"] and _done(query) == before:
+        if query.awaitTermination(0.1):
+            return True
+    query.stop()
+    return False

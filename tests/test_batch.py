@@ -150,3 +150,37 @@ def test_scratch_without_a_shared_folder():
 
 def test_columns_of_the_contract():
     assert len(APPLICATION_COLUMNS) == 14
+
+
+def test_headers_that_differ_are_refused(spark, tmp_path):
+    """Columns in another order in one file of a directory would end up under wrong names."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("region_code,channel\nR,web\n")
+    (tmp_path / "in" / "b.csv").write_text("channel,region_code\nweb,R\n")
+    table = read_source(spark, str(tmp_path / "in"), "csv")
+    for frame in (table, table.select("channel")):
+        with pytest.raises(Exception, match="(?i)header"):
+            frame.collect()
+
+
+def test_main_of_the_job(spark, csv_dir, tmp_path, monkeypatch):
+    class Kept:
+        """The test's session, which the job must not stop for the other tests."""
+
+        def __getattr__(self, name):
+            return (lambda: None) if name == "stop" else getattr(spark, name)
+
+    monkeypatch.setattr(batch, "build_session", lambda name: Kept())
+    monkeypatch.setattr(batch, "run_batch", lambda session, *rest: run_batch(spark, *rest))
+    batch.main(["--input", csv_dir, "--output", str(tmp_path / "out"), "--run-id", "r1"])
+    assert {p.name for p in (tmp_path / "out" / "r1").iterdir()} == {CLEAN_TABLE, *MARTS}
+
+
+def test_marts_are_one_file_whatever_the_session_says(spark, csv_dir, tmp_path):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        paths = run_batch(spark, csv_dir, str(tmp_path))
+        assert all(len(files(paths[name])) == 1 for name in MARTS)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)

@@ -65,6 +65,24 @@ def test_upsert_replaces_whole_rows(spark):
     ]
 
 
+def test_upsert_without_order_keeps_the_key(spark):
+    base = spark.createDataFrame([("a", "old", 1), ("b", "kept", 1)], BASE)
+    changes = spark.createDataFrame([("a", "x", 2), ("a", "y", 1), (None, "lost", 9)], BASE)
+    assert sorted(map(tuple, upsert(base, changes, ["id"]).collect())) == [("a", "y", 1), ("b", "kept", 1)]
+    _, violating = split_not_null(changes, ["id"])
+    assert [r.value for r in violating.collect()] == ["lost"]
+
+
+def test_columns_without_an_order_break_ties(spark):
+    ddl = "id string, seq int, inner struct<m: map<string, int>>, list array<map<string, int>>"
+    rows = [("a", 1, ({"k": i},), [{"z": i}]) for i in range(20)]
+    picked = {
+        str(latest_per_key(spark.createDataFrame(rows[::step], ddl).repartition(parts), ["id"], ["seq"]).first().inner)
+        for step in (1, -1) for parts in (1, 5)
+    }
+    assert len(picked) == 1
+
+
 def test_upsert_with_two_key_columns(spark):
     ddl = "a int, b string, v int"
     base = spark.createDataFrame([(1, "x", 0), (1, "y", 0), (2, "x", 0)], ddl)
@@ -109,6 +127,23 @@ def test_upsert_only_moves_keys_against_the_base(spark, tmp_path):
     assert "Join LeftAnti" in optimized(result)
 
 
+def test_shuffled_upsert_moves_each_side_once(spark, tmp_path):
+    base, changes = generated(0.1)
+    spark.createDataFrame(base, BASE).write.parquet(str(tmp_path / "base"))
+    spark.createDataFrame(changes, CHANGES).write.parquet(str(tmp_path / "changes"))
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in settings:
+        spark.conf.set(name, "-1")
+    try:
+        left, right = spark.read.parquet(str(tmp_path / "base")), spark.read.parquet(str(tmp_path / "changes"))
+        plan = physical(upsert(left, right, ["id"], ["batch_no", "seq"]))
+        # The base, the changed keys, and the newest change of each key.
+        assert plan.count("Exchange hashpartitioning") == 3 and "LeftAnti" in plan
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
 def test_key_violations(spark):
     rows = spark.createDataFrame([("a", "", 0)] * 3 + [("b", "", 0)] + [(None, "", 0)] * 2, BASE)
     assert sorted(map(tuple, key_violations(rows, ["id"]).collect()), key=str) == [("a", 3), (None, 2)]

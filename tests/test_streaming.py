@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import time
 
 import pytest
@@ -63,6 +64,43 @@ def test_new_checkpoint_on_a_used_output_is_refused(spark, archive, run, tmp_pat
         start_flatten(stream_messages(spark, archive), run[0] + "/", str(tmp_path / "other"))
 
 
+def test_used_checkpoint_on_another_output_is_refused(spark, archive, run, tmp_path):
+    other = str(tmp_path / "other-flat"), str(tmp_path / "other-checkpoint")
+    for paths in (run, other):
+        await_query(start_flatten(stream_messages(spark, archive), *paths))
+    for output, checkpoint in ((run[0], other[1]), (other[0], run[1]), (str(tmp_path / "new"), run[1])):
+        with pytest.raises(ValueError, match="another checkpoint"):
+            start_flatten(stream_messages(spark, archive), output, checkpoint)
+    await_query(start_flatten(stream_messages(spark, archive), *run))
+
+
+def test_output_without_a_stored_name_is_refused(spark, archive, run):
+    await_query(start_flatten(stream_messages(spark, archive), *run))
+    os.rename(f"{run[0]}/_creditweave_stream", f"{run[0]}/_kept")
+    with pytest.raises(ValueError, match="another checkpoint"):
+        start_flatten(stream_messages(spark, archive), *run)
+
+
+def test_start_that_was_cut_short_can_be_repeated(spark, archive, run):
+    os.makedirs(run[0])
+    with open(f"{run[0]}/_creditweave_stream", "w") as file:
+        file.write("left over")
+    await_query(start_flatten(stream_messages(spark, archive), *run))
+    assert spark.read.parquet(run[0]).count() > 0
+
+
+def test_limited_drains_finish_a_backlog(spark, messages, archive, run):
+    finished, runs = False, 0
+    while not finished:
+        query = start_flatten(stream_messages(spark, archive, max_files_per_trigger=1), *run)
+        finished = await_query(query, 0.2)
+        assert not query.isActive
+        runs += 1
+        assert runs <= 12
+    assert runs > 1
+    assert rows(spark.read.parquet(run[0])) == rows(flatten_events(messages))
+
+
 def test_replay_into_new_paths(spark, archive, run):
     expected = None
     for run_id in ("20260501T000000", "20260502T000000"):
