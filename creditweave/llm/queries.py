@@ -72,6 +72,33 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "best_window", "matched_words")
 
 
+OP1_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id query_id, v.vec_id, CAST(list_dot_product(q.e, v.e) AS BIGINT) score
+  FROM v q JOIN v ON q.vec_id <> v.vec_id AND len(q.e) = len(v.e) WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+OP6_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k : k + 4], ' ') g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) k FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id a, b.doc_id b, count(*) c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+r AS (SELECT doc_id, doc_id AS reach FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.reach)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reach) AS component_id
+FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
 #: Words as lists, seeds as joined words in place of hashes, equal words along every alignment of a hit.
 OP10_SQL = r"""
 WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') w FROM documents),
@@ -112,4 +139,8 @@ _ALL = {
 }
 QUERIES = {name: _with_code(query) for name, query in _ALL.items()}
 
-ORACLES: dict[str, str] = {"op10_decontamination": OP10_SQL}
+ORACLES: dict[str, str] = {
+    "op1_topk_search": OP1_SQL,
+    "op6_jaccard_join": OP6_SQL,
+    "op10_decontamination": OP10_SQL,
+}
