@@ -123,7 +123,7 @@ def _tuples(texts: DataFrame) -> DataFrame:
                 if len(found[0]):
                     rows.append(((key, tag, len(data)), found))
                     held += len(found[0])
-                if held > 400_000:
+                if held > 150_000:
                     yield flush(rows)
                     rows, held = [], 0
         if rows:
@@ -179,29 +179,46 @@ def _compared(tuples: DataFrame) -> DataFrame:
     return tuples.repartitionByRange("anchor", "context").sortWithinPartitions(*order).mapInArrow(run, _FOUND)
 
 
-def _contexts(found: DataFrame, texts: DataFrame) -> DataFrame:
-    """``anchor, key, tag, pos, left, right, bytes`` for the tuples in ``found``, cut from the texts."""
+_CONTEXT = "anchor long, key long, tag int, pos long, left int, right int, bytes binary"
+_WINDOW = "anchor long, window long, key long, tag int, begin long"
+
+
+def _cut_out(found: DataFrame, texts: DataFrame, schema: str, rows_of) -> DataFrame:
+    """What ``rows_of(anchor, key, tag, pos, left, right, bytes)`` makes of the contexts of the tuples in ``found``.
+
+    ``bytes`` has one row for each anchor, with ``_REACH`` bytes before it and ``LENGTH`` from it on; ``left``
+    and ``right`` tell how many of them exist.
+    """
     wanted = found.groupBy("key", "tag").agg(F.collect_list(F.struct("pos", "anchor")).alias("at"))
-    names = ["anchor", "key", "tag", "pos", "left", "right", "bytes"]
 
     def run(batches):
         for batch in batches:
             for key, tag, text, at in zip(*(batch.column(c) for c in ("key", "tag", "text", "at")), strict=True):
                 data = np.frombuffer(text.as_buffer(), np.uint8)
-                pos = at.values.field("pos").to_numpy()
-                left, right = np.minimum(pos, _REACH), np.minimum(len(data) - pos, LENGTH)
-                reach = pos[:, None] + np.arange(-_REACH, LENGTH)[None, :]
-                inside = (reach >= 0) & (reach < len(data))
-                cut = np.where(inside, data[np.clip(reach, 0, len(data) - 1)], 0).astype(np.uint8)
-                flat = pa.py_buffer(cut.tobytes())
-                sizes = pa.py_buffer(np.arange(0, cut.size + 1, cut.shape[1], dtype=np.int32).tobytes())
-                fixed = pa.Array.from_buffers(pa.binary(), len(pos), [None, sizes, flat])
-                n = len(pos)
-                columns = [at.values.field("anchor"), pa.array(np.full(n, key.as_py())), pa.array(np.full(n, tag.as_py(), np.int32)), pa.array(pos), pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)), fixed]
-                yield pa.RecordBatch.from_arrays(columns, names)
+                places, anchors_ = at.values.field("pos").to_numpy(), at.values.field("anchor").to_numpy()
+                for first in range(0, len(places), 4096):
+                    pos, anchor = places[first : first + 4096], anchors_[first : first + 4096]
+                    left, right = np.minimum(pos, _REACH), np.minimum(len(data) - pos, LENGTH)
+                    reach = pos[:, None] + np.arange(-_REACH, LENGTH)[None, :]
+                    inside = (reach >= 0) & (reach < len(data))
+                    cut = np.where(inside, data[np.clip(reach, 0, len(data) - 1)], 0).astype(np.uint8)
+                    n = len(pos)
+                    yield rows_of(anchor, np.full(n, key.as_py()), np.full(n, tag.as_py(), np.int32), pos, left, right, cut)
 
     joined = texts.join(wanted, ["key", "tag"]).select("key", "tag", "text", "at")
-    return joined.mapInArrow(run, "anchor long, key long, tag int, pos long, left int, right int, bytes binary")
+    return joined.mapInArrow(run, schema)
+
+
+def _contexts(found: DataFrame, texts: DataFrame) -> DataFrame:
+    """``anchor, key, tag, pos, left, right, bytes`` for the tuples in ``found``, cut from the texts."""
+
+    def rows_of(anchor, key, tag, pos, left, right, cut):
+        sizes = pa.py_buffer(np.arange(0, cut.size + 1, cut.shape[1], dtype=np.int32).tobytes())
+        fixed = pa.Array.from_buffers(pa.binary(), len(pos), [None, sizes, pa.py_buffer(cut.tobytes())])
+        columns = [*map(pa.array, (anchor, key, tag, pos, left.astype(np.int32), right.astype(np.int32))), fixed]
+        return pa.RecordBatch.from_arrays(columns, ["anchor", "key", "tag", "pos", "left", "right", "bytes"])
+
+    return _cut_out(found, texts, _CONTEXT, rows_of)
 
 
 def _range_minima(x: np.ndarray) -> list[np.ndarray]:
@@ -288,21 +305,19 @@ def _resolved(contexts: DataFrame) -> DataFrame:
     return contexts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, _SPAN)
 
 
-def _windows(contexts: DataFrame) -> DataFrame:
+def _windows(found: DataFrame, texts: DataFrame) -> DataFrame:
     """The same spans for anchors with too many contexts for one task: their strings meet one by one."""
 
-    def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                data = np.frombuffer(row["bytes"], np.uint8)
-                sums = _sums(data)
-                before = np.arange(max(0, LENGTH - row["right"]), row["left"] + 1)
-                begin = _REACH - before
-                h = _between(sums, begin, begin + LENGTH)
-                n = len(h)
-                yield _arrow((np.full(n, row["anchor"]), h, np.full(n, row["key"]), np.full(n, row["tag"], np.int32), row["pos"] - before), ["anchor", "window", "key", "tag", "begin"])
-
-    rows = contexts.mapInArrow(run, "anchor long, window long, key long, tag int, begin long")
+    def rows_of(anchor, key, tag, pos, left, right, cut):
+        sums = np.zeros((len(cut), cut.shape[1] + 1), np.uint64)
+        np.cumsum(_CODE[cut] * _UP[: cut.shape[1]], axis=1, out=sums[:, 1:])
+        before = np.arange(_REACH + 1)
+        begin = _REACH - before
+        window = mix((sums[:, begin + LENGTH] - sums[:, begin]) * _DOWN[begin])
+        row, step = np.nonzero((before <= left[:, None]) & (before >= LENGTH - right[:, None]))
+        return _arrow((anchor[row], window[row, step], key[row], tag[row], pos[row] - step), ["anchor", "window", "key", "tag", "begin"])
+
+    rows = _cut_out(found, texts, _WINDOW, rows_of)
     place = F.struct("key", "tag", "begin")
     first = rows.groupBy("anchor", "window").agg(F.min(place).alias("first"))
     later = rows.join(first, ["anchor", "window"]).filter(place != F.col("first"))
@@ -320,7 +335,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     crowded = several.groupBy("anchor").count().filter(F.col("count") > SHARD).select("anchor")
     spans = spans.unionAll(_resolved(_contexts(several.join(crowded, "anchor", "left_anti"), texts)))
     if not crowded.isEmpty():
-        spans = spans.unionAll(_windows(_contexts(several.join(crowded, "anchor", "left_semi"), texts)))
+        spans = spans.unionAll(_windows(several.join(crowded, "anchor", "left_semi"), texts))
     return spans
 
 
