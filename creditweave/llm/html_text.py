@@ -288,9 +288,12 @@ def marked_page(page: str) -> tuple[list[Block], list[int]]:
 
 def train(pages: DataFrame, max_pages: int = 300) -> Field:
     """A field from the pages written by rule and at most ``max_pages`` of the table, the first by a hash."""
-    order = F.xxhash64("page_id", "url")
-    sample = pages.filter("html is not null and length(html) <= 200000").orderBy(order, "page_id", "url").select("html").limit(max_pages)
-    return fit(written_pages() + [p for r in sample.collect() if len((p := marked_page(r[0]))[0]) <= 400])
+    keyed = pages.filter("html is not null and length(html) <= 200000").select(F.xxhash64("page_id", "url").alias("pick"), "html")
+    # Only hashes are sorted and at most max_pages of them broadcast; of rows with one hash, one page is taken.
+    picked = keyed.select("pick").distinct().orderBy("pick").limit(max_pages)
+    sample = keyed.join(F.broadcast(picked), "pick").groupBy("pick").agg(F.min("html").alias("html"))
+    found = [marked_page(r["html"]) for r in sorted(sample.collect())]
+    return fit(written_pages() + [p for p in found if len(p[0]) <= 400])
 
 
 def extract(pages: DataFrame, model: Field) -> DataFrame:
