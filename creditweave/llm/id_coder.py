@@ -1,9 +1,9 @@
 """Token-id files: an adaptive context-mixing range coder over independently reset, checksummed blocks.
 
 Within a block, the two ids before predict one id and the id before predicts another, each with its
-run of successes. Logistic mixing of adaptive probabilities tells how likely the first prediction holds;
-if it fails, the second one is asked, and what is left is coded by an adaptive order-0 distribution over
-magnitudes of ids. Blocks know nothing of each other, so any task can read any block. Many blocks are
+run of successes; the longer run names the predicted id. Logistic mixing of adaptive probabilities tells
+how likely it is to come. If it does not, the id is coded by an adaptive order-0 distribution over
+magnitudes of ids and its remaining bits. Blocks know nothing of each other, so any task can read any block. Many blocks are
 coded in step, one id of each at a time, which is what makes numpy fast enough; all arithmetic is on
 integers, so every machine decodes what another one wrote.
 """
@@ -23,13 +23,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from creditweave.llm.common import CHUNKS, Memo, pieces
+from creditweave.llm.common import CHUNKS, pieces
 from creditweave.session import scratch_dir
 
 #: Ids in a block, and blocks coded in step.
 BLOCK, LANES = 4096, 2048
 _SLOTS2, _SLOTS1 = 11, 10
-_CLASSES = 64
+_CLASSES = 16
 _U32 = np.uint32
 
 
@@ -45,11 +45,14 @@ _STRETCH, _SQUASH = _stretch_tables()
 
 
 def _magnitude(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class of an id (bit length and the two bits after the first), its remaining bits and how many they are."""
+    """Class of an id (its bit length, small ids together), its remaining bits and how many they are."""
     x = ids + 4
-    top = np.frexp(x.astype(np.float64))[1] - 1
-    shift = top - 2
-    return ((top - 2) << 2) | ((x >> shift) & 3), x & ((1 << shift) - 1), shift
+    shift = np.frexp(x.astype(np.float32))[1] - 3
+    return shift, x - (4 << shift), shift + 2
+
+
+#: What one more id of a class adds to the cumulative counts of all classes.
+_STEPS = (np.arange(_CLASSES + 1)[None, :] > np.arange(_CLASSES)[:, None]) * np.int32(24)
 
 
 class _Model:
@@ -63,49 +66,44 @@ class _Model:
         self.table2, self.table1 = np.zeros(lanes << _SLOTS2, np.int32), np.zeros(lanes << _SLOTS1, np.int32)
         self.by_run2, self.by_run1 = np.full(lanes << 4, 1 << 15, np.int32), np.full(lanes << 4, 1 << 15, np.int32)
         self.weight2, self.weight1 = np.full(lanes, 40_000, np.int32), np.full(lanes, 25_000, np.int32)
-        self.second = np.full(lanes << 4, 1 << 15, np.int32)
-        self.total = np.arange(0, (_CLASSES + 1) * 16, 16, dtype=np.int32)[None, :].repeat(lanes, 0)
+        self.total = np.arange(0, (_CLASSES + 1) * 32, 32, dtype=np.int32)[None, :].repeat(lanes, 0)
         self.last, self.before = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
 
-    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The ids predicted by order 2 and order 1, and the 12-bit probability that the first is right."""
-        self.slot2 = self.base2 + (((self.last * 0x2F0B4C47 + self.before * 0x1B873593) >> 13) & ((1 << _SLOTS2) - 1))
-        self.slot1 = self.base1 + (((self.last * 0x2F0B4C47) >> 15) & ((1 << _SLOTS1) - 1))
-        entry2, entry1 = self.table2[self.slot2], self.table1[self.slot1]
-        self.id2, self.run2, self.id1, self.run1 = entry2 >> 3, entry2 & 7, entry1 >> 3, entry1 & 7
-        agree = self.id2 == self.id1
-        self.agree = agree
-        self.cell2 = self.base + (self.run2 << 1) + agree
-        self.cell1 = self.base + (self.run1 << 1) + agree
-        self.logit2, self.logit1 = _STRETCH[self.by_run2[self.cell2] >> 4], _STRETCH[self.by_run1[self.cell1] >> 4]
+    def predict(self) -> tuple[np.ndarray, np.ndarray]:
+        """The predicted ids, and the 12-bit probabilities that they come."""
+        mixed = self.last * 0x2F0B4C47
+        self.slot1 = self.base1 + ((mixed >> 15) & ((1 << _SLOTS1) - 1))
+        self.slot2 = self.base2 + (((mixed + self.before * 0x1B873593) >> 13) & ((1 << _SLOTS2) - 1))
+        self.entry2, self.entry1 = self.table2[self.slot2], self.table1[self.slot1]
+        run2, run1 = self.entry2 & 7, self.entry1 & 7
+        self.id = np.where(run2 + 1 >= run1, self.entry2, self.entry1) >> 3
+        agree = (self.entry2 ^ self.entry1) < 8
+        self.cell2 = self.base + (run2 << 1) + agree
+        self.cell1 = self.base + (run1 << 1) + agree
+        self.old2, self.old1 = self.by_run2[self.cell2], self.by_run1[self.cell1]
+        self.logit2, self.logit1 = _STRETCH[self.old2 >> 4], _STRETCH[self.old1 >> 4]
         mixed = (self.weight2 * self.logit2 + self.weight1 * self.logit1) >> 16
         self.p = _SQUASH[np.minimum(np.maximum(mixed, -2047), 2047) + 2048]
-        return self.id2, self.id1, self.p
+        return self.id, self.p
 
     def learn(self, ids: np.ndarray) -> None:
         """Takes in the ids that really came."""
-        hit2, hit1 = ids == self.id2, ids == self.id1
-        error = (hit2.astype(np.int32) << 12) - self.p
-        self.weight2 += (self.logit2 * error + 8192) >> 14
-        self.weight1 += (self.logit1 * error + 8192) >> 14
-        for weight in (self.weight2, self.weight1):
-            np.clip(weight, -400_000, 400_000, out=weight)
-        for cells, at in ((self.by_run2, self.cell2), (self.by_run1, self.cell1)):
-            old = cells[at]
-            cells[at] = old + ((np.where(hit2, 65535, 0) - old) >> 5)
+        hit = (ids == self.id).astype(np.int32)
+        error = (hit << 12) - self.p
+        for weight, logit in ((self.weight2, self.logit2), (self.weight1, self.logit1)):
+            weight += (logit * error + 8192) >> 14
+            np.minimum(np.maximum(weight, -400_000, out=weight), 400_000, out=weight)
+        target = hit * 65535
+        self.by_run2[self.cell2] = self.old2 + ((target - self.old2) >> 5)
+        self.by_run1[self.cell1] = self.old1 + ((target - self.old1) >> 5)
         kept = ids << 3
-        self.table2[self.slot2] = kept + np.where(hit2, np.minimum(self.run2 + 1, 7), 0)
-        self.table1[self.slot1] = kept + np.where(hit1, np.minimum(self.run1 + 1, 7), 0)
+        for table, slot, entry in ((self.table2, self.slot2, self.entry2), (self.table1, self.slot1, self.entry1)):
+            table[slot] = np.where((kept ^ entry) < 8, np.minimum(entry + 1, kept + 7), kept)
         self.before, self.last = self.last, ids
 
-    def learn_second(self, rows: np.ndarray, hit: np.ndarray) -> None:
-        at = self.cell1[rows]
-        old = self.second[at]
-        self.second[at] = old + ((np.where(hit, 65535, 0) - old) >> 5)
-
     def learn_class(self, rows: np.ndarray, classes: np.ndarray) -> None:
         table = self.total[rows]
-        table += (np.arange(_CLASSES + 1)[None, :] > classes[:, None]) * np.int32(24)
+        table += _STEPS[classes]
         # Halved when full; every class keeps a share, so any id can come.
         full = np.flatnonzero(table[:, -1] > 4096 - 24)
         if len(full):
@@ -203,19 +201,11 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     active = np.searchsorted(-lengths[order], -np.arange(len(ids)), side="left")
     for step in range(len(ids)):
         real, now = ids[step], int(active[step])
-        id2, id1, p = model.predict()
-        hit2 = real == id2
+        guess, p = model.predict()
         rows = _ALL if now == len(blocks) else np.arange(now)
-        h, q = hit2[:now], p[:now]
+        h, q = (real == guess)[:now], p[:now]
         out.put(rows, np.where(h, 0, q), np.where(h, q, 4096 - q), _BITS12)
         rest = np.flatnonzero(~h)
-        ask = rest[~model.agree[rest]]
-        hit = real[ask] == id1[ask]
-        if len(ask):
-            q = np.clip(model.second[model.cell1[ask]] >> 4, 1, 4095)
-            out.put(ask, np.where(hit, 0, q), np.where(hit, q, 4096 - q), _BITS12)
-            model.learn_second(ask, hit)
-        rest = np.setdiff1d(rest, ask[hit], assume_unique=True)
         if len(rest):
             classes, low, bits = _magnitude(real[rest])
             table = model.total[rest]
@@ -243,32 +233,22 @@ def decode_blocks(payloads: list[bytes], lengths: np.ndarray) -> list[np.ndarray
     active = np.searchsorted(-lengths[order], -np.arange(longest), side="left")
     for step in range(longest):
         now = int(active[step])
-        id2, id1, p = model.predict()
+        guess, p = model.predict()
         rows = _ALL if now == len(payloads) else np.arange(now)
         q = p[:now]
-        hit2 = source.peek(rows, _BITS12) < q
-        source.take(rows, np.where(hit2, 0, q), np.where(hit2, q, 4096 - q))
+        hit = source.peek(rows, _BITS12) < q
+        source.take(rows, np.where(hit, 0, q), np.where(hit, q, 4096 - q))
         real = np.zeros(len(payloads), np.int32)
-        real[:now] = id2[:now]
-        rest = np.flatnonzero(~hit2)
-        ask = rest[~model.agree[rest]]
-        hit = np.zeros(0, bool)
-        if len(ask):
-            q = np.clip(model.second[model.cell1[ask]] >> 4, 1, 4095)
-            hit = source.peek(ask, _BITS12) < q
-            source.take(ask, np.where(hit, 0, q), np.where(hit, q, 4096 - q))
-            model.learn_second(ask, hit)
-            real[ask[hit]] = id1[ask[hit]]
-        rest = np.setdiff1d(rest, ask[hit], assume_unique=True)
+        real[:now] = guess[:now]
+        rest = np.flatnonzero(~hit)
         if len(rest):
             value, table, each = source.peek(rest, _BITS12), model.total[rest], np.arange(len(rest))
             classes = np.minimum((table <= value[:, None]).sum(axis=1) - 1, _CLASSES - 1)
             start, end = table[each, classes], table[each, classes + 1]
             source.take(rest, start, end - start)
-            shift = classes >> 2
-            low = source.peek(rest, shift.astype(_U32))
+            low = source.peek(rest, (classes + 2).astype(_U32))
             source.take(rest, low, np.ones(len(rest), np.int32))
-            real[rest] = (((4 | (classes & 3)) << shift) | low) - 4
+            real[rest] = (4 << classes) + low - 4
             model.learn_class(rest, classes)
         model.learn(real)
         ids[step] = real
@@ -311,24 +291,64 @@ def joined_crc(parts: list[tuple[int, int]]) -> int:
     return crc
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core is all it has
-    coder = Tokenizer.from_file(path)
-    coder.no_truncation()
-    coder.no_padding()
-    special = [t.content for t in coder.get_added_tokens_decoder().values()]
-    chunk = Memo(lambda text: np.array(coder.encode(text, add_special_tokens=False).ids, np.int32), 400_000)
-    return coder, special, chunk
+class _Encoder:
+    """Ids of texts by the tokenizers library. Chunks that pre-tokenization keeps apart are encoded once and remembered."""
+
+    def __init__(self, path: str, most: int = 400_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core is all it has
+        self.coder = Tokenizer.from_file(path)
+        self.coder.no_truncation()
+        self.coder.no_padding()
+        self.special = [t.content for t in self.coder.get_added_tokens_decoder().values()]
+        self.most = most
+        self._clear()
+
+    def _clear(self) -> None:
+        self.codes: dict[str, int] = {}
+        self.ids, self.starts = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int64)
+        self.used = 0
+
+    def _learn(self, missing: list[str]) -> None:
+        found = [e.ids for e in self.coder.encode_batch_fast(missing, add_special_tokens=False)]
+        for text in missing:
+            self.codes[text] = len(self.codes)
+        ends = self.used + np.cumsum([len(i) for i in found])
+        while len(self.starts) <= len(self.codes):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+        while len(self.ids) < ends[-1]:
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.starts[len(self.codes) - len(missing) + 1 : len(self.codes) + 1] = ends
+        self.ids[self.used : ends[-1]] = [n for i in found for n in i]
+        self.used = int(ends[-1])
+
+    def _of_chunks(self, chunks: list[str]) -> np.ndarray:
+        if len(self.codes) > self.most:
+            self._clear()
+        if missing := [c for c in set(chunks) if c not in self.codes]:
+            self._learn(missing)
+        return np.fromiter(map(self.codes.__getitem__, chunks), np.int64, len(chunks))
+
+    def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, an end after each, in one array, and how many each has."""
+        parts, lengths = [], []
+        for text in texts:
+            before = len(parts)
+            # A special token's text splits its surroundings, so such a text is encoded as it is.
+            whole = any(s in text for s in self.special)
+            for piece in [text] if whole else pieces(text):
+                codes = self._of_chunks([piece] if whole else CHUNKS.findall(piece))
+                start, stop = self.starts[codes], self.starts[codes + 1]
+                size = stop - start
+                shift = np.repeat(start - np.concatenate([[0], np.cumsum(size)[:-1]]), size) if len(size) else np.zeros(0, np.int64)
+                parts.append(self.ids[shift + np.arange(len(shift))])
+            parts.append(np.array([end_id], np.int32))
+            lengths.append(sum(map(len, parts[before:])))
+        return np.concatenate(parts) if parts else np.zeros(0, np.int32), np.array(lengths, np.int64)
 
 
-def _ids(path: str, text: str, end_id: int) -> np.ndarray:
-    """Ids of a whole text and the end id. Chunks that pre-tokenization keeps apart are encoded once and remembered."""
-    coder, special, chunk = _tokenizer(path)
-    if any(s in text for s in special):
-        return np.array([*coder.encode(text, add_special_tokens=False).ids, end_id], np.int32)
-    found = [a for piece in pieces(text) for a in map(chunk.__getitem__, CHUNKS.findall(piece))]
-    return np.concatenate([*found, np.array([end_id], np.int32)])
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> _Encoder:
+    return _Encoder(path)
 
 
 _FILE = "kind string, part int, seq long, doc_id long, at long, n long, crc long, docs array<long>, sizes array<long>, payload binary"
@@ -379,7 +399,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) -> No
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = _ids(tokenizer, text.as_py() or "", end_id)
+                ids, _ = _encoder(tokenizer).encode([text.as_py() or ""], end_id)
                 rows.append({"kind": "doc", "part": part, "seq": number, "doc_id": doc_id, "at": at, "n": len(ids)})
                 held.append((number, ids))
                 number, at, count = number + 1, at + len(ids), count + len(ids)
