@@ -1,11 +1,12 @@
 """Near-duplicate join on word shingles by a token-group matrix.
 
-Equal shingle sets are one node. A global token order (rare first, tokens in many documents last) gives
-every set a short prefix that any partner must share, so nodes without a shared prefix token are done.
+Equal shingle sets are one node, named by a 64-bit hash of the set. A global token order (rare first, tokens in many documents last) gives
+every set a prefix of which any partner's prefix holds a tenth of the set, so nodes whose prefixes meet
+others in fewer tokens are done.
 The others are partitioned into small groups of similar sets; each group stores its members' tokens and
 their union. Links inside a group are counted from its token matrix. A node meets another group only
-where prefix tokens meet and the two are not connected yet: the overlap of its tokens with the group's
-union bounds every overlap inside, and only groups that the bound lets qualify are opened.
+where enough prefix tokens meet and the two are not connected yet: the overlap of its tokens with the
+group's union bounds every overlap inside, and only groups that the bound lets qualify are opened.
 """
 
 from __future__ import annotations
@@ -17,14 +18,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditweave.llm.common import written
+from creditweave.llm.common import Memo, written
 from creditweave.llm.graph import components
 from creditweave.llm.shingles import batch_words, mix, shingle_set
 
 #: Members of a group at most.
 GROUP = 64
 #: A token is frequent in a part of the input when this share of its documents hold it.
-FREQUENT = 0.005
+FREQUENT = 0.0005
 _NULL_KEY = -(1 << 62)
 
 
@@ -45,6 +46,14 @@ def _needed(n):
     return (8 * n + 9) // 10
 
 
+def _meetings(n):
+    """Prefix tokens that a set of ``n`` shares with any partner of its size or above.
+
+    If two sets share a tokens, the prefixes of their sizes less a plus m tokens share m of them.
+    """
+    return np.maximum(1, n // 10)
+
+
 def frequent_tokens(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Tokens that many documents hold, with their counts, sorted by token.
 
@@ -92,7 +101,7 @@ def _prefix(tokens: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.
     n = len(tokens)
     if not n:
         return tokens
-    length = n - _needed(n) + 1
+    length = n - _needed(n) + int(_meetings(n))
     weight = np.zeros(n, np.int64)
     if len(frequent):
         at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
@@ -100,48 +109,61 @@ def _prefix(tokens: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.
     return tokens[np.lexsort((tokens, weight))[:length]]
 
 
+def _node(tokens: np.ndarray) -> int:
+    return int(mix(tokens, 2).sum(dtype=np.uint64).view(np.int64)) if len(tokens) else 0
+
+
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, key, n, h1, h2, prefix`` of every document; ``h1, h2`` identify the whole set."""
+    """``doc_id, key, n, node, prefix`` of every document; ``node`` names its whole set.
+
+    A task gives the prefix of a set once, with the first of its copies that it meets.
+    """
     frequent, counts = frequent_tokens(docs, size)
     shared = docs.sparkSession.sparkContext.broadcast((frequent, counts))
 
     def run(batches):
         frequent, counts = shared.value
+        seen = Memo(lambda node: True, 1_000_000)
         for batch in batches:
-            n, h1, h2, prefix = [], [], [], []
+            n, node, prefix = [], [], []
             for tokens in _sets(batch.column(2), size):
                 n.append(len(tokens))
-                h1.append(int(mix(tokens, 2).sum(dtype=np.uint64).view(np.int64)))
-                h2.append(int(mix(tokens, 3).sum(dtype=np.uint64).view(np.int64)))
-                prefix.append(_prefix(tokens, frequent, counts).view(np.int64))
-            arrays = [pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], ["doc_id", "key", "n", "h1", "h2", "prefix"])
+                node.append(_node(tokens))
+                known = node[-1] in seen
+                seen[node[-1]] = True
+                prefix.append([] if known else _prefix(tokens, frequent, counts).view(np.int64))
+            arrays = [pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], ["doc_id", "key", "n", "node", "prefix"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), doc_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
-    return rows.mapInArrow(run, "doc_id long, key long, n long, h1 long, h2 long, prefix array<long>")
+    return rows.mapInArrow(run, "doc_id long, key long, n long, node long, prefix array<long>")
 
 
 def shared_tokens(prefixes: DataFrame) -> DataFrame:
-    """The rows of ``token, node`` whose token occurs in two rows or more, by one shuffle and a scan of sorted rows."""
+    """The distinct ``token, node`` whose token occurs in two nodes or more, by one shuffle and a scan of sorted rows."""
 
     def run(batches):
-        held_token = held_node = None
-        held_shared = False
+        held = None
         for batch in batches:
             if not batch.num_rows:
                 continue
             token, node = (batch.column(c).to_numpy() for c in (0, 1))
-            if held_token is not None:
-                token, node = np.concatenate([[held_token], token]), np.concatenate([[held_node], node])
+            shared = np.zeros(len(token), bool)
+            if held is not None:
+                token, node, shared = np.append(held[0], token), np.append(held[1], node), np.append(held[2], shared)
+            new = np.concatenate([[True], (token[1:] != token[:-1]) | (node[1:] != node[:-1])])
+            token, node, shared = token[new], node[new], shared[new]
             same = token[1:] == token[:-1]
-            before = np.concatenate([[held_shared], same])
-            keep = before | np.concatenate([same, [False]])
-            held_token, held_node, held_shared = token[-1], node[-1], bool(before[-1])
-            yield pa.RecordBatch.from_arrays([pa.array(token[:-1][keep[:-1]]), pa.array(node[:-1][keep[:-1]])], ["token", "node"])
-        if held_shared:
-            yield pa.RecordBatch.from_arrays([pa.array([held_token], pa.int64()), pa.array([held_node], pa.int64())], ["token", "node"])
-
-    rows = prefixes.select("token", "node").repartition("token").sortWithinPartitions("token")
+            shared[1:] |= same
+            shared[:-1] |= same
+            # The last row waits for what follows; it keeps in mind that its token was shared.
+            held = token[-1:], node[-1:], shared[-1:]
+            keep = shared[:-1]
+            yield pa.RecordBatch.from_arrays([pa.array(token[:-1][keep]), pa.array(node[:-1][keep])], ["token", "node"])
+        if held is not None and held[2][0]:
+            yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(held[1])], ["token", "node"])
+
+    rows = prefixes.select("token", "node").repartition("token").sortWithinPartitions("token", "node")
     return rows.mapInArrow(run, "token long, node long")
 
 
@@ -197,7 +219,8 @@ def grouped(sets: DataFrame) -> DataFrame:
             extra = [last] if last is not None else []
             roots = _roots([m[1] for m in extra] + sets) if len(sets) + len(extra) > 1 else np.zeros(1, np.int64)
             names = [m[0] for m in extra + members]
-            union = np.unique(np.concatenate(sets)) if len(sets) > 1 else sets[0]
+            # A single set is its own union.
+            union = np.unique(np.concatenate(sets)) if len(sets) > 1 else np.zeros(0, np.uint64)
             skip = len(extra)
             return {
                 "group": int(mix(np.array([members[0][0]], np.int64).view(np.uint64) ^ mix(np.array([home], np.int64).view(np.uint64), 4)).view(np.int64)[0]),
@@ -238,10 +261,10 @@ def _opened(asked: DataFrame) -> DataFrame:
             a, b = [], []
             for row in zip(*(batch.column(c) for c in ("node", "asking", "nodes", "lengths", "tokens", "union")), strict=True):
                 node, asking, nodes, lengths, tokens, union = row
-                q, u = (np.frombuffer(x.as_buffer(), np.uint64) for x in (asking, union))
-                if _common(q, u) < _needed(len(q)):
+                q, u, all_tokens = (np.frombuffer(x.as_buffer(), np.uint64) for x in (asking, union, tokens))
+                if _common(q, u if len(u) else all_tokens) < _needed(len(q)):
                     continue
-                all_tokens, at = np.frombuffer(tokens.as_buffer(), np.uint64), 0
+                at = 0
                 for member, n in zip(nodes.as_py(), lengths.as_py(), strict=True):
                     common = _common(q, all_tokens[at : at + n])
                     at += n
@@ -260,17 +283,45 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
-def _tokens(docs: DataFrame, size: int) -> DataFrame:
-    """``node, home, n, tokens`` of ``node, text``; home is the least token under its own hash."""
+def _tokens(texts: DataFrame, size: int) -> DataFrame:
+    """``node, home, n, tokens`` of texts; home is the least token under its own hash. Sets without tokens are left out."""
 
     def run(batches):
         for batch in batches:
-            sets = list(_sets(batch.column(1), size))
-            home = [int(mix(s, 9).min().view(np.int64)) if len(s) else 0 for s in sets]
-            arrays = [pa.array(home, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["node", "home", "n", "tokens"])
+            sets = [t for t in _sets(batch.column(0), size) if len(t)]
+            home = [int(mix(s, 9).min().view(np.int64)) for s in sets]
+            arrays = [pa.array(map(_node, sets), pa.int64()), pa.array(home, pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["node", "home", "n", "tokens"])
+
+    return texts.select("text").mapInArrow(run, "node long, home long, n long, tokens binary")
 
-    return docs.select("node", "text").mapInArrow(run, "node long, home long, n long, tokens binary")
+
+def _least_meetings(n: Column) -> Column:
+    return F.greatest(F.lit(1), F.floor(n / 10)).cast("long")
+
+
+def _across(meeting: DataFrame, groups: DataFrame, homes: DataFrame, first: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between groups whose members are not connected yet, where enough of their prefix tokens meet.
+
+    Of two components the smaller one's nodes ask the groups of the other, for every token they share.
+    """
+    spark = meeting.sparkSession
+    sizes = first.groupBy("label").agg(F.count("*").alias("members"))
+    ranked = first.join(sizes, "label").select("node", F.struct("members", "label").alias("rank"))
+    placed = written(spark, meeting.join(homes.select("node", "group").distinct(), "node").join(ranked, "node"), "placed-tokens")
+    split = placed.groupBy("token").agg(F.min("rank").alias("smallest"), F.max("rank").alias("largest"))
+    split = written(spark, split.filter("smallest < largest").select("token", "largest"), "split-tokens")
+    apart = written(spark, placed.join(split, "token"), "apart")
+    asking = apart.filter(F.col("rank") < F.col("largest")).select("token", "node", F.col("group").alias("home"), F.col("rank").alias("own"))
+    there = written(spark, apart.select("token", "group", "rank").distinct(), "token-matrix")
+    met = asking.join(there, "token").filter((F.col("own") < F.col("rank")) & (F.col("home") != F.col("group")))
+    met = met.groupBy("node", "group").agg(F.count("*").alias("tokens_met"))
+    least = groups.select("group", F.array_min("lengths").alias("least"))
+    asked = met.join(sets.select("node", "n"), "node").join(least, "group")
+    asked = asked.filter(F.col("tokens_met") >= _least_meetings(F.least("n", "least"))).select("node", "group")
+    # Few pairs are left when the tokens join them.
+    asked = written(spark, asked, "asked").join(sets.select("node", F.col("tokens").alias("asking")), "node")
+    return _opened(asked.join(groups.drop("roots"), "group"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
@@ -285,38 +336,33 @@ def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
     """
     spark = docs.sparkSession
     signed = written(spark, signatures(docs, size), "signatures")
-    classes = signed.filter("n > 0").groupBy("h1", "h2").agg(F.min("key").alias("node"), F.min_by("prefix", "key").alias("prefix"))
-    classes = written(spark, classes, "classes")
-    pairs = classes.select("node", F.explode("prefix").alias("token"))
-    meeting = written(spark, shared_tokens(pairs), "shared-tokens")
-    # Same id, other texts: the id joins their classes.
-    rows = signed.filter("n > 0").select("key", "h1", "h2").join(classes.select("h1", "h2", "node"), ["h1", "h2"])
-    member = written(spark, rows.select("key", "node").distinct(), "members")
-
-    in_play = meeting.select("node").distinct()
-    texts = docs.select(doc_key(F.col("doc_id"), F.col("text")).alias("node"), "text").join(in_play, "node", "left_semi")
+    filled = signed.filter("n > 0")
+    meeting = written(spark, shared_tokens(filled.select("node", F.explode("prefix").alias("token"))), "shared-tokens")
+
+    # A partner has at least 0.8 of the shingles, and the two meet in as many tokens as the smaller one asks for.
+    met = meeting.groupBy("node").agg(F.count("*").alias("met"))
+    in_play = filled.groupBy("node").agg(F.min("key").alias("key"), F.min("n").alias("n")).join(met, "node")
+    in_play = in_play.filter(F.col("met") >= _least_meetings(F.ceil(F.col("n") * 8 / 10))).select("key")
+    texts = docs.select(doc_key(F.col("doc_id"), F.col("text")).alias("key"), "text").join(in_play, "key", "left_semi")
     sets = written(spark, _tokens(texts, size), "token-sets")
     groups = written(spark, grouped(sets), "token-groups")
     homes = groups.select("group", F.explode(F.arrays_zip("nodes", "roots")).alias("m")).select("group", F.col("m.nodes").alias("node"), F.col("m.roots").alias("root"))
     first = written(spark, components(homes.select(F.col("node").alias("a"), F.col("root").alias("b"))), "first-links")
-
-    placed = meeting.join(homes.select("node", "group").distinct(), "node").join(first, "node")
-    by_label = placed.groupBy("token", "label").agg(F.count("*").alias("n"))
-    split = by_label.groupBy("token").agg(F.count("*").alias("labels"), F.max_by("label", F.struct("n", "label")).alias("largest"))
-    split = split.filter("labels > 1").select("token", "largest")
-    apart = written(spark, placed.join(split, "token"), "apart")
-    asking = apart.filter("label <> largest").select("token", "node", F.col("label").alias("own"))
-    there = apart.select("token", "group", "label").distinct()
-    wanted = asking.join(there, "token").filter("own <> label").select("node", "group").distinct()
-    asked = wanted.join(sets.select("node", F.col("tokens").alias("asking")), "node").join(groups.drop("roots"), "group")
-    more = _opened(asked)
-
-    edges = member.select(F.col("key").alias("a"), F.col("node").alias("b")).unionAll(first.select(F.col("node").alias("a"), F.col("label").alias("b"))).unionAll(more)
-    labels = components(edges).withColumnRenamed("node", "key")
-    # A label made for a null id gives way to the smallest real id of its component.
-    real = labels.filter(F.col("label") <= _NULL_KEY).groupBy("label").agg(F.min(F.when(F.col("key") > _NULL_KEY, F.col("key"))).alias("real"))
-    labels = labels.join(real, "label", "left").select("key", "label", F.when(F.col("label") > _NULL_KEY, F.col("label")).otherwise(F.col("real")).alias("component"))
-    named = signed.select("doc_id", "key", F.col("n").alias("n_shingles")).join(labels, "key", "left")
-    own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))
-    group = F.when(F.col("n_shingles") == 0, F.col("key")).otherwise(F.col("label"))
-    return named.select("doc_id", "key", "n_shingles", own.alias("component_id"), group.alias("component_key"))
+    more = _across(meeting, groups, homes, first, sets)
+
+    # One id, other texts: the id joins their sets.
+    several = filled.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("last")).filter("b <> last").select("key", "b")
+    shared_ids = filled.select("key", F.col("node").alias("a")).join(several, "key").select("a", "b")
+    edges = first.select(F.col("node").alias("a"), F.col("label").alias("b")).unionAll(more).unionAll(shared_ids)
+    labels = written(spark, components(edges), "labels")
+    named = signed.select("doc_id", "key", F.col("n").alias("n_shingles"), "node").join(labels, "node", "left")
+    named = written(spark, named.withColumn("label", F.coalesce("label", "node")), "labelled")
+    least = named.filter("n_shingles > 0").groupBy("label").agg(F.min("key").alias("component_key"), F.min("doc_id").alias("component_id"), F.count("*").alias("n"))
+    # Only components of several documents need the join; the others name themselves.
+    least = written(spark, least.filter("n > 1").drop("n"), "components")
+    done = named.join(least, "label", "left")
+    return done.select(
+        "doc_id", "key", "n_shingles",
+        F.when(F.col("component_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.coalesce("component_key", "key").alias("component_key"),
+    )

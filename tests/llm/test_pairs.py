@@ -67,7 +67,9 @@ def test_ids_shared_by_texts_are_one_document(spark):
 
 
 @pytest.mark.parametrize("edges", [[], [(1, 1)], [(5, 2), (2, 9), (7, 8)], [(k, k + 1) for k in range(60)], [(0, k) for k in range(50)]])
-def test_components(spark, edges):
+@pytest.mark.parametrize("limit", [500_000, 0], ids=["one-task", "stars"])
+def test_components(spark, edges, limit, monkeypatch):
+    monkeypatch.setattr(graph, "ONE_TASK_EDGES", limit)
     nodes = {n for e in edges for n in e}
     label = {n: n for n in nodes}
     for _ in nodes:
