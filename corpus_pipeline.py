@@ -2,31 +2,45 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditweave.llm import bpe, decontaminate, jaccard, suffix_dedup, toxicity
-from creditweave.llm.common import ship_code, written
+from creditweave.llm.common import ship_code, stage_tables, written
 from creditweave.llm.queries import BYTE_BPE
 
 #: SQL has no form for the stages; tests hold them against brute force.
 ORACLE_SQL = None
 
 
+def _stage(function):
+    """A stage sends the code along and drops the tables that the stage before it made on its way."""
+
+    @wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_code(spark)
+        with stage_tables(spark):
+            return function(spark, docs, sf_dir)
+
+    return run
+
+
+@_stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject; a null or empty text stays."""
-    ship_code(spark)
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.score(docs, model).filter("predicted = 0").select(*docs.columns)
 
 
+@_stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id.
 
     Null ids count as smaller than others, in an order made from their texts. Texts without a word are
     linked with nothing and stay, all of them. Of rows with words that share an id, one stays.
     """
-    ship_code(spark)
     found = written(spark, jaccard.near_duplicates(docs.select("doc_id", "text")), "near-duplicates")
     has_words = F.regexp_like(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]"))
     keyed = docs.withColumns({"_key": jaccard.doc_key(F.col("doc_id"), F.col("text")), "_grouped": has_words})
@@ -39,12 +53,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return rows.select(*docs.columns)
 
 
+@_stage
 def drop_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes that repeat an earlier 100-byte string; documents left empty go, null texts stay.
 
     A character of which only a part is repeated goes as a whole. ``n_chars`` follows the text.
     """
-    ship_code(spark)
     done = suffix_dedup.deduplicated(docs).filter("n_removed = 0 or n_removed < n_bytes")
     text = F.when(F.col("text").isNotNull(), F.col("kept"))
     columns = {c: F.col(c) for c in docs.columns} | {"text": text}
@@ -53,14 +67,15 @@ def drop_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return done.select(*(c.alias(name) for name, c in columns.items()))
 
 
+@_stage
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark; a null or empty text stays."""
     return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@_stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids; a null or empty text has none."""
-    ship_code(spark)
     return bpe.encode_ids(docs, BYTE_BPE)
 
 

@@ -6,6 +6,7 @@ import re
 import tempfile
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,9 +52,31 @@ def remainder(key: Column, modulus: int) -> Column:
     return F.crc32(text.cast("binary")) % F.lit(modulus)
 
 
+#: Tables of the pipeline stage that runs, and of the last one, by application.
+_stage_tables: list[str] | None = None
+_last_stage: dict[str, list[str]] = {}
+
+
+@contextmanager
+def stage_tables(spark: SparkSession) -> Iterator[None]:
+    """Notes the tables a pipeline stage writes, and drops those of the stage before, whose result is stored by now."""
+    global _stage_tables
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    for path in _last_stage.pop(spark.sparkContext.applicationId, []):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+    _stage_tables = []
+    try:
+        yield
+    finally:
+        _last_stage[spark.sparkContext.applicationId], _stage_tables = _stage_tables, None
+
+
 def written(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
     """The rows as a table in the shared folder: lineage ends there, a lost executor costs nothing."""
     path = scratch_dir(spark, label)
+    if _stage_tables is not None:
+        _stage_tables.append(path)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
