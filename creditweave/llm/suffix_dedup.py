@@ -109,6 +109,9 @@ def _tuples(texts: DataFrame) -> DataFrame:
         key, tag, size = (np.repeat(np.array([r[0][k] for r in rows], np.int64), n) for k in range(3))
         order = np.lexsort((pos, tag, key, context, anchor))
         pos, anchor, context, key, tag, size = (x[order] for x in (pos, anchor, context, key, tag, size))
+        # A row that is repeated gives the same tuples again; they are no copies of themselves.
+        once = _first_of_runs(anchor, context, key, tag, pos)
+        pos, anchor, context, key, tag, size = (x[once] for x in (pos, anchor, context, key, tag, size))
         known = ~_first_of_runs(anchor, context)
         # Known copies need no meeting any more: they go anywhere, so no partition fills with them.
         anchor = np.where(known, mix(key.view(np.uint64) * np.uint64(31) + pos.view(np.uint64), 6), anchor)
@@ -139,7 +142,8 @@ def _compared(tuples: DataFrame) -> DataFrame:
     """Repeated tuples: copies of an earlier equal context, and first contexts of anchors that may have others."""
 
     def split(rows, border: bool):
-        anchor, context, key, tag, pos, size, known = rows
+        once = _first_of_runs(*rows[:5])
+        anchor, context, key, tag, pos, size, known = (c[once] for c in rows)
         copy = known | ~_first_of_runs(anchor, context)
         own = ~known
         run = np.cumsum(_first_of_runs(anchor)) - 1
@@ -192,8 +196,13 @@ def _cut_out(found: DataFrame, texts: DataFrame, schema: str, rows_of) -> DataFr
     wanted = found.groupBy("key", "tag").agg(F.collect_list(F.struct("pos", "anchor")).alias("at"))
 
     def run(batches):
+        last = None
         for batch in batches:
             for key, tag, text, at in zip(*(batch.column(c) for c in ("key", "tag", "text", "at")), strict=True):
+                # Most repeated rows end here; the rest are left out where their contexts meet.
+                if (key, tag) == last:
+                    continue
+                last = key, tag
                 data = np.frombuffer(text.as_buffer(), np.uint8)
                 places, anchors_ = at.values.field("pos").to_numpy(), at.values.field("anchor").to_numpy()
                 for first in range(0, len(places), 4096):
@@ -294,6 +303,8 @@ def _resolved(contexts: DataFrame) -> DataFrame:
             flat = b"".join(batch.column(6).to_pylist())
             rows.append(np.frombuffer(flat, np.uint8).reshape(len(rows[0]), LENGTH + _REACH))
             held = rows if held is None else [np.concatenate([a, b]) for a, b in zip(held, rows, strict=True)]
+            once = _first_of_runs(*held[:4])
+            held = held if once.all() else [c[once] for c in held]
             cut = int(np.searchsorted(held[0], held[0][-1]))
             if cut and len(held[0]) >= SHARD:
                 if (out := solve([c[:cut] for c in held])) is not None:
@@ -302,7 +313,7 @@ def _resolved(contexts: DataFrame) -> DataFrame:
         if held is not None and (out := solve(held)) is not None:
             yield out
 
-    return contexts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, _SPAN)
+    return contexts.repartition("anchor").sortWithinPartitions("anchor", "key", "tag", "pos").mapInArrow(run, _SPAN)
 
 
 def _windows(found: DataFrame, texts: DataFrame) -> DataFrame:

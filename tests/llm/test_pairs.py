@@ -110,6 +110,25 @@ def test_suffix_dedup(docs, corpus, shard, monkeypatch):
     assert all(len(r.kept.encode()) <= r.n_bytes - r.n_removed and r.lang == "en" for r in got)
 
 
+@pytest.mark.parametrize("shard", [16_384, 4], ids=["sorted", "by-window"])
+@pytest.mark.parametrize("tasks", [1, 4])
+def test_suffix_dedup_of_repeated_rows(spark, shard, tasks, monkeypatch):
+    """Rows that repeat id and text, of which no other id holds a part, keep what one of them keeps."""
+    monkeypatch.setattr(suffix_dedup, "SHARD", shard)
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abdeinorst", k=6)) for _ in range(400)]
+    alone, inside, without, shared = (" ".join(rng.choices(words, k=60)) for _ in range(4))
+    rows = [(1, alone), (2, f"{inside} and {inside}"), (None, without), (3, f"x {shared}"), (4, f"y {shared} z")]
+    rows += [(10 + k, f"{k} {shared[:300]} {k * 7} {inside}") for k in range(6)]
+    want = brute_dedup(sorted(rows, key=lambda r: (r[0] is not None, r[0])))
+    many = [r for r in rows for _ in range(5)]
+    frame = spark.createDataFrame(many, "doc_id long, text string").repartition(tasks)
+    got = suffix_dedup.deduplicated(frame).collect()
+    assert len(got) == len(many)
+    assert {(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == {(i, *v) for i, v in want.items()}
+    assert want[1][1] == want[None][1] == 0 and want[2][1] == len(inside)
+
+
 def test_suffix_dedup_across_blocks(monkeypatch):
     rng = np.random.default_rng(2)
     data = rng.integers(97, 107, 9000).astype(np.uint8)
