@@ -12,11 +12,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Fixed values: ``1`` marks the word positions that a seed hashes.
-MASKS = ("1101101101", "1011011011")
-SPAN = 10
 #: Words that are compared at once, and how many of them must be equal (0.8 of them).
 WINDOW, EQUAL = 13, 11
+SPAN = 10
+#: Word positions that a seed hashes, counted from its first word. Wherever two words are replaced, one of
+#: ``LONG`` fits beside them somewhere in ``WINDOW`` words, and one of ``MIDDLE`` in ``SPAN`` words.
+LONG = ((0, 1, 2, 4, 6, 7), (0, 2, 5, 6, 7, 8))
+MIDDLE = ((0, 1, 3, 4, 5), (0, 1, 3, 6, 7), (0, 1, 4, 6, 7))
+#: ``MIDDLE`` at every place in ``SPAN`` words; ``1`` marks the positions that are hashed.
+MASKS = tuple("".join("01"[k - at in shape] for k in range(SPAN)) for shape in MIDDLE for at in range(SPAN - shape[-1]))
 #: Seeds and items are broadcast up to this many seed rows (about 100 MB); beyond that both sides shuffle.
 BROADCAST_SEEDS = 2_000_000
 
@@ -28,37 +32,65 @@ def word_hashes(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<bigint>")).otherwise(words)
 
 
-def _seed_rows(table: DataFrame, masks: Sequence[str]) -> DataFrame:
-    """``table`` (with ``words``) with one row per seed: ``seed``, and ``at``, the start of its window.
+def shapes_of(size: int) -> tuple[tuple[int, ...], ...]:
+    """Seed shapes of an item of ``size`` words: every alignment with enough equal words is hit by one of them."""
+    if size >= WINDOW:
+        return LONG
+    if size >= SPAN:
+        return MIDDLE
+    if size < 5:  # all words must be equal
+        return (tuple(range(size)),)
+    # One word may differ: of three thirds, two stay whole.
+    third = -(-size // 3)
+    kept = ([k for k in range(size) if k // third != out] for out in range(3))
+    return tuple(tuple(k - part[0] for k in part) for part in kept)
+
+
+def _seed_rows(table: DataFrame, sizes: Sequence[int], of_items: bool) -> DataFrame:
+    """``table`` (with ``words``) with one row per seed: ``seed``, and ``at``, the place of its first word.
 
-    The windows are exploded as positions, and the hashes are plain expressions on the rows, so the whole
-    step stays in generated code; the words ride along by reference.
+    ``sizes`` are the numbers of words, ``WINDOW`` at most, for which seeds are wanted; an item has only
+    those of its own size. The windows are exploded as positions, and the hashes are plain expressions on
+    the rows, so the whole step stays in generated code; the words ride along by reference.
     """
-    starts = F.when(F.size("words") >= SPAN, F.sequence(F.lit(0), F.size("words") - SPAN))
-    windows = table.withColumn("at", F.explode(starts))
-    by_mask = [F.xxhash64(F.lit(number), *(F.get("words", F.col("at") + i) for i, bit in enumerate(mask) if bit == "1")) for number, mask in enumerate(masks)]
-    return windows.withColumn("seed", F.explode(F.array(*by_mask)))
+    size, shapes = F.size("words"), {}
+    for n in sizes:
+        for shape in shapes_of(n):
+            shapes.setdefault(shape, []).append(n)
+    least = min((shape[-1] for shape in shapes), default=0)
+    windows = table.withColumn("at", F.explode(F.when(size > least, F.sequence(F.lit(0), size - 1 - least))))
+    seeds = []
+    for shape, owners in shapes.items():
+        fits = F.col("at") + shape[-1] < size
+        if of_items:
+            fits = fits & F.least(size, F.lit(WINDOW)).isin(owners)
+        name = F.lit(",".join(map(str, shape)))
+        seeds.append(F.when(fits, F.xxhash64(name, *(F.get("words", F.col("at") + k) for k in shape))))
+    seeded = windows.withColumn("seed", F.explode(F.array(*seeds) if seeds else F.array().cast("array<bigint>")))
+    return seeded.filter(F.col("seed").isNotNull())
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = MASKS) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, text_hash, item_id, best_window, matched_words`` for each leaked pair of text and item.
 
-    A pair is leaked when, along one alignment that a seed hit gives, some ``WINDOW`` consecutive words of
-    the item (all, if it has fewer) hold at least ``EQUAL`` equal ones (0.8 of them, if fewer).
+    A pair is leaked when, along one alignment, some ``WINDOW`` consecutive words of
+    the item (all, if it has fewer) hold at least ``EQUAL`` equal ones (0.8 of them, if fewer). A seed hits
+    every such alignment.
     ``best_window`` is the largest such count, ``matched_words`` the equal words along the whole item.
     ``text_hash`` tells apart texts with the same or a null ``doc_id``; repeated rows give one. Null or
-    empty texts, and items under ``SPAN`` words, have no seeds and never match. Other columns are left out.
+    empty texts and items have no seeds and never match. Other columns are left out.
     """
-    items = benchmark.select("item_id", word_hashes(F.col("text")).alias("words")).filter(F.size("words") >= SPAN)
+    items = benchmark.select("item_id", word_hashes(F.col("text")).alias("words")).filter(F.size("words") > 0)
+    sizes = sorted(r[0] for r in items.select(F.least(F.size("words"), F.lit(WINDOW))).distinct().collect())
     # Items with equal words at a place give one seed row each; the pairs below are kept apart by item_id.
-    seeds = _seed_rows(items, masks).select("seed", F.col("at").alias("item_at"), "item_id", F.col("words").alias("item")).distinct()
+    seeds = _seed_rows(items, sizes, True).select("seed", F.col("at").alias("item_at"), "item_id", F.col("words").alias("item")).distinct()
     texts = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), word_hashes(F.col("text")).alias("words"))
     start = (F.col("at") - F.col("item_at")).alias("start")
     if seeds.count() <= BROADCAST_SEEDS:
-        hits = _seed_rows(texts, masks).join(F.broadcast(seeds), "seed").select("doc_id", "text_hash", "item_id", start, "item", "words")
+        hits = _seed_rows(texts, sizes, False).join(F.broadcast(seeds), "seed").select("doc_id", "text_hash", "item_id", start, "item", "words")
     else:
         # Seeds shuffle without the words, which come back to the alignments that were hit.
-        met = _seed_rows(texts, masks).select("doc_id", "text_hash", "at", "seed").join(seeds.drop("item"), "seed")
+        met = _seed_rows(texts, sizes, False).select("doc_id", "text_hash", "at", "seed").join(seeds.drop("item"), "seed")
         met = met.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "item_id", start).distinct()
         same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
         hits = texts.join(met, same).join(items.withColumnRenamed("words", "item"), "item_id")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 
@@ -186,6 +187,55 @@ def test_leaks(spark, limit, monkeypatch):
     assert sorted(map(str, (r.doc_id for r in clean.collect()))) == sorted(str(i) for i, _ in rows if i not in bad)
 
 
+def ruled_leaks(rows, items):
+    """Leaks by the rule alone, every alignment looked at: ``doc_id, item_id, best_window, matched_words``."""
+    out = {}
+    for i, text in rows:
+        d = (text or "").lower().split()
+        for item, passage in items:
+            q = (passage or "").lower().split()
+            width = min(13, len(q))
+            needed = 11 if len(q) >= 13 else -(-len(q) * 8 // 10)
+            for off in range(-len(q) + 1, len(d)):
+                equal = [0 <= off + k < len(d) and d[off + k] == w for k, w in enumerate(q)]
+                best = max(sum(equal[s : s + width]) for s in range(len(q) - width + 1))
+                if best >= needed:
+                    was = out.get((i, item), (0, 0))
+                    out[i, item] = max(best, was[0]), max(sum(equal), was[1])
+    return {(*k, *v) for k, v in out.items()}
+
+
+def test_seeds_hit_every_alignment_of_the_rule():
+    for size in range(1, 14):
+        shapes, missing = decontaminate.shapes_of(size), 2 if size >= 10 else 1 if size >= 5 else 0
+        for out in itertools.combinations(range(size), missing):
+            assert any(not {at + k for k in shape} & set(out) for shape in shapes for at in range(size - shape[-1]))
+
+
+@pytest.mark.parametrize("limit", [2_000_000, 0], ids=["broadcast", "shuffled"])
+def test_leaks_by_the_rule_alone(spark, limit, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", limit)
+    rng = random.Random(6)
+    vocabulary = [f"v{k}" for k in range(2000)]
+    items = [(k, " ".join(rng.choices(vocabulary, k=n))) for k, n in enumerate([*range(1, 14), 16, 20, 45])]
+    rows = []
+    for item, passage in items:
+        for changed in range(5):
+            for _ in range(3):
+                words = passage.split()
+                for at in rng.sample(range(len(words)), min(changed, len(words))):
+                    words[at] = "other"
+                cut = words[rng.choice([0, 0, 1, 2]) :]
+                rows.append((len(rows), " ".join(rng.choices(vocabulary, k=rng.choice([0, 0, 7])) + cut)))
+    fifth = ["other" if k % 5 == 2 else w for k, w in enumerate(items[-1][1].split())]
+    rows.append((len(rows), " ".join(fifth)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = ruled_leaks(rows, items)
+    got = {(r.doc_id, r.item_id, r.best_window, r.matched_words) for r in decontaminate.leaks(docs, bench).collect()}
+    assert got == want and {r[1] for r in want} == {i for i, _ in items}
+
+
 def test_leaks_stay_in_the_jvm(docs, spark):
     bench = spark.createDataFrame([(1, "a b c d e f g h i j k l m n")], "item_id long, text string")
     plan = decontaminate.leaks(docs, bench)._jdf.queryExecution().executedPlan().toString()
