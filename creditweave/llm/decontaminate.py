@@ -77,29 +77,34 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     the item (all, if it has fewer) hold at least ``EQUAL`` equal ones (0.8 of them, if fewer). A seed hits
     every such alignment.
     ``best_window`` is the largest such count, ``matched_words`` the equal words along the whole item.
-    ``text_hash`` tells apart texts with the same or a null ``doc_id``; repeated rows give one. Null or
+    ``text_hash`` tells apart texts with the same or a null ``doc_id``; repeated rows give one. Items
+    that share an id, or have a null one, are compared each for itself and give one row for the id. Null or
     empty texts and items have no seeds and never match. Other columns are left out.
     """
     items = benchmark.select("item_id", word_hashes(F.col("text")).alias("words")).filter(F.size("words") > 0)
+    # Tells apart items that share an id, or have none.
+    items = items.withColumn("item_hash", F.xxhash64("words")).distinct()
     sizes = sorted(r[0] for r in items.select(F.least(F.size("words"), F.lit(WINDOW))).distinct().collect())
     # Items with equal words at a place give one seed row each; the pairs below are kept apart by item_id.
-    seeds = _seed_rows(items, sizes, True).select("seed", F.col("at").alias("item_at"), "item_id", F.col("words").alias("item")).distinct()
+    seeds = _seed_rows(items, sizes, True).select("seed", F.col("at").alias("item_at"), "item_id", "item_hash", F.col("words").alias("item")).distinct()
     texts = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), word_hashes(F.col("text")).alias("words"))
     start = (F.col("at") - F.col("item_at")).alias("start")
     if seeds.count() <= BROADCAST_SEEDS:
-        hits = _seed_rows(texts, sizes, False).join(F.broadcast(seeds), "seed").select("doc_id", "text_hash", "item_id", start, "item", "words")
+        hits = _seed_rows(texts, sizes, False).join(F.broadcast(seeds), "seed").select("doc_id", "text_hash", "item_id", "item_hash", start, "item", "words")
     else:
         # Seeds shuffle without the words, which come back to the alignments that were hit.
         met = _seed_rows(texts, sizes, False).select("doc_id", "text_hash", "at", "seed").join(seeds.drop("item"), "seed")
-        met = met.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "item_id", start).distinct()
+        met = met.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "item_id", "item_hash", start).distinct()
         same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
-        hits = texts.join(met, same).join(items.withColumnRenamed("words", "item"), "item_id")
+        whole = items.select(F.col("item_id").alias("_item"), F.col("item_hash").alias("_item_hash"), F.col("words").alias("item"))
+        same_item = F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("item_hash") == F.col("_item_hash"))
+        hits = texts.join(met, same).join(whole, same_item)
     # The part of the text that lies along the item; no whole text leaves the stage of the join, and each
     # alignment is looked at once.
     size, skipped = F.size("item"), F.greatest(-F.col("start"), F.lit(0))
     beside = F.slice("words", F.greatest(F.col("start"), F.lit(0)) + 1, size - skipped)
-    hits = hits.select("doc_id", "text_hash", "item_id", "start", "item", beside.alias("beside"))
-    hits = hits.groupBy("doc_id", "text_hash", "item_id", "start").agg(F.first("item").alias("item"), F.first("beside").alias("beside"))
+    hits = hits.select("doc_id", "text_hash", "item_id", "item_hash", "start", "item", beside.alias("beside"))
+    hits = hits.groupBy("doc_id", "text_hash", "item_id", "item_hash", "start").agg(F.first("item").alias("item"), F.first("beside").alias("beside"))
     hits = hits.withColumns({"size": size, "skipped": skipped})
     aligned = F.transform("item", lambda w, i: F.coalesce((F.get("beside", i - F.col("skipped")) == w).cast("int"), F.lit(0)))
     hits = hits.withColumn("equal", aligned)

@@ -236,6 +236,22 @@ def test_leaks_by_the_rule_alone(spark, limit, monkeypatch):
     assert got == want and {r[1] for r in want} == {i for i, _ in items}
 
 
+@pytest.mark.parametrize("limit", [2_000_000, 0], ids=["broadcast", "shuffled"])
+def test_leaks_of_items_without_an_id_of_their_own(spark, limit, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", limit)
+    rng = random.Random(9)
+    passages = [" ".join(rng.choices([f"v{k}" for k in range(500)], k=20)) for _ in range(4)]
+    # Items that share an id begin with the same words, so both are hit along one alignment; one is leaked.
+    ends = [" ".join(p.split()[:8]) + " " + " ".join(f"u{k}x{j}" for j in range(12)) for k, p in enumerate(passages)]
+    items = [(None, passages[0]), (None, ends[0]), (7, passages[1]), (7, ends[1]), (8, ends[2]), (8, passages[2]), (None, passages[3])]
+    docs = spark.createDataFrame([*enumerate(passages), (None, passages[0])], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.leaks(docs, bench).collect()
+    want = {(0, None), (None, None), (1, 7), (2, 8), (3, None)}
+    assert len(got) == len(want) and {(r.doc_id, r.item_id) for r in got} == want
+    assert {(r.best_window, r.matched_words) for r in got} == {(13, 20)}
+
+
 def test_leaks_stay_in_the_jvm(docs, spark):
     bench = spark.createDataFrame([(1, "a b c d e f g h i j k l m n")], "item_id long, text string")
     plan = decontaminate.leaks(docs, bench)._jdf.queryExecution().executedPlan().toString()
