@@ -194,6 +194,21 @@ _OUTPUT_COUNTS = " UNION ALL ".join(
     + [f"SELECT '{name}', count(*) FROM ({query}) m" for name, query in MARTS.items()]
 )
 
+_RULE_COUNTS = " UNION ALL ".join(
+    f"SELECT '{name}' AS rule, count(*) AS violations FROM f_clean WHERE {broken}" for name, broken in _RULES.items()
+)
+
+# CRC-32 bit by bit, since DuckDB has none.
+_CRC = """xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(customer_id, ''), lambda s: cast(ord(s) AS bigint))),
+  lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)), lambda x, k: CASE WHEN (x & 1) = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+_PARTS = f"SELECT *, {_CRC} % 3 AS part FROM f_applications_raw"
+_LACKING = {c: f"CASE WHEN part < 2 THEN nullif({c}, '') END AS {c}" for c in ("channel", "term_months")}
+_MIXED = f"""SELECT {', '.join(_LACKING.get(c) or _empty_as_null(c) for c in APPLICATION_COLUMNS)},
+  CASE WHEN part = 2 THEN 'b,2' END AS note FROM f_parts"""
+
+_WIDE_BASE = _latest("batch_no = 0", "f_transactions_wide")
+_WIDE_CHANGES = "(SELECT DISTINCT call_id FROM f_transactions_wide WHERE batch_no = 1)"
+
 ORACLES: dict[str, str] = {
     # An empty text is written to CSV as nothing and read back as NULL.
     "scan_csv": _with(
@@ -201,6 +216,7 @@ ORACLES: dict[str, str] = {
         {},
         f"SELECT {', '.join(_empty_as_null(c) for c in APPLICATION_COLUMNS)} FROM f_applications_raw",
     ),
+    "scan_csv_mixed": _with(("f_applications_raw",), {"f_parts": _PARTS}, _MIXED),
     "scan_parquet": _with(("f_applications_raw",), {}, "SELECT * FROM f_applications_raw"),
     "clean_applications": _clean_query("SELECT * FROM f_clean"),
     "cast_ints": _with(("f_number_text",), {}, f"SELECT *, {_int('number_text')} AS number FROM f_number_text"),
@@ -220,6 +236,7 @@ ORACLES: dict[str, str] = {
     ),
     **{name: _clean_query(query) for name, query in MARTS.items()},
     "batch_job_outputs": _clean_query(_OUTPUT_COUNTS),
+    "batch_job_versions": _clean_query(f"SELECT 2 AS version, *, (SELECT count(*) FROM f_clean) AS clean_rows FROM ({_OUTPUT_COUNTS}) o"),
     "batch_job_clean_applications": _clean_query("SELECT * FROM f_clean"),
     **{f"batch_job_{name}": _clean_query(query) for name, query in MARTS.items()},
     "parse_events": _event_query(
@@ -263,12 +280,8 @@ ORACLES: dict[str, str] = {
         f"""SELECT application_id, {_BROKEN_NAMES} AS violated_rules FROM f_clean
             WHERE {_BROKEN_NAMES} <> ''"""
     ),
-    "decision_rule_counts": _clean_query(
-        " UNION ALL ".join(
-            f"SELECT '{name}' AS rule, count(*) AS violations FROM f_clean WHERE {broken}"
-            for name, broken in _RULES.items()
-        )
-    ),
+    "decision_rule_counts": _clean_query(_RULE_COUNTS),
+    "decision_rule_counts_written": _clean_query(_RULE_COUNTS),
     "transactions_response_rule": _call_query(
         """SELECT seq, call_status, CASE WHEN call_status = 'answered' THEN client_response ELSE 'unknown' END
              AS client_response FROM f_transactions"""
@@ -280,6 +293,24 @@ ORACLES: dict[str, str] = {
     ),
     "transactions_upsert": _call_query(UPSERTED),
     "transactions_upsert_wide": _with(("f_transactions_wide",), {}, _latest("true", "f_transactions_wide")),
+    "transactions_upsert_buckets": _with(("f_transactions_wide",), {}, _latest("true", "f_transactions_wide")),
+    "transactions_upsert_report": _with(
+        ("f_transactions_wide",),
+        {"f_base": _WIDE_BASE},
+        f"""SELECT 'inserted' AS what, count(*) AS row_count FROM {_WIDE_CHANGES} c WHERE call_id NOT IN (SELECT call_id FROM f_base)
+            UNION ALL SELECT 'replaced', count(*) FROM {_WIDE_CHANGES} c WHERE call_id IN (SELECT call_id FROM f_base)
+            UNION ALL SELECT 'kept', count(*) FROM f_base WHERE call_id NOT IN (SELECT call_id FROM {_WIDE_CHANGES} c)
+            UNION ALL SELECT 'without_key', 0""",
+    ),
+    "transactions_upsert_rules": _with(
+        ("f_transactions_wide",),
+        {"f_base": _WIDE_BASE, "f_changes": "SELECT * REPLACE (duration_sec - 100 AS duration_sec) FROM f_transactions_wide WHERE batch_no = 1"},
+        " UNION ALL ".join(
+            f"SELECT '{c}_is_null' AS rule, count(*) AS violations FROM f_changes WHERE {c} IS NULL" for c in TRANSACTION_COLUMNS
+        )
+        + """ UNION ALL SELECT 'duration_out_of_range', count(*) FROM f_changes WHERE duration_sec NOT BETWEEN 0 AND 4294967295
+             UNION ALL SELECT 'rows_of_the_table', count(*) FROM f_base""",
+    ),
     "transactions_upsert_keys": _with(
         ("f_transactions_wide",),
         {},
@@ -287,7 +318,7 @@ ORACLES: dict[str, str] = {
             GROUP BY call_id HAVING count(*) > 1""",
     ),
     "transactions_upsert_rows": _call_query(
-        f"""{BASE} AND call_id NOT IN ('call_20260501_001', 'call_20260501_002')
+        f"""{UPSERTED} AND call_id NOT IN ('call_20260501_001', 'call_20260501_002')
             UNION ALL SELECT * FROM (VALUES
               ('call_20260501_001', TIMESTAMP '2026-05-01 11:42:15', 'client_4412', 'DE-HE', 'credit_card_offer',
                'answered', 'interested', cast(184 AS bigint), true),

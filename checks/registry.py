@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from checks.views import view
 from creditweave import functions as fn
 from creditweave.operators import applications, events, keyed, marts, rules, volume
-from creditweave.plans.batch import run_batch
+from creditweave.operators.watch import RuleViolation
+from creditweave.plans.batch import batch_record, publish_batch, read_output, run_batch
 from creditweave.schemas import TRANSACTION_COLUMNS, TRANSACTION_KEY, TRANSACTIONS_DDL
 from creditweave.session import scratch_dir, use_utc
 from creditweave.sinks import to_messages, write_snapshot, write_table
 from creditweave.sources import read_snapshot, read_source, stream_messages
 from creditweave.streaming import await_query, start_flatten
+from creditweave.tables import create_buckets, read_buckets, upsert_buckets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +83,17 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_source(spark, path, "csv")
 
 
+def scan_csv_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A directory of three deliveries: all columns, the same in another order, and some of them with one more."""
+    path, raw = scratch_dir(spark, "csv-mixed"), _raw(spark, sf_dir)
+    part = F.pmod(F.crc32(F.col("customer_id").cast("binary")), F.lit(3))
+    short = [c for c in raw.columns if c not in ("channel", "term_months")]
+    for k, columns in enumerate((raw.columns, raw.columns[::-1], [*short[3:], *short[:3]])):
+        rows = raw.filter(part == k).select(*columns, *([F.lit("b,2").alias("note")] if k == 2 else []))
+        rows.write.mode("append").options(header=True, escape='"').csv(path)
+    return read_source(spark, path, "csv")
+
+
 def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "parquet")
     write_table(_raw(spark, sf_dir), path)
@@ -159,6 +172,33 @@ def batch_job_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionAll, counted)
 
 
+def batch_job_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in each output of the newest version, after a run that broke its limits midway changed nothing."""
+    source, root = scratch_dir(spark, "job-in"), scratch_dir(spark, "job-versions")
+    write_table(_raw(spark, sf_dir), source)
+    publish_batch(spark, source, root, "parquet")
+    try:
+        publish_batch(spark, source, root, "parquet", limits={"decision_fits_score": 0})
+    except RuleViolation:
+        publish_batch(spark, source, root, "parquet", limits={"rejected_amount_is_zero": 1 << 62})
+    record = batch_record(spark, root)
+    counted = [
+        read_output(spark, root, name).agg(
+            F.lit(2).alias("version"), F.lit(name).alias("output"), F.count("*").alias("row_count"), F.lit(record["rows"]).cast("long").alias("clean_rows")
+        )
+        for name in record["outputs"]
+    ]
+    return reduce(DataFrame.unionAll, counted)
+
+
+def decision_rule_counts_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Violations of each rule as the job counted them while it wrote the clean table."""
+    source, root = scratch_dir(spark, "job-in"), scratch_dir(spark, "job-rules")
+    write_table(_raw(spark, sf_dir), source)
+    publish_batch(spark, source, root, "parquet")
+    return spark.createDataFrame(list(batch_record(spark, root)["violations"].items()), "rule string, violations bigint")
+
+
 def batch_job_mart(name: str) -> Query:
     """A mart as the job leaves it, run on a Parquet input and read back."""
 
@@ -334,6 +374,46 @@ def transactions_upsert_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.upsert(base, changes, TRANSACTION_KEY, ORDER)
 
 
+BUCKETS = 16
+
+
+def _bucket_table(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Folder of a table of the first batch in buckets, and the change set."""
+    calls = _calls(spark, sf_dir, "f_transactions_wide")
+    path = scratch_dir(spark, "buckets")
+    create_buckets(calls.filter("batch_no = 0").select(*TRANSACTION_COLUMNS, *ORDER), path, TRANSACTION_KEY, BUCKETS, ORDER)
+    return path, calls.filter("batch_no = 1")
+
+
+def transactions_upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both batches in a table of buckets: the second one in three upserts, each by a third of its calls in turn."""
+    path, changes = _bucket_table(spark, sf_dir)
+    third = F.pmod(F.floor(F.col("seq") / 3), F.lit(3))
+    for k in range(3):
+        upsert_buckets(spark, path, changes.filter(third == k), ORDER)
+    return read_buckets(spark, path)
+
+
+def transactions_upsert_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the writing jobs counted: rows inserted and replaced, changes without a value, by version."""
+    path, changes = _bucket_table(spark, sf_dir)
+    report = upsert_buckets(spark, path, changes, ORDER)
+    rows = [("inserted", report.inserted), ("replaced", report.replaced), ("kept", report.kept), ("without_key", report.without_key)]
+    return spark.createDataFrame(rows, "what string, row_count bigint")
+
+
+def transactions_upsert_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Violations that stop an upsert, as the job that writes the changes counts them; the table stays as it was."""
+    path, changes = _bucket_table(spark, sf_dir)
+    shifted = changes.withColumn("duration_sec", F.col("duration_sec") - 100)
+    try:
+        upsert_buckets(spark, path, shifted, ORDER, keyed.call_rules())
+    except RuleViolation as refused:
+        counts = {**refused.counts, "rows_of_the_table": read_buckets(spark, path).count()}
+        return spark.createDataFrame(list(counts.items()), "rule string, violations bigint")
+    raise AssertionError("the changes break rules")
+
+
 def transactions_upsert_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys that the upserted table holds more than once: none, even without an order of the changes."""
     base, changes = _call_table(_calls(spark, sf_dir, "f_transactions_wide"))
@@ -351,7 +431,7 @@ SAMPLE_CALLS = (
 
 def transactions_upsert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Literal rows as a change set."""
-    base, _ = _call_table(_calls(spark, sf_dir))
+    base = keyed.latest_per_key(_calls(spark, sf_dir), TRANSACTION_KEY, ORDER).select(*TRANSACTION_COLUMNS)
     text_times = TRANSACTIONS_DDL.replace("call_time timestamp", "call_time string")
     rows = spark.createDataFrame(list(SAMPLE_CALLS), text_times)
     rows = rows.withColumn("call_time", F.col("call_time").cast("timestamp"))
@@ -380,6 +460,7 @@ def transactions_duration_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "scan_csv": scan_csv,
+    "scan_csv_mixed": scan_csv_mixed,
     "scan_parquet": scan_parquet,
     "clean_applications": _clean,
     "cast_ints": cast_ints,
@@ -388,6 +469,8 @@ QUERIES: dict[str, Query] = {
     "parse_iso_time": parse_iso_time,
     **{name: mart(name) for name in marts.MARTS},
     "batch_job_outputs": batch_job_outputs,
+    "batch_job_versions": batch_job_versions,
+    "decision_rule_counts_written": decision_rule_counts_written,
     **{f"batch_job_{name}": batch_job_mart(name) for name in ("clean_applications", *marts.MARTS)},
     "parse_events": parse_events,
     "explode_documents": explode_documents,
@@ -411,6 +494,9 @@ QUERIES: dict[str, Query] = {
     "transactions_snapshot_csv": transactions_snapshot_csv,
     "transactions_upsert": transactions_upsert,
     "transactions_upsert_wide": transactions_upsert_wide,
+    "transactions_upsert_buckets": transactions_upsert_buckets,
+    "transactions_upsert_report": transactions_upsert_report,
+    "transactions_upsert_rules": transactions_upsert_rules,
     "transactions_upsert_keys": transactions_upsert_keys,
     "transactions_upsert_rows": transactions_upsert_rows,
     "transactions_pk_violations": transactions_pk_violations,

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from creditweave.schemas import TRANSACTION_COLUMNS
+
 # Fixed value: largest unsigned 32-bit number.
 MAX_UINT32 = 4294967295
 
@@ -44,7 +46,8 @@ def latest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -
     )
 
 
-def _with_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+def with_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key holds no NULL."""
     return rows.filter(reduce(and_, [F.col(key).isNotNull() for key in keys]))
 
 
@@ -62,7 +65,7 @@ def upsert(
     ``base`` is neither shuffled nor sorted; above it the planner takes a shuffled join on the key,
     which a table bucketed by the key already satisfies.
     """
-    changes = _with_keys(changes, keys)
+    changes = with_keys(changes, keys)
     newest = latest_per_key(changes, keys, order)
     replaced = changes.select(*keys).distinct()
     kept = base.join(replaced, on=list(keys), how="left_anti").select(*base.columns)
@@ -77,7 +80,7 @@ def merge_upsert(
     Such a table rewrites the files that hold changed keys instead of the whole snapshot.
     """
     columns = changes.sparkSession.table(table).columns
-    newest = latest_per_key(_with_keys(changes, keys), keys, order)
+    newest = latest_per_key(with_keys(changes, keys), keys, order)
     matches = reduce(and_, [F.col(f"{table}.{key}") == F.col(f"__changes.{key}") for key in keys])
     (
         newest.select(*columns)
@@ -108,6 +111,12 @@ def split_not_null(rows: DataFrame, columns: Sequence[str]) -> tuple[DataFrame,
     return rows.filter(~missing), violating
 
 
+def call_rules() -> dict[str, Column]:
+    """Rules of the keyed call table, as conditions that break them: no NULL, durations in the unsigned range."""
+    nulls = {f"{c}_is_null": F.col(c).isNull() for c in TRANSACTION_COLUMNS}
+    return nulls | {"duration_out_of_range": ~F.col("duration_sec").between(0, MAX_UINT32)}
+
+
 def uint32_violations(rows: DataFrame, column: str) -> DataFrame:
     """Rows whose number does not fit an unsigned 32-bit column."""
     return rows.filter(~F.col(column).between(0, MAX_UINT32))

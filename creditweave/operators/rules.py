@@ -14,6 +14,14 @@ from creditweave.functions.scoring import APPROVED, MANUAL_REVIEW, REJECTED, dec
 ANSWERED = "answered"
 UNKNOWN_RESPONSE = "unknown"
 
+RULE_NAMES = (
+    "approved_amount_is_requested",
+    "rejected_amount_is_zero",
+    "manual_amount_in_range",
+    "manual_is_flagged",
+    "decision_fits_score",
+)
+
 
 def _broken(applies: Column, holds: Column) -> Column:
     """A rule is broken where it applies and is not known to hold (an unknown value breaks it)."""

@@ -1,3 +1,3 @@
-from creditweave.plans.batch import CLEAN_TABLE, run_batch
+from creditweave.plans.batch import CLEAN_TABLE, batch_record, publish_batch, read_output, remove_old_runs, run_batch
 
-__all__ = ["CLEAN_TABLE", "run_batch"]
+__all__ = ["CLEAN_TABLE", "batch_record", "publish_batch", "read_output", "remove_old_runs", "run_batch"]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from creditweave.schemas import MESSAGE_DDL
+from creditweave.sources.headers import data_files, files_by_header, read_by_header
 
 SOURCE_FORMATS = ("csv", "parquet")
 
@@ -15,22 +16,28 @@ def read_source(
     path: str,
     source_format: str = "csv",
     schema: T.StructType | str | None = None,
+    same_header: bool = False,
 ) -> DataFrame:
     """Applications from a file or a directory of files.
 
     CSV: header row, ``"`` escaped by doubling it, one record per line so that large files split;
-    every column is text. Without a schema the columns are named by the header of one file. Every
-    file of a directory must have that header, in that order; another one raises when it is read.
+    every column is text. The files of a directory may have different headers: columns are matched by
+    name, and one that a file lacks is NULL there. To find out, the first line of every file is read when
+    the frame is made. ``same_header`` leaves that out for a directory of very many files: all must then
+    have the header of one of them, or that of the schema, and another one raises when it is read.
     Parquet brings its own types.
     """
     if source_format not in SOURCE_FORMATS:
         raise ValueError(f"unknown format {source_format!r}; expected one of {', '.join(SOURCE_FORMATS)}")
-    reader = spark.read.format(source_format)
-    if schema is not None:
-        reader = reader.schema(schema)
-    if source_format == "csv":
-        reader = reader.options(header=True, multiLine=False, escape='"', enforceSchema=False)
-    return reader.load(path)
+    options = {"header": True, "multiLine": False, "escape": '"', "enforceSchema": False} if source_format == "csv" else {}
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if source_format == "csv" and not same_header:
+        groups = files_by_header(spark, data_files(spark, path))
+        wanted = None if schema is None else tuple(name.casefold() for name in schema.names)
+        if len(groups) > 1 or any(wanted not in (None, tuple(n.casefold() for n in header)) for header in groups):
+            return read_by_header(spark, groups, options, schema)
+    reader = spark.read.format(source_format).options(**options)
+    return (reader if schema is None else reader.schema(schema)).load(path)
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:

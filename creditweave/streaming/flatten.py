@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
+from creditweave.fs import Folder
 from creditweave.operators.events import flatten_events
 
 ONCE = "once"
@@ -16,37 +17,6 @@ CONTINUOUS = "continuous"
 _PAIR = "_creditweave_stream"
 
 
-class _Files:
-    """Small files of a folder that any of Spark's file systems holds."""
-
-    def __init__(self, spark: SparkSession, folder: str):
-        self._jvm, self._folder = spark._jvm, folder.rstrip("/")
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        self._fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-
-    def _path(self, name: str):
-        return self._jvm.org.apache.hadoop.fs.Path(f"{self._folder}/{name}")
-
-    def has(self, name: str) -> bool:
-        return self._fs.exists(self._path(name))
-
-    def read(self, name: str) -> str | None:
-        if not self.has(name):
-            return None
-        stream = self._fs.open(self._path(name))
-        try:
-            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
-    def write(self, name: str, text: str) -> None:
-        stream = self._fs.create(self._path(name), True)
-        try:
-            stream.write(bytearray(text.encode()))
-        finally:
-            stream.close()
-
-
 def bind_paths(spark: SparkSession, output: str, checkpoint: str) -> None:
     """Make an output and a checkpoint a pair at their first start, and refuse any other pairing.
 
@@ -55,7 +25,7 @@ def bind_paths(spark: SparkSession, output: str, checkpoint: str) -> None:
     checkpoint on a new output would leave out what came before. Both folders hold the name of the pair;
     the output's is written first, so a start that was cut short can be repeated.
     """
-    out, check = _Files(spark, output), _Files(spark, checkpoint)
+    out, check = Folder(spark, output), Folder(spark, checkpoint)
     ours, theirs = out.read(_PAIR), check.read(_PAIR)
     used_output, used_checkpoint = out.has("_spark_metadata"), theirs is not None or check.has("offsets")
     if ours is not None and ours == theirs:
