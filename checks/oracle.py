@@ -206,6 +206,20 @@ _LACKING = {c: f"CASE WHEN part < 2 THEN nullif({c}, '') END AS {c}" for c in ("
 _MIXED = f"""SELECT {', '.join(_LACKING.get(c) or _empty_as_null(c) for c in APPLICATION_COLUMNS)},
   CASE WHEN part = 2 THEN 'b,2' END AS note FROM f_parts"""
 
+_GAPS = """
+SELECT topic, "partition", outcome, min("offset") AS from_offset, max("offset") AS to_offset, count(*) AS message_count
+FROM (
+  SELECT *, count(*) FILTER (changed) OVER (PARTITION BY topic, "partition" ORDER BY "offset") AS run
+  FROM (
+    SELECT *, outcome <> lag(outcome) OVER (PARTITION BY topic, "partition" ORDER BY "offset") AS changed
+    FROM (
+      SELECT DISTINCT topic, "partition", "offset", CASE
+        WHEN "partition" = 0 AND "offset" // 100 IN (3, 4, 9) THEN 'missing' WHEN "partition" = 1 AND "offset" // 100 IN (5, 12) THEN 'repeated'
+        WHEN "partition" = 2 AND "offset" // 100 = 7 THEN 'extra' ELSE 'same' END AS outcome
+      FROM f_documents) a) b) c
+WHERE outcome <> 'same' GROUP BY topic, "partition", outcome, run
+"""
+
 _WIDE_BASE = _latest("batch_no = 0", "f_transactions_wide")
 _WIDE_CHANGES = "(SELECT DISTINCT call_id FROM f_transactions_wide WHERE batch_no = 1)"
 
@@ -235,6 +249,11 @@ ORACLES: dict[str, str] = {
         "SELECT *, try_cast(replace(trim(time_text), 'Z', '') AS timestamp) AS submitted_at FROM f_time_text",
     ),
     **{name: _clean_query(query) for name, query in MARTS.items()},
+    **{f"merged_{name}": _clean_query(query) for name, query in MARTS.items()},
+    "merged_mart_of_days": _clean_query(
+        MARTS["applications_by_region_status"].replace("FROM f_clean", "FROM f_clean WHERE cast(event_time AS date) BETWEEN '1994-01-01' AND '1996-12-31'")
+    ),
+    "applications_by_region_status_bitmaps": _clean_query(MARTS["applications_by_region_status"]),
     "batch_job_outputs": _clean_query(_OUTPUT_COUNTS),
     "batch_job_versions": _clean_query(f"SELECT 2 AS version, *, (SELECT count(*) FROM f_clean) AS clean_rows FROM ({_OUTPUT_COUNTS}) o"),
     "batch_job_clean_applications": _clean_query("SELECT * FROM f_clean"),
@@ -257,6 +276,13 @@ ORACLES: dict[str, str] = {
     "stream_resume": _event_query(FLAT),
     "stream_bounded_drain": _event_query(FLAT),
     "stream_rebind": _event_query(FLAT),
+    "stream_split": _event_query(
+        """SELECT topic, "partition", "offset", 'event' AS outcome, count(*) AS row_count FROM f_documents GROUP BY ALL
+           UNION ALL SELECT topic, "partition", "offset",
+             CASE WHEN try_cast(value AS json) IS NULL THEN 'not JSON' ELSE 'no application id' END, 1
+           FROM f_event_messages WHERE (try_cast(value AS json)->>'$.application_id') IS NULL"""
+    ),
+    "replay_gaps": _event_query(_GAPS),
     "event_encode": _record_query(EVENT_TEXT),
     "event_round_trip": _record_query(ROUND_TRIP),
     "payload_volume": _with(

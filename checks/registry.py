@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 
 from checks.views import view
 from creditweave import functions as fn
-from creditweave.operators import applications, events, keyed, marts, rules, volume
+from creditweave.fs import Folder
+from creditweave.operators import applications, events, keyed, marts, partials, replay, rules, volume
 from creditweave.operators.watch import RuleViolation
 from creditweave.plans.batch import batch_record, publish_batch, read_output, run_batch
-from creditweave.schemas import TRANSACTION_COLUMNS, TRANSACTION_KEY, TRANSACTIONS_DDL
+from creditweave.schemas import CLEAN_APPLICATIONS, TRANSACTION_COLUMNS, TRANSACTION_KEY, TRANSACTIONS_DDL
 from creditweave.session import scratch_dir, use_utc
 from creditweave.sinks import to_messages, write_snapshot, write_table
 from creditweave.sources import read_snapshot, read_source, stream_messages
-from creditweave.streaming import await_query, start_flatten
-from creditweave.tables import create_buckets, read_buckets, upsert_buckets
+from creditweave.streaming import await_query, read_events, read_rejects, start_flatten, start_split
+from creditweave.tables import add_delivery, compact, create_buckets, number_values, read_buckets, read_mart, upsert_buckets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -205,6 +206,45 @@ def batch_job_mart(name: str) -> Query:
     return lambda spark, sf_dir: spark.read.parquet(_job(spark, sf_dir, "parquet")[name])
 
 
+_STATES: dict[tuple[str, str], str] = {}
+
+
+def _mart_state(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the marts' state after three deliveries, the first two merged before the third; one for all its queries."""
+    run = (spark.sparkContext.applicationId, sf_dir)
+    if run not in _STATES:
+        stored, root = scratch_dir(spark, "clean"), scratch_dir(spark, "mart-state")
+        write_table(_clean(spark, sf_dir), stored)
+        clean = spark.read.schema(CLEAN_APPLICATIONS).parquet(stored)
+        part = F.pmod(F.xxhash64("application_id"), F.lit(3))
+        for k in (0, 1):
+            add_delivery(clean.filter(part == k), root, f"delivery {k}")
+        compact(spark, root)
+        for _ in range(2):  # the second time it is known already
+            add_delivery(clean.filter(part == 2), root, "delivery 2")
+        _STATES[run] = root
+    return _STATES[run]
+
+
+def merged_mart(name: str) -> Query:
+    """A mart from the merged state of several deliveries."""
+
+    return lambda spark, sf_dir: read_mart(spark, _mart_state(spark, sf_dir), name)
+
+
+def merged_mart_of_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The region and decision mart over the days of three years, from the same state."""
+    return read_mart(spark, _mart_state(spark, sf_dir), "applications_by_region_status", "1994-01-01", "1996-12-31")
+
+
+def applications_by_region_status_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart over clean rows that were stored with their customers' numbers."""
+    stored, clean = scratch_dir(spark, "numbered"), _clean(spark, sf_dir)
+    numbers = number_values(clean.select("customer_id"), scratch_dir(spark, "customers"))
+    write_table(partials.with_numbers(clean, numbers), stored)
+    return partials.region_status_by_bitmaps(spark.read.parquet(stored))
+
+
 def mart(name: str) -> Query:
     return lambda spark, sf_dir: marts.MARTS[name](_clean(spark, sf_dir))
 
@@ -284,6 +324,39 @@ def stream_rebind(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{run}/out-a")
 
 
+def stream_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of every message: events and rejects of a stream whose first batch is run again after a lost commit."""
+    archive, run = scratch_dir(spark, "archive"), scratch_dir(spark, "stream")
+    whole = scratch_dir(spark, "messages")
+    write_table(_messages(spark, sf_dir), whole)
+    messages, first = spark.read.parquet(whole), F.col("partition") == 0
+    for delivery in (messages.filter(first), messages.filter(~first)):
+        delivery.write.mode("append").parquet(archive)
+        await_query(start_split(stream_messages(spark, archive), f"{run}/out", f"{run}/checkpoint"))
+        for commit in ("commits/0", "commits/.0.crc"):
+            Folder(spark, f"{run}/checkpoint").delete(commit)
+    await_query(start_split(stream_messages(spark, archive), f"{run}/out", f"{run}/checkpoint"))
+    position = ("topic", "partition", "offset")
+    found = read_events(spark, f"{run}/out").groupBy(*position).agg(F.lit("event").alias("outcome"), F.count("*").alias("row_count"))
+    lost = read_rejects(spark, f"{run}/out").select(*position, "reason", F.lit(1).cast("bigint"))
+    return found.unionAll(lost)
+
+
+def replay_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replay that lost two ranges of a partition, doubled another one, and holds one that the first run had lost."""
+    archive, run = scratch_dir(spark, "archive"), scratch_dir(spark, "stream")
+    write_table(_messages(spark, sf_dir), archive)
+    await_query(start_flatten(stream_messages(spark, archive), f"{run}/out", f"{run}/checkpoint"))
+    flat, hundred = spark.read.parquet(f"{run}/out"), F.floor(F.col("offset") / 100)
+    outputs = {
+        "first": flat.filter((F.col("partition") != 2) | (hundred != 7)),
+        "again": flat.filter((F.col("partition") != 0) | ~hundred.isin(3, 4, 9)).unionAll(flat.filter((F.col("partition") == 1) & hundred.isin(5, 12))),
+    }
+    for name, rows in outputs.items():
+        write_table(rows, f"{run}/{name}")
+    return replay.compare_outputs(*[spark.read.parquet(f"{run}/{name}") for name in outputs], block=256)
+
+
 def event_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_messages(_records(spark, sf_dir), TOPIC)
 
@@ -468,6 +541,9 @@ QUERIES: dict[str, Query] = {
     "parse_event_time": parse_event_time,
     "parse_iso_time": parse_iso_time,
     **{name: mart(name) for name in marts.MARTS},
+    **{f"merged_{name}": merged_mart(name) for name in marts.MARTS},
+    "merged_mart_of_days": merged_mart_of_days,
+    "applications_by_region_status_bitmaps": applications_by_region_status_bitmaps,
     "batch_job_outputs": batch_job_outputs,
     "batch_job_versions": batch_job_versions,
     "decision_rule_counts_written": decision_rule_counts_written,
@@ -479,6 +555,8 @@ QUERIES: dict[str, Query] = {
     "stream_resume": stream_resume,
     "stream_bounded_drain": stream_bounded_drain,
     "stream_rebind": stream_rebind,
+    "stream_split": stream_split,
+    "replay_gaps": replay_gaps,
     "event_encode": event_encode,
     "event_round_trip": event_round_trip,
     "payload_volume": payload_volume,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditweave.functions.casts import iso_timestamp
@@ -10,12 +10,11 @@ from creditweave.functions.text import iso_utc
 from creditweave.schemas import EVENT_PAYLOAD_DDL
 
 
-def parse_events(messages: DataFrame) -> DataFrame:
-    """Parse the JSON value of each message and drop those without an application id.
+def parse_payload(messages: DataFrame, *kept: str) -> DataFrame:
+    """Position of each message, ``kept`` columns and the fields of its JSON value; malformed text gives NULLs.
 
-    Malformed text parses to a payload of NULLs and is dropped by the same test. ``inline`` keeps
-    the test above the parser; a filter on a projected payload would be pushed below it and every
-    message would be parsed twice.
+    ``inline`` keeps what is built on the fields above the parser; a filter on a projected payload would be
+    pushed below it and every message would be parsed twice.
     """
     payload = F.from_json(F.col("value").cast("string"), EVENT_PAYLOAD_DDL)
     return messages.select(
@@ -23,8 +22,17 @@ def parse_events(messages: DataFrame) -> DataFrame:
         "partition",
         "offset",
         F.col("timestamp").alias("kafka_timestamp"),
+        *kept,
         F.inline(F.array(payload)),
-    ).filter(F.col("application_id").isNotNull())
+    )
+
+
+def parse_events(messages: DataFrame) -> DataFrame:
+    """Parse the JSON value of each message and drop those without an application id.
+
+    Malformed text parses to a payload of NULLs and is dropped by the same test.
+    """
+    return parse_payload(messages).filter(F.col("application_id").isNotNull())
 
 
 def explode_documents(events: DataFrame) -> DataFrame:
@@ -32,10 +40,9 @@ def explode_documents(events: DataFrame) -> DataFrame:
     return events.select("*", F.explode_outer("documents").alias("document")).drop("documents")
 
 
-def flatten_events(messages: DataFrame) -> DataFrame:
-    """Messages to flat rows: message position, application fields, one document per row."""
-    rows = explode_documents(parse_events(messages))
-    return rows.select(
+def flat_columns() -> list[str | Column]:
+    """Columns of a flat row, over parsed events with one document each."""
+    return [
         "topic",
         "partition",
         "offset",
@@ -51,7 +58,12 @@ def flatten_events(messages: DataFrame) -> DataFrame:
         iso_timestamp(F.col("submitted_at")).alias("submitted_at"),
         F.col("document.type").alias("document_type"),
         F.col("document.status").alias("document_status"),
-    )
+    ]
+
+
+def flatten_events(messages: DataFrame) -> DataFrame:
+    """Messages to flat rows: message position, application fields, one document per row."""
+    return explode_documents(parse_events(messages)).select(*flat_columns())
 
 
 def encode_events(records: DataFrame) -> DataFrame:

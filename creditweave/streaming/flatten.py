@@ -15,6 +15,8 @@ CONTINUOUS = "continuous"
 
 
 _PAIR = "_creditweave_stream"
+#: Folder of the records of micro-batches that a stream writes itself.
+BATCHES = "_batches"
 
 
 def bind_paths(spark: SparkSession, output: str, checkpoint: str) -> None:
@@ -27,7 +29,7 @@ def bind_paths(spark: SparkSession, output: str, checkpoint: str) -> None:
     """
     out, check = Folder(spark, output), Folder(spark, checkpoint)
     ours, theirs = out.read(_PAIR), check.read(_PAIR)
-    used_output, used_checkpoint = out.has("_spark_metadata"), theirs is not None or check.has("offsets")
+    used_output, used_checkpoint = out.has("_spark_metadata") or out.has(BATCHES), theirs is not None or check.has("offsets")
     if ours is not None and ours == theirs:
         return
     if used_output or used_checkpoint:

@@ -1,0 +1,126 @@
+"""Numbers of values, marts by bitmaps, and marts merged from deliveries."""
+
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from creditweave.operators import MARTS, partials
+from creditweave.schemas import CLEAN_APPLICATIONS
+from creditweave.tables import VersionLog, add_delivery, compact, mart_state, number_values, read_mart, read_numbers
+from tests.plans import physical
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def made_clean(seed, n, hot_share=0.4):
+    """Clean rows with NULLs in all that may be NULL, one group and one customer holding a large share."""
+    rng = random.Random(seed)
+    made = []
+    for k in range(n):
+        hot = rng.random() < hot_share
+        made.append((
+            f"a{seed}-{k}", datetime(2026, 1, 1) + timedelta(hours=rng.randrange(24 * 9)), "hot" if hot else rng.choice([None, *[f"c{j}" for j in range(150)]]),
+            "R0" if hot else rng.choice([None, "R1", "R2", "R3"]), "p", rng.randrange(1, 10**9), 12, rng.randrange(300, 901), rng.choice(["low", "high", None]),
+            "approved" if hot else rng.choice(["approved", "rejected", None]), rng.choice([None, 5, 2_000_000_000]), rng.choice(["web", "app", None]),
+            rng.choice([True, False, None]), rng.choice([None, 7, 600]),
+        ))
+    return made
+
+
+@pytest.fixture(scope="module")
+def deliveries(spark):
+    return [spark.createDataFrame(made_clean(k, n), CLEAN_APPLICATIONS).repartition(4) for k, n in ((1, 900), (2, 500), (3, 1))]
+
+
+def test_numbers_are_dense_and_stay(spark, tmp_path):
+    path = str(tmp_path / "numbers")
+    assert read_numbers(spark, path).count() == 0
+    first = dict(rows(number_values(spark.createDataFrame([(v,) for v in ["b", "a", None, "b", "é", ""]], "customer_id string"), path)))
+    assert sorted(first.values()) == [1, 2, 3, 4] and set(first) == {"a", "b", "é", ""}
+    more = spark.range(5000).select(F.concat(F.lit("v"), F.col("id").cast("string"))).unionAll(spark.createDataFrame([("a",), (None,)], "v string"))
+    second = dict(rows(number_values(more, path)))
+    assert sorted(second.values()) == list(range(1, 5005)) and first.items() <= second.items()
+    assert dict(rows(number_values(more, path))) == second and VersionLog(spark, path).versions() == [1, 2]
+
+
+def test_numbers_of_a_partition_follow_each_other(spark, tmp_path):
+    """So the bitmaps of a group are full, not one for each value."""
+    numbers = number_values(spark.range(70_000).select(F.col("id").cast("string")), str(tmp_path / "numbers"))
+    assert numbers.agg(F.count_distinct(F.bitmap_bucket_number("number"))).first()[0] == 3
+
+
+def test_marts_of_merged_deliveries(spark, deliveries, tmp_path):
+    root = str(tmp_path / "state")
+    for k, clean in enumerate(deliveries, 1):
+        assert add_delivery(clean, root, f"d{k}") == k
+        whole = deliveries[0]
+        for more in deliveries[1:k]:
+            whole = whole.unionAll(more)
+        for name, build in MARTS.items():
+            assert rows(read_mart(spark, root, name)) == rows(build(whole)), name
+    assert add_delivery(deliveries[0], root, "d1") == 3  # known already
+    before = {name: rows(read_mart(spark, root, name)) for name in MARTS}
+    assert compact(spark, root) == 4 and len(VersionLog(spark, root).record()["runs"]) == 1
+    assert {name: rows(read_mart(spark, root, name)) for name in MARTS} == before
+    days = whole.filter("to_date(event_time) between '2026-01-03' and '2026-01-05'")
+    for name, build in MARTS.items():
+        assert rows(read_mart(spark, root, name, "2026-01-03", "2026-01-05")) == rows(build(days)), name
+        assert rows(read_mart(spark, root, name, version=1)) == rows(build(deliveries[0])), name
+
+
+def test_types_are_those_of_the_marts(spark, deliveries, tmp_path):
+    add_delivery(deliveries[1], str(tmp_path / "state"), "d")
+    for name, build in MARTS.items():
+        assert read_mart(spark, str(tmp_path / "state"), name).dtypes == build(deliveries[1]).dtypes
+
+
+def test_delivery_of_nothing(spark, deliveries, tmp_path):
+    root = str(tmp_path / "state")
+    add_delivery(deliveries[0].limit(0), root, "none")
+    assert all(rows(read_mart(spark, root, name)) == [] for name in MARTS)
+
+
+def test_a_delivery_that_fails_leaves_the_state(spark, deliveries, tmp_path, monkeypatch):
+    root = str(tmp_path / "state")
+    add_delivery(deliveries[0], root, "d1")
+    before = {name: rows(read_mart(spark, root, name)) for name in MARTS}
+    real = mart_state.partial_rows
+
+    def broken(clean, mart):
+        if mart == "daily_processing_metrics":
+            raise OSError("lost")
+        return real(clean, mart)
+
+    monkeypatch.setattr(mart_state, "partial_rows", broken)
+    with pytest.raises(OSError, match="lost"):
+        add_delivery(deliveries[1], root, "d2")
+    assert {name: rows(read_mart(spark, root, name)) for name in MARTS} == before
+    assert len(list(Path(root, "parts").iterdir())) == 1
+    monkeypatch.undo()
+    assert add_delivery(deliveries[1], root, "d2") == 2
+    assert rows(read_mart(spark, root, "risk_level_metrics")) == rows(MARTS["risk_level_metrics"](deliveries[0].unionAll(deliveries[1])))
+
+
+def test_bitmaps_are_all_that_is_shuffled(spark, tmp_path):
+    """No exchange or aggregation by customer; every task has one row for each group and run of numbers."""
+    stored = str(tmp_path / "numbered")
+    clean = spark.range(0, 200_000, 1, 6).select(
+        (F.col("id") % 100_000 + 1).alias("customer_number"), F.lit("2026-01-01 00:00:00").cast("timestamp").alias("event_time"),
+        F.when(F.col("id") % 3 == 0, "R1").otherwise("R2").alias("region_code"), F.lit("approved").alias("decision_status"), F.col("id").cast("int").alias("requested_amount"),
+    )
+    clean.write.parquet(stored)
+    mart = partials.region_status_by_bitmaps(spark.read.parquet(stored))
+    plan = physical(mart)
+    assert "customer_number" not in "".join(line for line in plan.splitlines() if "Exchange" in line)
+    assert plan.count("Exchange hashpartitioning") <= 3 and "Python" not in plan and "partial_bitmap_construct_agg" in plan
+    want = clean.groupBy("region_code", "decision_status").agg(
+        F.count("*").alias("application_count"), F.count_distinct("customer_number").alias("customer_count"), F.round(F.avg("requested_amount"), 2).alias("avg")
+    )
+    assert rows(mart) == sorted(rows(want)) and rows(mart)[0][3] > 2 * 32768 / 2
