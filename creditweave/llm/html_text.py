@@ -10,6 +10,9 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from bisect import bisect_left
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,21 +32,30 @@ CLOSED_BY_SIBLING = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt"
 #: Block elements that end an open paragraph.
 _ENDS_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|$)|<(title|noscript|template|iframe|textarea|select|svg|object)\b[^>]*>.*?</\2\s*>"
-    r"|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S | re.I,
-)
+#: Elements whose content is no text of the page; the first two swallow the rest of a page that does not end them.
+_RAW = frozenset("script style".split())
+_SKIPPED = _RAW | frozenset("title noscript template iframe textarea select svg object".split())
+_NAME = re.compile(r"/?([a-zA-Z][a-zA-Z0-9:-]*)")
+_ENDS = re.compile(rf"</({'|'.join(sorted(_SKIPPED))})\s*>", re.I)
+#: In a tag: what stands between attributes, a name, an equals sign, a value without quotes.
+_GAP, _ATTRIBUTE, _EQUALS, _BARE = re.compile(r"[\s/]*"), re.compile(r"[^\s/>=<][^\s/>=<]*|="), re.compile(r"\s*=\s*"), re.compile(r"[^\s>]*")
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _HIDES = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _SPACES = re.compile(r"\s+")
 _HINTS = re.compile(r"©|\b(?:copyright|all rights reserved|cookies?|subscribe|newsletter|sign up|log ?in|privacy|advertis\w*|sponsored|share|repl(?:y|ies)|comments?)\b", re.I)
 
 
+#: In a block of more characters than this, a hint word counts if it comes up once in so many.
+HINT_SPAN = 400
+#: Elements nested deeper than this, which browsers flatten, give no features to the text inside.
+DEEPEST = 512
+
+
 @dataclass
 class Block:
     text: str
-    path: tuple[tuple[str, ...], ...]
+    #: Features of the elements around it.
+    path: frozenset[str]
     linked: int = 0
 
 
@@ -56,19 +68,101 @@ def _node(tag: str, attributes: str) -> tuple[str, ...]:
 _NODES = Memo(lambda key: _node(*key), 50_000)
 
 
+def _tag_end(page: str, at: int) -> int:
+    """Place of the ``>`` that closes the tag whose name ends at ``at``; -1 if a ``<`` or the page's end comes first.
+
+    A quote opens a value only behind an equals sign, and only if it is closed and followed by the end of the
+    tag, a blank or a slash, or holds no ``<``; any other quote is a character like others.
+    """
+    n = len(page)
+    while True:
+        at = _GAP.match(page, at).end()
+        if at >= n or page[at] == "<":
+            return -1
+        if page[at] == ">":
+            return at
+        at = _ATTRIBUTE.match(page, at).end()
+        equals = _EQUALS.match(page, at)
+        if equals is None:
+            continue
+        at = equals.end()
+        quote = page[at : at + 1]
+        if quote in ('"', "'") and quote:
+            close = page.find(quote, at + 1)
+            if close >= 0 and (page[close + 1 : close + 2] in "> \t\n\r\f/" or page.find("<", at, close) < 0):
+                at = close + 1
+                continue
+        at = _BARE.match(page, at).end()
+
+
+def _tags(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """``start, end, name, closes, attributes`` of what is markup; the name is empty for what is only left out.
+
+    Every character is looked at a few times, whatever stands where: a ``<`` that opens nothing is text.
+    """
+    ends: dict[str, list[tuple[int, int]]] | None = None
+    last, at = page.rfind(">"), page.find("<")
+    while 0 <= at < last:
+        if page.startswith("<!--", at):
+            close = page.find("-->", at + 4)
+            end = len(page) if close < 0 else close + 3
+            yield at, end, "", False, ""
+        elif page.startswith(("<!", "<?"), at):
+            end = page.find(">", at) + 1
+            yield at, end, "", False, ""
+        else:
+            name = _NAME.match(page, at + 1)
+            close = _tag_end(page, name.end()) if name else -1
+            if close < 0:
+                at = page.find("<", at + 1)
+                continue
+            tag, closes, end = name[1].lower(), page[at + 1] == "/", close + 1
+            if tag in _SKIPPED and not closes:
+                if ends is None:
+                    ends = {}
+                    for found in _ENDS.finditer(page):
+                        ends.setdefault(found[1].lower(), []).append(found.span())
+                later = ends.get(tag, [])
+                k = bisect_left(later, (end, 0))
+                if k < len(later) or tag in _RAW:
+                    end = later[k][1] if k < len(later) else len(page)
+                    yield at, end, "", False, ""
+                    at = page.find("<", end)
+                    continue
+            yield at, end, tag, closes, page[name.end() : close]
+        at = page.find("<", end)
+    # A comment, script or style that nothing ends takes the rest.
+    if at >= 0 and (page.startswith("<!--", at) or (name := _NAME.match(page, at + 1)) and name[1].lower() in _RAW and page[at + 1] != "/"):
+        yield at, len(page), "", False, ""
+
+
 def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page in order, with decoded text, single blanks, and their ancestors."""
     found: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
+    open_tags: Counter[str] = Counter()
+    active: Counter[str] = Counter()
+    known: dict[frozenset[str], frozenset[str]] = {}
     parts: list[str] = []
     links, linked = 0, 0
 
+    def leave() -> str:
+        tag, names = stack.pop()
+        open_tags[tag] -= 1
+        if len(stack) < DEEPEST:
+            for name in names:
+                active[name] -= 1
+                if not active[name]:
+                    del active[name]
+        return tag
+
     def flush() -> None:
         nonlocal linked
         text = _SPACES.sub(" ", entities.unescape("".join(parts))).strip()
         parts.clear()
         if text:
-            found.append(Block(text, tuple(n for _, n in stack), linked))
+            around = frozenset(active) | {f"p:{stack[-1][1][0]}" if stack else "p:none"}
+            found.append(Block(text, known.setdefault(around, around), linked))
         linked = 0
 
     def text(piece: str) -> None:
@@ -78,10 +172,9 @@ def blocks(page: str) -> list[Block]:
             linked += len(piece) if links else 0
 
     at = 0
-    for token in _TOKEN.finditer(page):
-        text(page[at : token.start()])
-        at = token.end()
-        tag, closes = (token[4] or "").lower(), bool(token[3])
+    for start, end, tag, closes, attributes in _tags(page):
+        text(page[at:start])
+        at = end
         if not tag:
             continue
         if tag in INLINE:
@@ -93,34 +186,38 @@ def blocks(page: str) -> list[Block]:
         flush()
         links = 0
         if closes:
-            if any(t == tag for t, _ in stack):
-                while stack.pop()[0] != tag:
+            if open_tags[tag]:
+                while leave() != tag:
                     pass
             continue
         if tag == "body":
-            stack.clear()
+            for held in (stack, open_tags, active):
+                held.clear()
         if tag in _ENDS_P and stack and stack[-1][0] == "p":
-            stack.pop()
+            leave()
         if stack and stack[-1][0] in CLOSED_BY_SIBLING.get(tag, ()):
-            stack.pop()
+            leave()
         if tag not in VOID:
-            stack.append((tag, _NODES[tag, token[5] or ""]))
+            names = _NODES[tag, attributes] if len(attributes) <= 300 else _node(tag, attributes)
+            if len(stack) < DEEPEST:
+                active.update(names)
+            stack.append((tag, names))
+            open_tags[tag] += 1
     text(page[at:])
     flush()
     return found
 
 
-_PATH = Memo(lambda path: frozenset(f for node in path for f in node) | ({f"p:{path[-1][0]}"} if path else {"p:none"}), 50_000)
-
-
 def features(block: Block) -> list[str]:
     """Names of the features of a block."""
     n = len(block.text)
     size = "len:0" if n < 25 else "len:1" if n < 80 else "len:2" if n < 250 else "len:3"
     share = "link:none" if not block.linked else "link:most" if block.linked > n * 0.6 else "link:some"
     own = [size, share, "end:stop" if block.text[-1] in ".!?…\"”»" else "end:open"]
-    own += [f"w:{m.lower()[:8]}" for m in set(_HINTS.findall(block.text[:400]))]
-    return [*_PATH[block.path], *own]
+    # A long block is marked by a word that comes up all along it, not by a single mention.
+    hints = Counter(m.lower()[:8] for m in _HINTS.findall(block.text))
+    own += [f"w:{word}" for word, count in hints.items() if count * HINT_SPAN >= n or n <= HINT_SPAN]
+    return [*block.path, *own]
 
 
 @dataclass
@@ -282,18 +379,22 @@ _NOT_ARTICLE = {f"t:{t}" for t in ("nav", "header", "footer", "aside", "form", "
 def marked_page(page: str) -> tuple[list[Block], list[int]]:
     """A page labelled by its own markup; no blocks unless it has an ``article``."""
     found = blocks(page)
-    labels = [int("t:article" in (names := _PATH[b.path]) and not names & _NOT_ARTICLE) for b in found]
+    labels = [int("t:article" in (names := b.path) and not names & _NOT_ARTICLE) for b in found]
     return (found, labels) if any(labels) else ([], [])
 
 
-def train(pages: DataFrame, max_pages: int = 300) -> Field:
-    """A field from the pages written by rule and at most ``max_pages`` of the table, the first by a hash."""
-    keyed = pages.filter("html is not null and length(html) <= 200000").select(F.xxhash64("page_id", "url").alias("pick"), "html")
+def train(pages: DataFrame, max_pages: int = 300, max_chars: int = 200_000, max_blocks: int = 400) -> Field:
+    """A field from the pages written by rule and a bounded sample of the table.
+
+    The sample are at most ``max_pages`` pages, the first by a hash, of those with at most ``max_chars``
+    characters; of them, the ones whose markup names the article and that have at most ``max_blocks`` blocks.
+    """
+    keyed = pages.filter(F.col("html").isNotNull() & (F.length("html") <= max_chars)).select(F.xxhash64("page_id", "url").alias("pick"), "html")
     # Only hashes are sorted and at most max_pages of them broadcast; of rows with one hash, one page is taken.
     picked = keyed.select("pick").distinct().orderBy("pick").limit(max_pages)
     sample = keyed.join(F.broadcast(picked), "pick").groupBy("pick").agg(F.min("html").alias("html"))
     found = [marked_page(r["html"]) for r in sorted(sample.collect())]
-    return fit(written_pages() + [p for p in found if len(p[0]) <= 400])
+    return fit(written_pages() + [p for p in found if len(p[0]) <= max_blocks])
 
 
 def extract(pages: DataFrame, model: Field) -> DataFrame:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import html
+import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -282,3 +284,54 @@ def bpe_space():
 
     # The range in the class stands for all of U+2000 to U+200A.
     return set(UNICODE_SPACE) - {"-"} | {chr(c) for c in range(0x2000, 0x200B)}
+
+
+def block_texts(page):
+    return [b.text for b in html_text.blocks(page)]
+
+
+@pytest.mark.parametrize(
+    ("page", "texts"),
+    [
+        ("<p>One <a title=don't href=x>two</a> three</p><p>it's four</p><p>five</p>", ["One two three", "it's four", "five"]),
+        ('<p title="a > b <i>">q</p><p class=a">w</p><img alt=\'it"s\'/>z<br/>y', ["q", "w", "z y"]),
+        ('<p>a <a title="open>text</a><p class="x">next</p>', ["a text", "next"]),
+        ("<p>3 < 5 and a<b or c</p><p>x</p>", ["3 < 5 and a<b or c", "x"]),
+        ("<p>k</p><!-- never ended <p>x</p>", ["k"]),
+        ("<p>k</p><script>x <p>y</p>", ["k"]),
+        ("<p>k</p><SCRIPT>x</Script >l<svg><p>m</p>", ["k", "l", "m"]),
+        ("<svg><p>a</p></svg><title>t</title>b<textarea>c</textarea>", ["b"]),
+        ("a <b", ["a <b"]), ("<", ["<"]), ("", []), ("<p", ["<p"]), ("<!DOCTYPE html><?x?>t", ["t"]), ("x</nothing>y", ["x", "y"]),
+    ],
+)
+def test_markup_of_any_kind_loses_no_text(page, texts):
+    assert block_texts(page) == texts
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<svg>", '<a t="', "<a t='x \"<", "<!", "</", '<p class="x', "<div>", "<div>x", "<a b=c ", "</p>", "<script", "<a x=", "<!--", "&", "<p>'"])
+def test_time_goes_with_the_length_of_a_page(piece):
+    start = time.perf_counter()
+    html_text.blocks(piece * 100_000)
+    html_text.blocks(piece * 100_000 + ">")
+    assert time.perf_counter() - start < 10
+
+
+def test_viterbi_against_enumeration():
+    rng = random.Random(5)
+    for _ in range(60):
+        found = [html_text.Block("x" * rng.randint(1, 300), frozenset(rng.sample(["t:a", "t:b", "t:c"], 2))) for _ in range(rng.randint(1, 7))]
+        model = html_text.Field({f: rng.uniform(-2, 2) for b in found for f in html_text.features(b)}, (rng.random(), rng.random()), tuple(tuple(rng.uniform(-2, 2) for _ in range(2)) for _ in range(2)))
+
+        def score(labels, found=found, model=model):
+            unary = sum(sum(model.weights[f] for f in html_text.features(b)) for b, y in zip(found, labels, strict=True) if y)
+            return model.start[labels[0]] + unary + sum(model.turn[a][b] for a, b in itertools.pairwise(labels))
+
+        best = max(itertools.product((0, 1), repeat=len(found)), key=score)
+        assert model.decode(found) == list(best)
+
+
+def test_features_of_a_whole_block():
+    long = "word " * 300
+    assert "w:comments" not in html_text.features(html_text.Block(long + "comments", frozenset()))
+    assert "w:cookies" in html_text.features(html_text.Block("word " * 60 + "cookies", frozenset()))
+    assert "w:comments" in html_text.features(html_text.Block((long + "comments ") + "comments and comments " * 3, frozenset()))
