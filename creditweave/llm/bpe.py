@@ -173,7 +173,7 @@ def encode_digests(docs: DataFrame, path: str) -> DataFrame:
 
 
 def encode_ids(docs: DataFrame, path: str) -> DataFrame:
-    """``docs`` with a column ``token_ids`` (array of int); a null text gives an empty array."""
+    """``docs`` with a column ``token_ids`` (array of int); a null text gives an empty array, a column of that name is replaced."""
 
     def run(batches):
         coder = bpe(path)

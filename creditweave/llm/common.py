@@ -93,15 +93,30 @@ def pieces(text: str) -> Iterator[str]:
     yield text[start:] if start else text
 
 
+def quoted(name: str) -> Column:
+    """The column of exactly this name, whatever characters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def packed(rows: DataFrame, name: str = "row") -> Column:
+    """All columns of ``rows`` as one struct, so that an operator's own columns cannot clash with them."""
+    return F.struct(*[quoted(c) for c in rows.columns]).alias(name)
+
+
 class Memo(dict):
-    """Results by key, computed on first use; emptied when it holds ``most`` keys, so memory is bounded."""
+    """Results by key, computed on first use.
+
+    Emptied when it holds ``most`` keys, or text keys of ``most_chars`` characters together, so memory is bounded.
+    """
 
-    def __init__(self, make, most: int = 400_000):
+    def __init__(self, make, most: int = 200_000, most_chars: int = 8_000_000):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.most_chars, self.chars = make, most, most_chars, 0
 
     def __missing__(self, key):
-        if len(self) >= self.most:
+        self.chars += len(key) if isinstance(key, str) else 0
+        if len(self) >= self.most or self.chars > self.most_chars:
             self.clear()
+            self.chars = len(key) if isinstance(key, str) else 0
         self[key] = value = self.make(key)
         return value

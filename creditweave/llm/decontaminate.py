@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from creditweave.llm.common import packed
+
 #: Words that are compared at once, and how many of them must be equal (0.8 of them).
 WINDOW, EQUAL = 13, 11
 SPAN = 10
@@ -21,8 +23,9 @@ LONG = ((0, 1, 2, 4, 6, 7), (0, 2, 5, 6, 7, 8))
 MIDDLE = ((0, 1, 3, 4, 5), (0, 1, 3, 6, 7), (0, 1, 4, 6, 7))
 #: ``MIDDLE`` at every place in ``SPAN`` words; ``1`` marks the positions that are hashed.
 MASKS = tuple("".join("01"[k - at in shape] for k in range(SPAN)) for shape in MIDDLE for at in range(SPAN - shape[-1]))
-#: Seeds and items are broadcast up to this many seed rows (about 100 MB); beyond that both sides shuffle.
-BROADCAST_SEEDS = 2_000_000
+#: Bytes up to which the seeds, and the items, are broadcast; beyond that both sides shuffle. A seed row of
+#: numbers takes about ``ROW_BYTES`` in a hash table, an item so many and 8 for each word.
+BROADCAST_BYTES, ROW_BYTES = 64 << 20, 100
 
 
 def word_hashes(text: Column) -> Column:
@@ -86,25 +89,29 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = items.withColumn("item_hash", F.xxhash64("words")).distinct()
     sizes = sorted(r[0] for r in items.select(F.least(F.size("words"), F.lit(WINDOW))).distinct().collect())
     # Items with equal words at a place give one seed row each; the pairs below are kept apart by item_id.
-    seeds = _seed_rows(items, sizes, True).select("seed", F.col("at").alias("item_at"), "item_id", "item_hash", F.col("words").alias("item")).distinct()
+    # Seeds carry no words; those of the items come back to the alignments that were hit.
+    seeds = _seed_rows(items, sizes, True).select("seed", F.col("at").alias("item_at"), "item_id", "item_hash", F.size("words").alias("size")).distinct()
     texts = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), word_hashes(F.col("text")).alias("words"))
     start = (F.col("at") - F.col("item_at")).alias("start")
-    if seeds.count() <= BROADCAST_SEEDS:
-        hits = _seed_rows(texts, sizes, False).join(F.broadcast(seeds), "seed").select("doc_id", "text_hash", "item_id", "item_hash", start, "item", "words")
+    if seeds.count() * ROW_BYTES <= BROADCAST_BYTES:
+        hits = _seed_rows(texts, sizes, False).join(F.broadcast(seeds), "seed").select("doc_id", "text_hash", "item_id", "item_hash", "size", start, "words")
     else:
-        # Seeds shuffle without the words, which come back to the alignments that were hit.
-        met = _seed_rows(texts, sizes, False).select("doc_id", "text_hash", "at", "seed").join(seeds.drop("item"), "seed")
-        met = met.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "item_id", "item_hash", start).distinct()
+        # The texts' words stay behind too.
+        met = _seed_rows(texts, sizes, False).select("doc_id", "text_hash", "at", "seed").join(seeds, "seed")
+        met = met.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "item_id", "item_hash", "size", start).distinct()
         same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
-        whole = items.select(F.col("item_id").alias("_item"), F.col("item_hash").alias("_item_hash"), F.col("words").alias("item"))
-        same_item = F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("item_hash") == F.col("_item_hash"))
-        hits = texts.join(met, same).join(whole, same_item)
+        hits = texts.join(met, same)
     # The part of the text that lies along the item; no whole text leaves the stage of the join, and each
     # alignment is looked at once.
-    size, skipped = F.size("item"), F.greatest(-F.col("start"), F.lit(0))
+    size, skipped = F.col("size"), F.greatest(-F.col("start"), F.lit(0))
     beside = F.slice("words", F.greatest(F.col("start"), F.lit(0)) + 1, size - skipped)
-    hits = hits.select("doc_id", "text_hash", "item_id", "item_hash", "start", "item", beside.alias("beside"))
-    hits = hits.groupBy("doc_id", "text_hash", "item_id", "item_hash", "start").agg(F.first("item").alias("item"), F.first("beside").alias("beside"))
+    hits = hits.select("doc_id", "text_hash", "item_id", "item_hash", "start", beside.alias("beside"))
+    hits = hits.groupBy("doc_id", "text_hash", "item_id", "item_hash", "start").agg(F.first("beside").alias("beside"))
+    whole = items.select(F.col("item_id").alias("_item"), F.col("item_hash").alias("_item_hash"), F.col("words").alias("item"))
+    taken = whole.agg(F.coalesce(F.sum(F.size("item").cast("long") * 8 + ROW_BYTES), F.lit(0)).alias("bytes")).first()["bytes"]
+    same_item = F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("item_hash") == F.col("_item_hash"))
+    hits = hits.join(F.broadcast(whole) if taken <= BROADCAST_BYTES else whole, same_item)
+    size = F.size("item")
     hits = hits.withColumns({"size": size, "skipped": skipped})
     aligned = F.transform("item", lambda w, i: F.coalesce((F.get("beside", i - F.col("skipped")) == w).cast("int"), F.lit(0)))
     hits = hits.withColumn("equal", aligned)
@@ -120,7 +127,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text leaks no item; all columns stay, so do null and empty texts."""
-    bad = leaks(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_hash"))
-    return docs.join(bad, same, "left_anti")
+    """The rows of ``docs`` whose text leaks no item; all columns stay, whatever their names, so do null and empty texts."""
+    bad = leaks(docs.select("doc_id", "text"), benchmark).select("doc_id", "text_hash").distinct()
+    keyed = docs.select(packed(docs, "given"), F.col("doc_id").alias("given_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("given_hash"))
+    same = F.col("given_id").eqNullSafe(F.col("doc_id")) & (F.col("given_hash") == F.col("text_hash"))
+    return keyed.join(bad, same, "left_anti").select("given.*")

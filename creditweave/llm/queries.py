@@ -117,22 +117,21 @@ SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reach) AS compon
 FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
 """
 
-#: Words as lists, seeds as joined words in place of hashes, equal words along every alignment of a hit.
+#: The rule alone: equal words along every alignment, whatever seeds it may have.
 OP10_SQL = r"""
-WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') w FROM documents),
-i AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') w FROM benchmark),
-m AS (SELECT * FROM (VALUES ([1, 2, 4, 5, 7, 8, 10]), ([1, 3, 4, 6, 7, 9, 10])) t(care)),
-dp AS (SELECT doc_id, w, unnest(range(0, len(w) - 9)) p FROM d WHERE len(w) >= 10),
-ip AS (SELECT item_id, w, unnest(range(0, len(w) - 9)) q FROM i WHERE len(w) >= 10),
-ds AS (SELECT doc_id, p, care, list_transform(care, lambda c: w[p + c]) s FROM dp, m),
-iseed AS (SELECT item_id, q, care, list_transform(care, lambda c: w[q + c]) s FROM ip, m),
-diag AS (SELECT DISTINCT ds.doc_id, iseed.item_id, ds.p - iseed.q AS off FROM ds JOIN iseed ON ds.care = iseed.care AND ds.s = iseed.s),
-eq AS (SELECT g.doc_id, g.item_id, g.off, len(i.w) n,
-         list_transform(range(1, len(i.w) + 1), lambda k: CASE WHEN g.off + k >= 1 AND g.off + k <= len(d.w) AND d.w[g.off + k] = i.w[k] THEN 1 ELSE 0 END) e
-       FROM diag g JOIN d ON d.doc_id = g.doc_id JOIN i ON i.item_id = g.item_id),
-scored AS (SELECT doc_id, item_id, n, list_sum(e) matched, list_max(list_transform(range(1, n - least(13, n) + 2), lambda k: list_sum(e[k : k + least(13, n) - 1]))) best FROM eq)
+WITH d AS (
+  SELECT doc_id, unnest(w) word, generate_subscripts(w, 1) p
+  FROM (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') w FROM documents)),
+i AS (
+  SELECT r, item_id, len(w) n, unnest(w) word, generate_subscripts(w, 1) q
+  FROM (SELECT row_number() OVER () r, item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') w FROM benchmark)),
+m AS (SELECT doc_id, r, item_id, n, p - q AS off, q FROM d JOIN i ON d.word = i.word),
+c AS (
+  SELECT *, count(*) OVER (PARTITION BY doc_id, r, off) matched,
+    count(*) OVER (PARTITION BY doc_id, r, off ORDER BY q RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) here FROM m),
+s AS (SELECT doc_id, r, item_id, n, off, max(here) best, max(matched) matched FROM c GROUP BY ALL)
 SELECT doc_id, item_id, CAST(max(best) AS INT) AS best_window, CAST(max(matched) AS INT) AS matched_words
-FROM scored WHERE best >= CASE WHEN n >= 13 THEN 11 ELSE ceil(n * 0.8) END GROUP BY doc_id, item_id
+FROM s WHERE best >= CASE WHEN n >= 13 THEN 11 ELSE ceil(n * 0.8) END GROUP BY doc_id, item_id
 """
 
 OP11_SQL = """

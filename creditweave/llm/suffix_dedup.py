@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from creditweave.llm.common import written
+from creditweave.llm.common import packed, written
 from creditweave.llm.jaccard import doc_key
 from creditweave.llm.shingles import mix, powers
 
@@ -364,13 +364,16 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     document with a smaller id, or earlier in the same one. Strings are judged on the input; overlaps
     count; none crosses documents. ``kept`` leaves out the rest of a character that was cut. A null text counts as empty. Null ids come before all others, in an
     order made from their texts; rows that share an id are ordered by a hash of the text, and rows that
-    repeat both id and text all keep what one of them keeps. Columns with the names above are replaced.
+    repeat both id and text all keep what one of them keeps. Columns with the names above are replaced,
+    others of any name stay.
     """
-    kept = docs.drop("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "key", "tag", "spans")
-    merged = repeated_spans(docs).groupBy("key", "tag").agg(F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("spans"))
+    found = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
+    rows = docs.drop(*found)
+    kept = rows.select("doc_id", "text", packed(rows, "given"))
+    merged = repeated_spans(docs.select("doc_id", "text")).groupBy("key", "tag").agg(F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("spans"))
     joined = _keyed(kept).join(merged, ["key", "tag"], "left")
     columns = kept.columns
-    names = [*columns, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+    names = [*columns, *found]
 
     def run(batches):
         for batch in batches:
@@ -393,4 +396,4 @@ def deduplicated(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *(pa.array(v, k) for v, k in zip(out, kinds, strict=True))], names)
 
     schema = StructType([*kept.schema.fields, *StructType.fromDDL(_RESULT + ", kept string").fields])
-    return joined.select(*kept.columns, "spans").mapInArrow(run, schema)
+    return joined.select(*kept.columns, "spans").mapInArrow(run, schema).select("given.*", *found)
