@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +17,9 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, base, np.uint64)]), dtype=np.uint64)
 
 
+#: Words of more bytes are named by a digest.
+LONG_WORD = 128
+_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 _LETTER = np.random.default_rng(5).integers(1, 2**63, 256, dtype=np.uint64)
@@ -45,7 +49,12 @@ def _word_hashes(data: np.ndarray, borders: np.ndarray, base: int) -> tuple[np.n
     sums = np.empty(n + 1, np.uint64)
     sums[0] = 0
     np.cumsum(_LETTER[data] * up[:n], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts]), starts + base
+    hashes = mix((sums[ends] - sums[starts]) * down[starts])
+    # Sums modulo 2 ** 64 tell regular words of a thousand letters and more badly apart, so long ones are digested.
+    for k in np.flatnonzero(ends - starts > LONG_WORD):
+        word = data[starts[k] : ends[k]].tobytes().translate(_LOWER)
+        hashes[k] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+    return hashes, starts + base
 
 
 def batch_words(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
