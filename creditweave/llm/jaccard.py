@@ -74,7 +74,7 @@ def frequent_tokens(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]
                 if total > 1_000_000:
                     tokens, counts = _merged(tokens, counts, pending)
                     pending, total = [], 0
-                    least = int(seen * FREQUENT / 8)
+                    least = max(1, int(seen * FREQUENT / 8))
                     tokens, counts = tokens[counts > least], counts[counts > least]
         tokens, counts = _merged(tokens, counts, pending)
         keep = counts >= max(2, seen * FREQUENT)
@@ -123,7 +123,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
 
     def run(batches):
         frequent, counts = shared.value
-        seen = Memo(lambda node: True, 1_000_000)
+        seen = Memo(lambda node: True, 200_000)
         for batch in batches:
             n, node, prefix = [], [], []
             for tokens in _sets(batch.column(2), size):
@@ -254,23 +254,30 @@ def _table(rows: list[dict]) -> pa.RecordBatch:
 
 
 def _opened(asked: DataFrame) -> DataFrame:
-    """Links ``a, b`` of asking nodes to members of the groups that the union bound lets qualify."""
+    """Links ``a, b`` of asking nodes to the groups that the union bound lets qualify.
+
+    Members of a group that links join already are one to the asking node: one link is given for them.
+    """
 
     def run(batches):
         for batch in batches:
             a, b = [], []
-            for row in zip(*(batch.column(c) for c in ("node", "asking", "nodes", "lengths", "tokens", "union")), strict=True):
-                node, asking, nodes, lengths, tokens, union = row
+            for row in zip(*(batch.column(c) for c in ("node", "asking", "nodes", "roots", "lengths", "tokens", "union")), strict=True):
+                node, asking, nodes, roots, lengths, tokens, union = row
                 q, u, all_tokens = (np.frombuffer(x.as_buffer(), np.uint64) for x in (asking, union, tokens))
                 if _common(q, u if len(u) else all_tokens) < _needed(len(q)):
                     continue
-                at = 0
-                for member, n in zip(nodes.as_py(), lengths.as_py(), strict=True):
+                at, linked = 0, set()
+                for member, root, n in zip(nodes.as_py(), roots.as_py(), lengths.as_py(), strict=True):
+                    if root in linked:
+                        at += n
+                        continue
                     common = _common(q, all_tokens[at : at + n])
                     at += n
                     if 100 * common >= 80 * (len(q) + n - common):
                         a.append(node.as_py())
                         b.append(member)
+                        linked.add(root)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return asked.mapInArrow(run, "a long, b long")
@@ -321,7 +328,7 @@ def _across(meeting: DataFrame, groups: DataFrame, homes: DataFrame, first: Data
     asked = asked.filter(F.col("tokens_met") >= _least_meetings(F.least("n", "least"))).select("node", "group")
     # Few pairs are left when the tokens join them.
     asked = written(spark, asked, "asked").join(sets.select("node", F.col("tokens").alias("asking")), "node")
-    return _opened(asked.join(groups.drop("roots"), "group"))
+    return _opened(asked.join(groups, "group"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
