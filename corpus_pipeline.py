@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditweave.llm import bpe, decontaminate, jaccard, suffix_dedup, toxicity
-from creditweave.llm.common import ship_code, stage_tables, written
+from creditweave.llm.common import packed, ship_code, stage_tables, written
 from creditweave.llm.queries import BYTE_BPE
 
 #: SQL has no form for the stages; tests hold them against brute force.
@@ -31,7 +31,7 @@ def _stage(function):
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject; a null or empty text stays."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model).filter("predicted = 0").select(*docs.columns)
+    return toxicity.score(docs.select("text", packed(docs)), model).filter("predicted = 0").select("row.*")
 
 
 @_stage
@@ -43,14 +43,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     found = written(spark, jaccard.near_duplicates(docs.select("doc_id", "text")), "near-duplicates")
     has_words = F.regexp_like(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]"))
-    keyed = docs.withColumns({"_key": jaccard.doc_key(F.col("doc_id"), F.col("text")), "_grouped": has_words})
-    kept = found.filter("key = component_key").select(F.col("key").alias("_key"), (F.col("n_shingles") > 0).alias("_grouped"))
-    rows = keyed.join(kept, ["_key", "_grouped"], "left_semi")
-    repeated = kept.filter("_grouped").groupBy("_key", "_grouped").count().filter("count > 1").drop("count")
+    keyed = docs.select(packed(docs), jaccard.doc_key(F.col("doc_id"), F.col("text")).alias("key"), has_words.alias("has_words"))
+    kept = found.filter("key = component_key").select("key", (F.col("n_shingles") > 0).alias("has_words"))
+    rows = keyed.join(kept, ["key", "has_words"], "left_semi")
+    repeated = kept.filter("has_words").groupBy("key", "has_words").count().filter("count > 1").drop("count")
     if not repeated.isEmpty():
-        once = rows.join(repeated, ["_key", "_grouped"], "left_semi").dropDuplicates(["_key"])
-        rows = rows.join(repeated, ["_key", "_grouped"], "left_anti").unionByName(once)
-    return rows.select(*docs.columns)
+        once = rows.join(repeated, ["key", "has_words"], "left_semi").dropDuplicates(["key"])
+        rows = rows.join(repeated, ["key", "has_words"], "left_anti").unionByName(once)
+    return rows.select("row.*")
 
 
 @_stage
@@ -59,12 +59,13 @@ def drop_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     A character of which only a part is repeated goes as a whole. ``n_chars`` follows the text.
     """
-    done = suffix_dedup.deduplicated(docs).filter("n_removed = 0 or n_removed < n_bytes")
+    done = suffix_dedup.deduplicated(docs.select("doc_id", "text", packed(docs))).filter("n_removed = 0 or n_removed < n_bytes")
     text = F.when(F.col("text").isNotNull(), F.col("kept"))
-    columns = {c: F.col(c) for c in docs.columns} | {"text": text}
+    changed = {"text": text}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.col("n_removed") > 0, F.length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return done.select(*(c.alias(name) for name, c in columns.items()))
+        n_chars = F.when(F.col("n_removed") > 0, F.length(text)).otherwise(F.col("row.n_chars"))
+        changed["n_chars"] = n_chars.cast(docs.schema["n_chars"].dataType)
+    return done.select(*(changed.get(name, F.col("row").getField(name)).alias(name) for name in docs.columns))
 
 
 @_stage
@@ -75,7 +76,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their token ids; a null or empty text has none."""
+    """The documents with their token ids; a null or empty text has none. A column ``token_ids`` is replaced."""
     return bpe.encode_ids(docs, BYTE_BPE)
 
 
