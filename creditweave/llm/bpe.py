@@ -67,6 +67,11 @@ class Bpe:
         self.word = Memo(lambda word: self.encode_word(word.encode()), 250_000)
         self.chunk = Memo(self._chunk, 400_000)
 
+    def release(self) -> None:
+        """Empties what is kept for repeated text, so that a worker goes on to other work without it."""
+        for memo in (self.fits, *self._edges, self.word, self.chunk):
+            memo.clear()
+
     def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
         """Tokens that once stood at an edge (0 left, 1 right), each with the rank that consumed it."""
         nodes, consumed = [], _NEVER
@@ -180,6 +185,7 @@ def encode_ids(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             ids = [coder.encode(t.as_py() or "") for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], [*batch.schema.names, "token_ids"])
+        coder.release()
 
     kept = docs.drop("token_ids")
     return kept.mapInArrow(run, StructType([*kept.schema.fields, StructField("token_ids", ArrayType(IntegerType()))]))
