@@ -1,12 +1,13 @@
 """Language-model scores by a probabilistic suffix tree over words.
 
-The root predicts by smoothed word counts. A context, one or two preceding words, becomes a node if it
-is frequent and its next-word distribution diverges from the one of the shorter context by more than the
-entries it adds cost. A node stores the words it predicts differently, discounted; what is left goes to
-the shorter context. Each token is scored in the longest state that its preceding words have.
-
-Word counts cover the whole training text and are never gathered in one place. The nodes are few however
-large the corpus is: what a node or an entry needs is a share of all tokens, so their number is bounded.
+The root predicts by smoothed word counts. A context, one to ``depth`` preceding words, becomes a state if
+it is frequent and its next-word distribution diverges from the one of the shorter context by more than
+the entries it adds cost. A state stores the words it predicts differently, discounted; what is left goes
+to the shorter context. Each token is scored in the longest state that its preceding words have.
+
+How often a context or an entry must occur is fixed, so the tree grows with the input. Counts, states and
+entries are Spark tables throughout. While they hold at most ``max_local`` rows, tasks look them up in sorted
+arrays; beyond that tokens meet them in joins. Both ways count and score the same.
 """
 
 from __future__ import annotations
@@ -19,36 +20,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditweave.llm.common import written
-from creditweave.llm.shingles import batch_words
+from creditweave.llm.shingles import batch_words, mix
 
-#: Shares of all training tokens that a word or context needs to be looked at, and an entry to be stored:
-#: so there are at most 500,000 such words and contexts of a length, and as many entries of a length.
-WORD_SHARE = ENTRY_SHARE = 2e-6
+#: Occurrences that a context needs to become a state, and a sequence to become an entry, at any size.
+CONTEXT_LEAST, ENTRY_LEAST = 64, 16
+#: Rows of a table that tasks may hold as arrays: 64 MB of keys and numbers.
+MAX_LOCAL = 4_000_000
 #: An entry's probability differs from the shorter context's by this factor at least.
 RATIO = 1.5
 DISCOUNT = 0.5
 _END = np.uint64(0x5F3759DF5F3759DF)
-_BITS = 20
+_LEFT = np.uint64(0x9E3779B97F4A7C15)
+_MOST_KEYS = 4_000_000
 
 
 @dataclass
-class Node:
-    """The states of one context length: sorted keys, left-over factors, and sorted entries."""
+class Level:
+    """The states of one context length: ``ctx, rest`` and their entries ``key, log``."""
 
-    keys: np.ndarray
-    rest: np.ndarray
-    entry_keys: np.ndarray
-    entry_logs: np.ndarray
+    states: DataFrame
+    entries: DataFrame
 
 
 @dataclass
 class SuffixTree:
     train_tokens: int
     train_types: int
-    #: Hashes of the frequent words (the end of a text is one), sorted, with their counts.
-    words: np.ndarray
-    counts: np.ndarray
-    levels: list[Node]
+    #: ``k, n``: word hashes (the end of a text is one) and their counts.
+    vocabulary: DataFrame
+    levels: list[Level]
 
     @property
     def log_total(self) -> float:
@@ -64,34 +64,51 @@ def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def _token_runs(column: pa.Array):
-    """For runs of rows: tokens with an end after each row, the row of each token, and the rows' number."""
+    """For runs of rows: tokens with an end after each row, each token's place in its row, and the rows' lengths."""
     for hashes, bounds in batch_words(column):
-        ends = bounds[:, 1]
-        tokens = np.insert(hashes, ends, _END)
+        tokens = np.insert(hashes, bounds[:, 1], _END)
         lengths = bounds[:, 1] - bounds[:, 0] + 1
-        yield tokens, np.repeat(np.arange(len(bounds)), lengths), lengths
+        starts = np.cumsum(lengths) - lengths
+        yield tokens, np.arange(len(tokens)) - np.repeat(starts, lengths), lengths
+
 
+def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Key of a sequence, from the keys of it without its last word and without its first."""
+    return mix(left * _LEFT + right, 3)
 
-def _before(x: np.ndarray, row: np.ndarray, steps: int) -> np.ndarray:
-    """The value ``steps`` tokens earlier in the same row, -1 where there is none."""
-    out = np.full(len(x), -1, np.int64)
-    if len(x) > steps:
-        same = row[steps:] == row[:-steps]
-        out[steps:] = np.where(same, x[:-steps], -1)
+
+def _longer(keys: np.ndarray) -> np.ndarray:
+    """Keys of the sequences one word longer that end at each token; the first is none."""
+    out = np.zeros_like(keys)
+    out[1:] = _joined(keys[:-1], keys[1:])
     return out
 
 
+def _sequences(tokens: np.ndarray, length: int) -> np.ndarray:
+    """Keys of the sequences of ``length`` words that end at each token, whatever row they begin in."""
+    for _ in range(length - 1):
+        tokens = _longer(tokens)
+    return tokens
+
+
+def _shifted(keys: np.ndarray) -> np.ndarray:
+    """The key of the token before; the first has none."""
+    return np.concatenate([np.zeros(1, np.uint64), keys[:-1]])
+
+
 class _Counter:
-    """Counts of 64-bit keys, merged now and then so that memory follows the number of distinct keys."""
+    """Counts of 64-bit keys, merged now and then and handed on before they are many, so that memory is bounded."""
 
     def __init__(self):
         self.keys, self.counts, self.pending, self.held = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
 
-    def add(self, keys: np.ndarray) -> None:
+    def add(self, keys: np.ndarray):
         self.pending.append(keys)
         self.held += len(keys)
         if self.held > max(1 << 20, len(self.keys)):
             self.merge()
+            if len(self.keys) > _MOST_KEYS:
+                yield from self.batches()
 
     def merge(self) -> None:
         if not self.pending:
@@ -109,16 +126,17 @@ class _Counter:
         self.merge()
         for at in range(0, len(self.keys), 100_000):
             yield pa.RecordBatch.from_arrays([pa.array(self.keys[at : at + 100_000]), pa.array(self.counts[at : at + 100_000])], ["k", "n"])
+        self.keys, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
 
 def _counted(texts: DataFrame, keys_of) -> DataFrame:
-    """``k, n``: counts of what ``keys_of(tokens, row)`` gives, added up in each task before the shuffle."""
+    """``k, n``: counts of what ``keys_of(tokens, place)`` gives, added up in each task before the shuffle."""
 
     def run(batches):
         counter = _Counter()
         for batch in batches:
-            for tokens, row, _ in _token_runs(batch.column(0)):
-                counter.add(keys_of(tokens, row))
+            for tokens, place, _ in _token_runs(batch.column(0)):
+                yield from counter.add(keys_of(tokens, place))
         yield from counter.batches()
 
     return texts.select("text").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
@@ -126,166 +144,220 @@ def _counted(texts: DataFrame, keys_of) -> DataFrame:
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """``k, n``: counts of word hashes, one end for each text among them."""
-    return _counted(texts, lambda tokens, row: tokens.view(np.int64))
-
-
-def _context_keys(ids: np.ndarray, row: np.ndarray, length: int) -> np.ndarray:
-    """Keys of the ``length`` words before each token, -1 where one is missing or not frequent."""
-    key = np.zeros(len(ids), np.int64)
-    known = np.ones(len(ids), bool)
-    for steps in range(length, 0, -1):
-        word = _before(ids, row, steps)
-        known &= word >= 0
-        key = (key << _BITS) | np.maximum(word, 0)
-    return np.where(known, key, -1)
-
-
-def _log_parent(tree: SuffixTree, context: np.ndarray, word: np.ndarray, length: int) -> np.ndarray:
-    """Log10 probability of frequent words in the longest state of at most ``length`` context words."""
-    total = np.log10(tree.counts[word] + 1.0) - tree.log_total
-    for n in range(1, length + 1):
-        level = tree.levels[n - 1]
-        own = context & ((1 << (_BITS * n)) - 1)
-        state = _find(level.keys, own)
-        entry = _find(level.entry_keys, (own << _BITS) | word)
-        inside = state >= 0
-        lower = total + np.where(inside, level.rest[np.maximum(state, 0)] if len(level.rest) else 0.0, 0.0)
-        total = np.where(inside & (entry >= 0), level.entry_logs[np.maximum(entry, 0)] if len(level.entry_logs) else 0.0, lower)
-    return total
-
-
-def _level(tree: SuffixTree, grams: np.ndarray, n: np.ndarray, contexts: np.ndarray, context_n: np.ndarray, length: int) -> Node:
-    """Nodes of one context length from counts of context-and-word grams and of contexts."""
-    context, word = grams >> _BITS, grams & ((1 << _BITS) - 1)
-    at = _find(contexts, context)
-    keep = at >= 0
-    grams, n, context, word, at = grams[keep], n[keep], context[keep], word[keep], at[keep]
-    parent = _log_parent(tree, context, word, length - 1)
-    own = np.log10((n - DISCOUNT) / context_n[at])
-    keep = np.abs(own - parent) >= np.log10(RATIO)
-    grams, n, parent, own, at = grams[keep], n[keep], parent[keep], own[keep], at[keep]
-    size = len(contexts)
-    kept = np.bincount(at, weights=10**own, minlength=size)
-    below = np.bincount(at, weights=10**parent, minlength=size)
-    ok = (kept < 1 - 1e-9) & (below < 1 - 1e-9)
-    rest = np.log10(np.where(ok, (1 - kept) / np.where(ok, 1 - below, 1), 1.0))
-    entries = np.bincount(at, minlength=size)
-    gain = np.bincount(at, weights=n * (own - parent), minlength=size)
-    gain = gain + (context_n - np.bincount(at, weights=n, minlength=size)) * rest
-    # The divergence test: gained nats against half a logarithm for each entry and the node itself.
-    retained = ok & (entries > 0) & (gain * np.log(10) > 0.5 * (entries + 1) * np.log(np.maximum(context_n, 2)))
-    mine = retained[at]
-    order = np.argsort(grams[mine])
-    return Node(contexts[retained], rest[retained], grams[mine][order], own[mine][order])
-
-
-def _pulled(counted: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Keys counted at least ``least`` times, sorted: so many at most as that share of all tokens allows."""
-    rows = counted.filter(F.col("n") >= max(2.0, least)).toPandas()
-    keys = rows["k"].to_numpy(np.int64)
+    return _counted(texts, lambda tokens, place: tokens.view(np.int64))
+
+
+def _pulled(table: DataFrame, key: str, value: str | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+    """Sorted keys of a table whose size is known to be bounded, and their values."""
+    rows = table.select(key, *([value] if value else [])).toArrow()
+    keys = rows.column(0).to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    return keys[order], rows["n"].to_numpy(np.int64)[order]
+    return keys[order], rows.column(1).to_numpy()[order] if value else None
+
+
+def _pair_counts(texts: DataFrame, length: int) -> DataFrame:
+    """``ctx, short, n`` of all sequences of ``length`` words: without its last word, and without its first."""
 
+    def run(batches):
+        for batch in batches:
+            for tokens, place, _ in _token_runs(batch.column(0)):
+                short = _sequences(tokens, length - 1)
+                there = place >= length - 1
+                ctx, short = _shifted(short)[there], short[there]
+                _, first, n = np.unique(_joined(ctx, short), return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(ctx[first].view(np.int64)), pa.array(short[first].view(np.int64)), pa.array(n)], ["ctx", "short", "n"])
+
+    return texts.select("text").mapInArrow(run, "ctx long, short long, n long").groupBy("ctx", "short").agg(F.sum("n").alias("n"))
+
+
+def _indexed_counts(texts: DataFrame, length: int, contexts: np.ndarray, shorts: np.ndarray) -> DataFrame:
+    """The same for sequences whose parts stand in two sorted arrays; places in them make one number to shuffle."""
+    shared = texts.sparkSession.sparkContext.broadcast((contexts, shorts))
+
+    def keys_of(tokens, place):
+        contexts, shorts = shared.value
+        short = _sequences(tokens, length - 1)
+        there = np.flatnonzero(place >= length - 1)
+        left = _find(contexts, short[there - 1])
+        there, left = there[left >= 0], left[left >= 0]
+        right = _find(shorts, short[there])
+        return ((left << 32) | right)[right >= 0]
+
+    def spelled(batches):
+        contexts, shorts = (x.view(np.int64) for x in shared.value)
+        for batch in batches:
+            k = batch.column(0).to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(contexts[k >> 32]), pa.array(shorts[k & 0xFFFFFFFF]), batch.column(1)], ["ctx", "short", "n"])
 
-def train(texts: DataFrame, vocabulary: DataFrame, depth: int = 2) -> SuffixTree:
+    return _counted(texts, keys_of).filter(F.col("n") >= ENTRY_LEAST).mapInArrow(spelled, "ctx long, short long, n long")
+
+
+def _with_key(counts: DataFrame) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            ctx, short = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_joined(ctx, short).view(np.int64))], ["ctx", "short", "n", "key"])
+
+    return counts.mapInArrow(run, "ctx long, short long, n long, key long")
+
+
+def _grams(texts: DataFrame, known: DataFrame, length: int, max_local: int) -> DataFrame:
+    """``key, n, ctx_n, parent, ctx`` of the frequent sequences whose first ``length - 1`` words are a frequent context.
+
+    ``known`` (``key, n, final``) holds the sequences one word shorter, with their log-probabilities.
+    """
+    contexts = known.filter(F.col("n") >= CONTEXT_LEAST).select(F.col("key").alias("ctx"), F.col("n").alias("ctx_n"))
+    if known.count() <= max_local:
+        counts = _indexed_counts(texts, length, _pulled(contexts, "ctx")[0], _pulled(known, "key")[0])
+    else:
+        counts = _pair_counts(texts, length).filter(F.col("n") >= ENTRY_LEAST)
+    parents = known.select(F.col("key").alias("short"), F.col("final").alias("parent"))
+    return _with_key(counts).join(contexts, "ctx").join(parents, "short").select("key", "n", "ctx_n", "parent", "ctx")
+
+
+def _states(grams: DataFrame) -> DataFrame:
+    """``ctx, rest`` of the contexts that pass the divergence test; ``rest`` scales what the shorter context says."""
+    by = grams.filter("differs").groupBy("ctx").agg(
+        F.max("ctx_n").alias("ctx_n"),
+        F.count("*").alias("entries"),
+        F.sum("n").alias("n"),
+        F.sum(F.pow(F.lit(10.0), "own")).alias("kept"),
+        F.sum(F.pow(F.lit(10.0), "parent")).alias("below"),
+        F.sum(F.col("n") * (F.col("own") - F.col("parent"))).alias("gain"),
+    )
+    by = by.filter("kept < 1 - 1e-9 and below < 1 - 1e-9").withColumn("rest", F.log10((1 - F.col("kept")) / (1 - F.col("below"))))
+    # Gained nats against half a logarithm for each entry and the state itself.
+    gained = (F.col("gain") + (F.col("ctx_n") - F.col("n")) * F.col("rest")) * float(np.log(10))
+    return by.filter(gained > 0.5 * (F.col("entries") + 1) * F.log(F.col("ctx_n"))).select("ctx", "rest")
+
+
+def train(texts: DataFrame, vocabulary: DataFrame, depth: int = 4, max_local: int = MAX_LOCAL) -> SuffixTree:
     """The tree from the training ``texts`` and their ``vocabulary`` (of ``word_counts``)."""
+    spark = texts.sparkSession
     totals = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    n_tokens = int(totals["n"])
-    words, counts = _pulled(vocabulary, WORD_SHARE * n_tokens)
-    order = np.argsort(words.view(np.uint64))
-    tree = SuffixTree(n_tokens, int(totals["v"]), words.view(np.uint64)[order], counts[order], [])
-    end = _find(tree.words, np.array([_END]))[0]
-    contexts, context_n = np.arange(len(tree.words)), tree.counts
-    inside = contexts != end
-    contexts, context_n = contexts[inside], context_n[inside]
+    tree = SuffixTree(int(totals["n"]), int(totals["v"]), vocabulary, [])
+    known = vocabulary.filter(F.col("n") >= ENTRY_LEAST).select(F.col("k").alias("key"), "n", (F.log10(F.col("n") + 1.0) - tree.log_total).alias("final"))
     for length in range(1, depth + 1):
-        shared = texts.sparkSession.sparkContext.broadcast((tree.words, contexts))
-
-        def keys_of(tokens, row, shared=shared, length=length):
-            words, contexts = shared.value
-            ids = _find(words, tokens)
-            context = _context_keys(ids, row, length)
-            if length > 1:
-                context = np.where(_find(contexts, context) >= 0, context, -1)
-            good = (context >= 0) & (ids >= 0)
-            return (context[good] << _BITS) | ids[good]
-
-        grams, n = _pulled(_counted(texts, keys_of), ENTRY_SHARE * n_tokens)
-        tree.levels.append(_level(tree, grams, n, contexts, context_n, length))
-        # A gram that no end closes is a context of the next length.
-        longer = (n >= WORD_SHARE * n_tokens) & ((grams & ((1 << _BITS) - 1)) != end)
-        contexts, context_n = grams[longer], n[longer]
-        shared.unpersist()
+        own = F.log10((F.col("n") - DISCOUNT) / F.col("ctx_n"))
+        grams = _grams(texts, known, length + 1, max_local).withColumn("own", own)
+        grams = grams.withColumn("differs", F.abs(F.col("own") - F.col("parent")) >= float(np.log10(RATIO)))
+        grams = written(spark, grams, f"sequences-{length + 1}")
+        states = written(spark, _states(grams), f"states-{length}")
+        placed = grams.join(states, "ctx", "left")
+        final = F.when(F.col("rest").isNull(), F.col("parent")).when(F.col("differs"), F.col("own")).otherwise(F.col("parent") + F.col("rest"))
+        entries = placed.filter("differs and rest is not null").select("key", F.col("own").alias("log"))
+        tree.levels.append(Level(states, written(spark, entries, f"entries-{length}")))
+        if length < depth:
+            known = written(spark, placed.select("key", "n", final.alias("final")), f"known-{length + 1}")
     return tree
 
 
-def _scored(tree: SuffixTree, tokens: np.ndarray, row: np.ndarray):
-    """By token: whether the word is frequent, and log10 factors of base and model without a rare word's count."""
-    ids = _find(tree.words, tokens)
-    frequent = ids >= 0
-    base = np.where(frequent, np.log10(tree.counts[np.maximum(ids, 0)] + 1.0) if len(tree.counts) else 0.0, 0.0) - tree.log_total
-    total = base
+def _local_parts(rows: DataFrame, tree: SuffixTree, max_local: int) -> DataFrame:
+    """Sums by row with the tree in arrays, and the words whose counts are not in them."""
+    context = rows.sparkSession.sparkContext
+    # At most max_local words have such a share of all tokens.
+    least = max(ENTRY_LEAST, tree.train_tokens // max(max_local, 1) + 1)
+    words, counts = _pulled(tree.vocabulary.filter(F.col("n") >= least), "k", "n")
+    levels = [(*_pulled(level.states, "ctx", "rest"), *_pulled(level.entries, "key", "log")) for level in tree.levels]
+    shared = context.broadcast((words, np.append(np.log10(counts + 1.0), 0.0), levels))
+    log_total = tree.log_total
+
+    def run(batches):
+        words, logs, levels = shared.value
+        for batch in batches:
+            out = [[] for _ in range(6)]
+            for tokens, place, lengths in _token_runs(batch.column(1)):
+                at = _find(words, tokens)
+                base = logs[at] - log_total
+                total, hit = base.copy(), np.zeros(len(tokens), bool)
+                keys = tokens
+                for n, (states, rest, entry_keys, entry_logs) in enumerate(levels, 1):
+                    before, keys = _shifted(keys), _longer(keys)
+                    there = np.flatnonzero(place >= n)
+                    state = _find(states, before[there])
+                    there, state = there[state >= 0], state[state >= 0]
+                    entry = _find(entry_keys, keys[there])
+                    total[there] += rest[state]
+                    found, entry = there[entry >= 0], entry[entry >= 0]
+                    total[found] = entry_logs[entry]
+                    hit[found] = True
+                starts = np.cumsum(lengths) - lengths
+                out[0].append(lengths)
+                out[1].append(np.add.reduceat((at >= 0).astype(np.int64), starts))
+                out[2].append(np.add.reduceat(base, starts))
+                out[3].append(np.add.reduceat(total, starts))
+                rare = np.flatnonzero(at < 0)
+                cuts = np.searchsorted(rare, starts[1:])
+                out[4].extend(np.split(tokens[rare].view(np.int64), cuts))
+                out[5].extend(np.split(hit[rare], cuts))
+            if not out[0]:
+                continue
+            numbers = [pa.array(np.concatenate(c)) for c in out[:4]]
+            offsets = pa.array(np.concatenate([[0], np.cumsum([len(r) for r in out[4]])]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(c))) for c in out[4:]]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *numbers, *lists], ["doc_id", "held_out", "n_tokens", "n_local", "base", "model", "rare", "hit"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    parts = rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, n_local long, base double, model double, rare array<long>, hit array<boolean>")
+    parts = written(rows.sparkSession, parts.withColumn("row", F.monotonically_increasing_id()), "score-parts")
+    # Counts of the other words meet them by a join, then go back to their rows in sums.
+    rare = parts.select("row", F.explode(F.arrays_zip("rare", "hit")).alias("r")).select("row", F.col("r.rare").alias("k"), F.col("r.hit").alias("hit"))
+    log = F.log10(F.col("n") + 1.0)
+    sums = rare.join(tree.vocabulary, "k").groupBy("row").agg(
+        F.count("*").alias("found"), F.sum(log).alias("add"), F.sum(F.when(~F.col("hit"), log)).alias("add_model")
+    )
+    found, add, add_model = (F.coalesce(c, F.lit(0)) for c in ("found", "add", "add_model"))
+    return parts.join(sums, "row", "left").select(
+        "doc_id", "held_out", "n_tokens", (F.col("n_local") + found).alias("n_known"), (F.col("base") + add).alias("base_score"), (F.col("model") + add_model).alias("score")
+    )
+
+
+def _joined_parts(rows: DataFrame, tree: SuffixTree) -> DataFrame:
+    """The same sums with one row for each token, which meets the tree's tables in joins."""
+    depth = len(tree.levels)
+    rows = written(rows.sparkSession, rows.withColumn("row", F.monotonically_increasing_id()), "score-rows")
+
+    def run(batches):
+        for batch in batches:
+            at = 0
+            row_ids = batch.column(1).to_numpy()
+            for tokens, place, lengths in _token_runs(batch.column(0)):
+                arrays = [pa.array(np.repeat(row_ids[at : at + len(lengths)], lengths)), pa.array(tokens.view(np.int64))]
+                at += len(lengths)
+                keys = tokens
+                for n in range(1, depth + 1):
+                    before, keys = _shifted(keys), _longer(keys)
+                    arrays += [pa.array(a.view(np.int64), mask=place < n) for a in (before, keys)]
+                yield pa.RecordBatch.from_arrays(arrays, ["row", "k", *(f"{s}{n}" for n in range(1, depth + 1) for s in ("c", "g"))])
+
+    pairs = "".join(f", c{n} long, g{n} long" for n in range(1, depth + 1))
+    tokens = rows.select("text", "row").mapInArrow(run, f"row long, k long{pairs}").join(tree.vocabulary, "k", "left")
+    tokens = tokens.withColumn("base", F.coalesce(F.log10(F.col("n") + 1.0), F.lit(0.0)) - tree.log_total).withColumn("model", F.col("base"))
     for n, level in enumerate(tree.levels, 1):
-        context = _context_keys(ids, row, n)
-        if not len(level.keys):
-            continue
-        state = np.full(len(ids), -1)
-        there = np.flatnonzero(context >= 0)
-        state[there] = _find(level.keys, context[there])
-        inside = state >= 0
-        entry = np.full(len(ids), -1)
-        both = np.flatnonzero(inside & frequent)
-        entry[both] = _find(level.entry_keys, (context[both] << _BITS) | ids[both])
-        total = np.where(inside, total + level.rest[np.maximum(state, 0)], total)
-        if len(level.entry_logs):
-            total = np.where(entry >= 0, level.entry_logs[np.maximum(entry, 0)], total)
-    return frequent, base, total
-
-
-def score(docs: DataFrame, is_training: Column, depth: int = 2) -> DataFrame:
+        tokens = tokens.join(level.states.withColumnRenamed("ctx", f"c{n}"), f"c{n}", "left").join(level.entries.withColumnRenamed("key", f"g{n}"), f"g{n}", "left")
+        model = F.when(F.col("rest").isNull(), F.col("model")).otherwise(F.coalesce("log", F.col("model") + F.col("rest")))
+        tokens = tokens.withColumn("model", model).drop("rest", "log", f"c{n}", f"g{n}")
+    sums = tokens.groupBy("row").agg(
+        F.count("*").alias("n_tokens"), F.count("n").alias("n_known"), F.sum("base").alias("base_score"), F.sum("model").alias("score")
+    )
+    return rows.select("row", "doc_id", "held_out").join(sums, "row").drop("row")
+
+
+def score(docs: DataFrame, is_training: Column, depth: int = 4, max_local: int = MAX_LOCAL) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row of ``docs``.
 
     Tokens are the words (A-Z lower-cased) and one end. ``base_score`` adds log10((c + 1) / (N + V + 1)),
     ``score`` the tree's log10 probabilities; ``is_training`` (on ``doc_id``) marks the rows that both learn
     from. A null or empty text has the end alone. Every row gives a row; copies and shared ids get equal
     scores for equal texts. With nothing to learn from, N and V are 0. Other columns are left out.
+    Tables of more than ``max_local`` rows are joined, not held in tasks.
     """
     spark = docs.sparkSession
     texts = docs.filter(is_training).select("text")
     vocabulary = written(spark, word_counts(texts), "word-counts")
-    tree = train(texts, vocabulary, depth)
-    shared = spark.sparkContext.broadcast(tree)
-
-    def run(batches):
-        tree = shared.value
-        for batch in batches:
-            out = [[] for _ in range(5)]
-            for tokens, row, lengths in _token_runs(batch.column(1)):
-                frequent, base, total = _scored(tree, tokens, row)
-                starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-                out[0].append(lengths)
-                out[1].append(np.add.reduceat(frequent.astype(np.int64), starts))
-                out[2].append(np.add.reduceat(base, starts))
-                out[3].append(np.add.reduceat(total, starts))
-                rare = np.flatnonzero(~frequent)
-                out[4].extend(np.split(tokens[rare].view(np.int64), np.searchsorted(rare, starts[1:])))
-            if not out[0]:
-                continue
-            numbers = [pa.array(np.concatenate(c)) for c in out[:4]]
-            offsets = np.concatenate([[0], np.cumsum([len(r) for r in out[4]])]).astype(np.int32)
-            rare = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(out[4])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *numbers, rare], ["doc_id", "held_out", "n_tokens", "n_frequent", "base", "model", "rare"])
-
+    tree = train(texts, vocabulary, depth, max_local)
     rows = docs.select("doc_id", "text", (~is_training).alias("held_out"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    parts = rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, n_frequent long, base double, model double, rare array<long>")
-    parts = written(spark, parts.withColumn("row", F.monotonically_increasing_id()), "score-parts")
-    # Words too rare for the tree: their counts meet them by a join, then go back to their rows in sums.
-    rare = parts.select("row", F.explode("rare").alias("k")).join(vocabulary, "k")
-    sums = rare.groupBy("row").agg(F.count("*").alias("found"), F.sum(F.log10(F.col("n") + 1.0)).alias("add"))
-    found, add = F.coalesce("found", F.lit(0)), F.coalesce("add", F.lit(0.0))
-    return parts.join(sums, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_frequent") + found).alias("n_known"),
-        F.lit(tree.train_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + add).alias("base_score"), (F.col("model") + add).alias("score"),
-    )
+    size = sum(level.states.count() + level.entries.count() for level in tree.levels)
+    scored = _local_parts(rows, tree, max_local) if size <= max_local else _joined_parts(rows, tree)
+    n_tokens = F.lit(tree.train_tokens).cast("long").alias("train_tokens")
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", n_tokens, "base_score", "score")

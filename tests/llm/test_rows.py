@@ -139,22 +139,90 @@ def test_suffix_tree_learns_contexts(spark):
     assert gain > 0.3
 
 
-def test_suffix_tree_states_are_distributions(spark):
-    """In every retained state the probabilities of all words, the unknown one among them, add up to one."""
+def brute_tree(texts, depth):
+    """The tree by dictionaries of word sequences: a function from words to the log10 probability of a whole text."""
+    rows = [[*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]+", lambda m: m[0].lower(), t or "")), None] for t in texts]
+    counts = Counter(tuple(r[k : k + n]) for r in rows for n in range(1, depth + 2) for k in range(len(r) - n + 1))
+    n_all, n_types = sum(map(len, rows)), len({w for r in rows for w in r})
+    states = {}
+
+    def prob(words):
+        """Of the last word after those before it."""
+        p = (counts[words[-1:]] + 1) / (n_all + n_types + 1)
+        for n in range(1, len(words)):
+            if (found := states.get(words[-1 - n : -1])) is not None:
+                p = found[1].get(words[-1], p * found[0])
+        return p
+
+    for n in range(1, depth + 1):
+        followers = {}
+        for s, c in counts.items():
+            if len(s) == n + 1 and c >= suffix_tree.ENTRY_LEAST and counts[s[:-1]] >= suffix_tree.CONTEXT_LEAST:
+                followers.setdefault(s[:-1], []).append((s, c))
+        found = {}
+        for context, grams in followers.items():
+            total = counts[context]
+            chosen = [(s, c, (c - suffix_tree.DISCOUNT) / total, prob(s)) for s, c in grams]
+            chosen = [g for g in chosen if max(g[2] / g[3], g[3] / g[2]) >= suffix_tree.RATIO]
+            left, below = 1 - sum(g[2] for g in chosen), 1 - sum(g[3] for g in chosen)
+            if not chosen or left <= 1e-9 or below <= 1e-9:
+                continue
+            gain = sum(c * math.log(own / parent) for _, c, own, parent in chosen) + (total - sum(g[1] for g in chosen)) * math.log(left / below)
+            if gain > 0.5 * (len(chosen) + 1) * math.log(total):
+                found[context] = (left / below, {s[-1]: own for s, _, own, _ in chosen})
+        states.update(found)
+
+    def text_score(text):
+        row = [*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]+", lambda m: m[0].lower(), text or "")), None]
+        return sum(math.log10(prob(tuple(row[max(0, k - depth) : k + 1]))) for k in range(len(row)))
+
+    return text_score, states, prob, {w for r in rows for w in r}
+
+
+@pytest.fixture(scope="module")
+def chained():
+    """Texts in which words follow from up to four words before, with rare words, a hot word, nulls and blanks."""
     rng = random.Random(9)
-    rows = [(k, " ".join(rng.choices(["x y", "y z w", "z", "w x", "q"], k=20))) for k in range(300)]
-    texts = spark.createDataFrame(rows, "doc_id long, text string")
-    tree = suffix_tree.train(texts, suffix_tree.word_counts(texts))
-    ids = np.arange(len(tree.words))
-    assert len(tree.levels[0].keys) > 0
-    for length, level in enumerate(tree.levels, 1):
-        for key in level.keys[:10]:
-            logs = suffix_tree._log_parent(tree, np.full(len(ids), key), ids, length)
-            unknown = -tree.log_total
-            for n in range(1, length + 1):
-                state = suffix_tree._find(tree.levels[n - 1].keys, np.array([key & ((1 << (20 * n)) - 1)]))[0]
-                unknown += tree.levels[n - 1].rest[state] if state >= 0 else 0.0
-            assert abs((10**logs).sum() + 10**unknown - 1) < 1e-6
+    rows = []
+    for k in range(900):
+        words = rng.choices("pqrs", k=4)
+        for _ in range(rng.randint(0, 40)):
+            code = sum(map(ord, "".join(words[-4 if k % 3 else -2 :])))
+            words.append("pqrs"[code % 4] if rng.random() < 0.8 else rng.choice(["The", "z", f"x{rng.randrange(300)}", "p"]))
+        rows.append((k, "  ".join(words)))
+    return [*rows, (1000, None), (1001, ""), (1002, " \n"), (None, rows[0][1]), rows[5], rows[5], (1003, "p q r " * 40_000)]
+
+
+@pytest.mark.parametrize("max_local", [suffix_tree.MAX_LOCAL, 100, 0])
+def test_suffix_tree_against_brute_force(spark, chained, max_local):
+    """Scores equal those of dictionaries, whether tables are held in tasks, joined, or some of each."""
+    text_score, states, _, _ = brute_tree([t for i, t in chained if zlib.crc32(str(i if i is not None else "").encode()) % 7 != 2], 4)
+    assert {len(s) for s in states} == {1, 2, 3, 4}
+    docs = spark.createDataFrame(chained, "doc_id long, text string").repartition(4)
+    got = suffix_tree.score(docs, remainder(F.col("doc_id"), 7) != 2, max_local=max_local).collect()
+    want = sorted((str(i), text_score(t)) for i, t in chained)
+    assert [g[0] for g in sorted((str(r.doc_id), r.score) for r in got)] == [w[0] for w in want]
+    assert all(abs(g[1] - w[1]) < 1e-6 * max(1.0, abs(w[1])) for g, w in zip(sorted((str(r.doc_id), r.score) for r in got), want, strict=True))
+    base = brute_base(chained, 7, 2)
+    assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == base
+
+
+def test_suffix_tree_states_are_distributions(chained):
+    """In every retained state the probabilities of all words, the unknown one among them, add up to one."""
+    _, states, prob, words = brute_tree([t for _, t in chained], 4)
+    for context in list(states)[::7]:
+        assert abs(sum(prob((*context, w)) for w in words) + prob((*context, "unknown")) - 1) < 1e-9
+
+
+def test_suffix_tree_grows_with_the_input(spark, chained):
+    """Twice the text under other words gives twice the states: what a state needs does not rise."""
+    texts = spark.createDataFrame(chained, "doc_id long, text string").select("text")
+    other = texts.select(F.translate("text", "pqrsz", "abcde").alias("text"))
+
+    def size(frame):
+        return sum(level.states.count() for level in suffix_tree.train(frame, suffix_tree.word_counts(frame)).levels)
+
+    assert size(texts.unionByName(other)) >= 1.9 * size(texts)
 
 
 def test_restoring_disguised_words():
