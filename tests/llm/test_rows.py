@@ -246,6 +246,13 @@ def test_restoring_disguised_words():
         ("w.o.r.t.h.l.e.s.s", "worthless"), ("tr@sh", "trash"), ("$tup1d", "stupid"), ("worthless###", "worthless"), ("idiot", "idiot"),
     ]:
         assert word in restorer.words(text), text
+    wanted = toxicity.Restorer(restorer.chars, {"idiot", "stupid", "moron"})
+    for text, word in [
+        ("you i  d\ti\n\no t here", "idiot"), ("id iot", "idiot"), ("what a stu  pid thing", "stupid"), ("m0 r0 n", "moron"),
+        ("1d i 0t", "idiot"), ("st\nup\nid", "stupid"), ("mo ro o on", "moron"),
+    ]:
+        assert wanted.words(text) == {word}, text
+    assert wanted.words("in the id of it all is not mo and or on top it is id or") == set()
     assert restorer.words("") == set() and restorer.words("this that") == {"this", "that"}
     assert restorer.text("th1s m0r0n") == "this moron"
 
@@ -264,6 +271,34 @@ def toxic_corpus():
     return rows
 
 
+def test_toxicity_fit_against_dense_newton():
+    rng = np.random.default_rng(4)
+    x = (rng.random((300, 12)) < 0.2).astype(float)
+    y = (rng.random(300) < 1 / (1 + np.exp(2 - 3 * x[:, 0] - 2 * x[:, 1]))).astype(float)
+    row, word = np.nonzero(x)
+    got = toxicity._fit(y, row, word, 12, 0.05)
+    full, penalty, w = np.column_stack([x, np.ones(300)]), np.array([0.05] * 12 + [1e-3]), np.zeros(13)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-full @ w))
+        w += np.linalg.solve((full * (p * (1 - p))[:, None]).T @ full + np.diag(penalty), full.T @ (y - p) - penalty * w)
+    assert np.abs(got - w).max() < 1e-6
+
+
+def test_toxicity_without_a_limit_of_words(spark):
+    """Four hundred toxic words, each in few rows, all count; a long text and repeated rows are scored alike."""
+    rng = random.Random(5)
+    letters = "bcdfghjkmnprstvw"
+    bad = ["".join(p) + "uk" for p in itertools.islice(itertools.permutations(letters, 3), 0, 3200, 8)]
+    rows = [(k, " ".join([rng.choice(["one", "two", "six"]) for _ in range(9)] + rng.sample(bad, 30) * (k % 5 == 0)), int(k % 5 == 0)) for k in range(3000)]
+    extra = [(5000, "one " * 400_000 + " ".join(bad[::14])), (5001, "six " + bad[3]), (5001, "six " + bad[3])]
+    docs = spark.createDataFrame([r[:2] for r in rows] + extra, "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, toxic int"))
+    assert set(bad) <= set(model.weights) and len(model.weights) < len(bad) + 5
+    got = toxicity.score(docs.filter("doc_id >= 5000"), model).collect()
+    assert len(got) == 3 and len({r.score for r in got if r.doc_id == 5001}) == 1
+    assert [r.predicted for r in got if r.doc_id == 5000] == [1]
+
+
 def test_toxicity(spark, toxic_corpus):
     docs = spark.createDataFrame([(k, t, "en", 9.0) for k, t, _ in toxic_corpus] + [(None, None, "x", 1.0), (900, "", "x", 1.0)], "doc_id long, text string, lang string, score double")
     labels = spark.createDataFrame([(k, y) for k, _, y in toxic_corpus] + [(None, 1), (3, None)], "doc_id long, toxic int")
