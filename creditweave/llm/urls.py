@@ -16,15 +16,21 @@ Rule = tuple[str, str, str]
 
 #: Words of hosts that a filter for text corpora refuses, and of ordinary ones.
 BLOCKED_WORDS = (
-    "casino-win", "casino", "free-bets", "bets", "sportbets", "poker-room", "slots-jackpot", "cheap-pills", "pills-shop",
-    "viagra", "ads-track", "ads", "track-click", "banner-ads", "payday-loans", "win-prize", "free-download", "adult-cams",
-    "replica-watches", "bitcoin-doubler",
+    "casino", "grand-casino", "casinobonus", "bets", "sportbets", "betting-tips", "live-betting", "poker-room", "pokerstar",
+    "slots-jackpot", "pills", "pills-shop", "discount-pills", "viagra", "online-pharmacy", "ads", "adserver", "ad-exchange",
+    "track-click", "tracker", "pixel-track", "banner-ads", "popup-ads", "payday-loans", "quick-loans", "win-prize",
+    "free-download", "freebies", "adult", "adult-cams", "xxx-video", "porn-tube", "escort-dating", "replica-watches",
+    "bitcoin-doubler", "get-rich", "miracle-diet", "cheap-replica",
 )
 ORDINARY_WORDS = (
-    "thering", "tionsh", "ththan", "therin", "ththon", "news", "library", "garden", "history", "weather", "school",
-    "recipes", "travel", "museum", "science", "journal", "kitchen", "music", "village", "university", "station", "nation",
-    "fiction", "edition", "theatre", "north", "earth", "leather", "father", "island", "market", "forest", "painting",
-    "reading", "teacher", "stories", "letters", "ocean", "rivers", "bread",
+    "news", "library", "garden", "history", "weather", "school", "recipes", "travel", "museum", "science", "journal",
+    "kitchen", "music", "village", "university", "station", "nation", "fiction", "edition", "theatre", "north", "earth",
+    "leather", "father", "island", "market", "forest", "painting", "reading", "teacher", "stories", "letters", "ocean",
+    "rivers", "bread", "mother", "other-places", "gathering", "anthem", "methods", "thanks", "python-notes", "hiking",
+    "within", "everything", "relations", "action", "tradition", "fashion", "translation", "hospital", "shipping",
+    "astronomy", "chess-club", "parish", "railways", "bakery", "seeds-and-trees", "botany", "orchestra", "cinema",
+    "marathon", "bookshop", "archive", "poetry", "elections", "parliament", "harbour", "mountains", "beekeeping",
+    "track-and-field", "download-manuals", "advice", "adventures", "betterhomes", "alphabet", "spills-and-floods",
 )
 
 
