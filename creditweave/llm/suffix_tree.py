@@ -24,7 +24,7 @@ from creditweave.llm.shingles import batch_words, mix
 
 #: Occurrences that a context needs to become a state, and a sequence to become an entry, at any size.
 CONTEXT_LEAST, ENTRY_LEAST = 64, 16
-#: Rows of a table that tasks may hold as arrays: 64 MB of keys and numbers.
+#: Rows of a table that tasks may hold as arrays: 100 MB of keys, numbers and places.
 MAX_LOCAL = 4_000_000
 #: An entry's probability differs from the shorter context's by this factor at least.
 RATIO = 1.5
@@ -55,12 +55,24 @@ class SuffixTree:
         return float(np.log10(self.train_tokens + self.train_types + 1))
 
 
-def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Index of each key in a sorted table, -1 where it is not there."""
-    if not len(table):
-        return np.full(len(keys), -1)
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return np.where(table[at] == keys, at, -1)
+class _Keys:
+    """Distinct 64-bit keys in order. As they are hashes, their leading bits say almost where each one stands."""
+
+    def __init__(self, keys: np.ndarray):
+        bits = max(1, len(keys).bit_length())
+        self.size, self.shift = len(keys), np.uint64(64 - bits)
+        self.starts = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
+        self.keys = np.append(keys, np.uint64(2**64 - 1))
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each key, -1 where it is not there."""
+        at = self.starts[keys >> self.shift]
+        later = np.flatnonzero(self.keys[at] < keys)
+        while len(later):
+            at[later] += 1
+            later = later[self.keys[at[later]] < keys[later]]
+        at[(self.keys[at] != keys) | (at == self.size)] = -1
+        return at
 
 
 def _token_runs(column: pa.Array):
@@ -170,24 +182,22 @@ def _pair_counts(texts: DataFrame, length: int) -> DataFrame:
     return texts.select("text").mapInArrow(run, "ctx long, short long, n long").groupBy("ctx", "short").agg(F.sum("n").alias("n"))
 
 
-def _indexed_counts(texts: DataFrame, length: int, contexts: np.ndarray, shorts: np.ndarray) -> DataFrame:
-    """The same for sequences whose parts stand in two sorted arrays; places in them make one number to shuffle."""
-    shared = texts.sparkSession.sparkContext.broadcast((contexts, shorts))
+def _indexed_counts(texts: DataFrame, length: int, known: _Keys, is_context: np.ndarray) -> DataFrame:
+    """The same for sequences whose parts are ``known``; their places there make one number to shuffle."""
+    shared = texts.sparkSession.sparkContext.broadcast((known, is_context))
 
     def keys_of(tokens, place):
-        contexts, shorts = shared.value
-        short = _sequences(tokens, length - 1)
-        there = np.flatnonzero(place >= length - 1)
-        left = _find(contexts, short[there - 1])
-        there, left = there[left >= 0], left[left >= 0]
-        right = _find(shorts, short[there])
-        return ((left << 32) | right)[right >= 0]
+        known, is_context = shared.value
+        at = known.find(_sequences(tokens, length - 1))
+        # A place of -1 takes the last flag, but such parts are left out.
+        good = (place[1:] >= length - 1) & (at[:-1] >= 0) & (at[1:] >= 0) & is_context[at[:-1]]
+        return (at[:-1][good].astype(np.int64) << 32) | at[1:][good]
 
     def spelled(batches):
-        contexts, shorts = (x.view(np.int64) for x in shared.value)
+        known = shared.value[0].keys.view(np.int64)
         for batch in batches:
             k = batch.column(0).to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(contexts[k >> 32]), pa.array(shorts[k & 0xFFFFFFFF]), batch.column(1)], ["ctx", "short", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(known[k >> 32]), pa.array(known[k & 0xFFFFFFFF]), batch.column(1)], ["ctx", "short", "n"])
 
     return _counted(texts, keys_of).filter(F.col("n") >= ENTRY_LEAST).mapInArrow(spelled, "ctx long, short long, n long")
 
@@ -207,8 +217,9 @@ def _grams(texts: DataFrame, known: DataFrame, length: int, max_local: int) -> D
     ``known`` (``key, n, final``) holds the sequences one word shorter, with their log-probabilities.
     """
     contexts = known.filter(F.col("n") >= CONTEXT_LEAST).select(F.col("key").alias("ctx"), F.col("n").alias("ctx_n"))
-    if known.count() <= max_local:
-        counts = _indexed_counts(texts, length, _pulled(contexts, "ctx")[0], _pulled(known, "key")[0])
+    if 0 < known.count() <= max_local:
+        keys, n = _pulled(known, "key", "n")
+        counts = _indexed_counts(texts, length, _Keys(keys), n >= CONTEXT_LEAST)
     else:
         counts = _pair_counts(texts, length).filter(F.col("n") >= ENTRY_LEAST)
     parents = known.select(F.col("key").alias("short"), F.col("final").alias("parent"))
@@ -258,8 +269,11 @@ def _local_parts(rows: DataFrame, tree: SuffixTree, max_local: int) -> DataFrame
     # At most max_local words have such a share of all tokens.
     least = max(ENTRY_LEAST, tree.train_tokens // max(max_local, 1) + 1)
     words, counts = _pulled(tree.vocabulary.filter(F.col("n") >= least), "k", "n")
-    levels = [(*_pulled(level.states, "ctx", "rest"), *_pulled(level.entries, "key", "log")) for level in tree.levels]
-    shared = context.broadcast((words, np.append(np.log10(counts + 1.0), 0.0), levels))
+    levels = []
+    for level in tree.levels:
+        (states, rest), (entries, entry_logs) = _pulled(level.states, "ctx", "rest"), _pulled(level.entries, "key", "log")
+        levels.append((_Keys(states), rest, _Keys(entries), entry_logs))
+    shared = context.broadcast((_Keys(words), np.append(np.log10(counts + 1.0), 0.0), levels))
     log_total = tree.log_total
 
     def run(batches):
@@ -267,16 +281,16 @@ def _local_parts(rows: DataFrame, tree: SuffixTree, max_local: int) -> DataFrame
         for batch in batches:
             out = [[] for _ in range(6)]
             for tokens, place, lengths in _token_runs(batch.column(1)):
-                at = _find(words, tokens)
+                at = words.find(tokens)
                 base = logs[at] - log_total
                 total, hit = base.copy(), np.zeros(len(tokens), bool)
                 keys = tokens
-                for n, (states, rest, entry_keys, entry_logs) in enumerate(levels, 1):
+                for n, (states, rest, entries, entry_logs) in enumerate(levels, 1):
                     before, keys = _shifted(keys), _longer(keys)
                     there = np.flatnonzero(place >= n)
-                    state = _find(states, before[there])
+                    state = states.find(before[there])
                     there, state = there[state >= 0], state[state >= 0]
-                    entry = _find(entry_keys, keys[there])
+                    entry = entries.find(keys[there])
                     total[there] += rest[state]
                     found, entry = there[entry >= 0], entry[entry >= 0]
                     total[found] = entry_logs[entry]
