@@ -32,8 +32,8 @@ MARGIN, READINGS = 6.0, 3
 
 _S, _ORDER = 28, 4  # boundary, a to z, other letters
 _SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
-#: Runs of chunks of up to three signs: a word may be cut into them.
-_CHUNKED = re.compile(r"(?<!\S)\S{1,3}(?:\s+\S{1,3})+(?!\S)")
+#: A word may be cut into chunks of so many signs.
+_CHUNK = 3
 #: One letter for all that a sign may stand for (i and l, b and g share one); separators vanish.
 _ALIKE = str.maketrans({s: {"l": "i", "g": "b"}.get(c[0], c[0]) for s, c in LOOKALIKES.items()} | {"l": "i", "g": "b"} | dict.fromkeys(SEPARATORS, ""))
 _DOUBLED = re.compile(r"([a-z])\1")
@@ -155,7 +155,8 @@ class Restorer:
         self.chars, self.decode, self.wanted = model, decoder.readings, wanted
         self.skeletons = None if wanted is None else {_squeezed(w) for w in wanted}
         self.rough = {_rough(w) for w in wanted or ()}
-        self.longest = max(map(len, self.rough), default=0)
+        self.prefixes = {w[:k] for w in self.rough for k in range(1, len(w) + 1)}
+        self.rough_of = Memo(_rough)
         self.of_token = Memo(self._of_token)
 
     def _of_token(self, token: str) -> tuple[str, ...]:
@@ -177,26 +178,30 @@ class Restorer:
         found: set[str] = set()
         for piece in pieces(text):
             lower = piece.lower()
-            tokens = set(lower.split())
+            words = lower.split()
+            tokens = set(words)
             tokens.update(" ".join(run.split()) for run in _SPACED.findall(lower))
             if self.rough:
-                for run in _CHUNKED.findall(lower):
-                    tokens.update(self._windows(run.split()))
-            for words in map(self.of_token.__getitem__, tokens):
-                if words:
-                    found.update(words)
+                tokens.update(self._windows(words))
+            for given in map(self.of_token.__getitem__, tokens):
+                if given:
+                    found.update(given)
         return found
 
-    def _windows(self, chunks: list[str]):
+    def _windows(self, words: list[str]):
         """Neighbouring chunks that together look like a wanted word."""
-        for first in range(len(chunks) - 1):
-            joined = _rough(chunks[first])
-            for last in range(first + 1, len(chunks)):
-                joined = _squeezed(joined + chunks[last].translate(_ALIKE))
-                if len(joined) > self.longest:
+        prefixes, rough_of = self.prefixes, self.rough_of
+        for first in [k for k, w in enumerate(words) if len(w) <= _CHUNK and rough_of[w] in prefixes]:
+            joined = rough_of[words[first]]
+            for last in range(first + 1, len(words)):
+                if len(words[last]) > _CHUNK:
+                    break
+                chunk = rough_of[words[last]]
+                joined += chunk[1:] if chunk[:1] == joined[-1] else chunk
+                if joined not in prefixes:
                     break
                 if joined in self.rough:
-                    yield " ".join(chunks[first : last + 1])
+                    yield " ".join(words[first : last + 1])
 
     def text(self, text: str) -> str:
         """The restored text itself, by the best reading of each token."""
