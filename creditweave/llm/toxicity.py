@@ -31,6 +31,8 @@ SIGN_COST, DROP_COST, SPLIT_COST, REPEAT_COST, RUN_COST = 1.0, 1.0, 1.5, 2.0, 0.
 MARGIN, READINGS = 6.0, 3
 
 _S, _ORDER = 28, 4  # boundary, a to z, other letters
+#: Characters whose grams are counted at once.
+_LOT = 1 << 20
 _SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
 #: A word may be cut into chunks of so many signs.
 _CHUNK = 3
@@ -59,14 +61,26 @@ def char_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         total = np.zeros(_S**_ORDER, np.int64)
+
+        def count(held):
+            # One sign that is no letter parts two texts as it parts two words.
+            points = np.frombuffer("\n".join(held).encode("utf-32-le", "replace"), np.uint32)
+            code = np.concatenate([[0], _SYMBOLS[np.minimum(points, len(_SYMBOLS) - 1)], [0]])
+            code = np.repeat(code, np.where(code == 0, _ORDER - 1, 1))
+            gram = ((code[:-3] * _S + code[1:-2]) * _S + code[2:-1]) * _S + code[3:]
+            np.add(total, np.bincount(gram[gram > 0], minlength=len(total)), out=total)
+
+        held, size = [], 0
         for batch in batches:
             for text in batch.column(0):
                 for piece in pieces(text.as_py() or ""):
-                    points = np.frombuffer(piece.encode("utf-32-le", "replace"), np.uint32)
-                    code = np.concatenate([[0], _SYMBOLS[np.minimum(points, len(_SYMBOLS) - 1)], [0]])
-                    code = np.repeat(code, np.where(code == 0, _ORDER - 1, 1))
-                    gram = ((code[:-3] * _S + code[1:-2]) * _S + code[2:-1]) * _S + code[3:]
-                    total += np.bincount(gram[gram > 0], minlength=len(total))
+                    held.append(piece)
+                    size += len(piece)
+                    # The table of all grams is much longer than most texts.
+                    if size > _LOT:
+                        count(held)
+                        held, size = [], 0
+        count(held)
         gram = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(total[gram])], ["gram", "n"])
 
