@@ -124,3 +124,28 @@ def test_bitmaps_are_all_that_is_shuffled(spark, tmp_path):
         F.count("*").alias("application_count"), F.count_distinct("customer_number").alias("customer_count"), F.round(F.avg("requested_amount"), 2).alias("avg")
     )
     assert rows(mart) == sorted(rows(want)) and rows(mart)[0][3] > 2 * 32768 / 2
+
+
+def test_bitmaps_do_not_grow_with_days(spark):
+    """One bitmap for each group and run of numbers, not one more for each day."""
+    clean = spark.range(3000).select(
+        (F.col("id") + 1).alias("customer_number"), F.expr("timestamp '2026-01-01' + make_interval(0, 0, 0, int(id % 500))").alias("event_time"),
+        F.lit("R1").alias("region_code"), F.lit("approved").alias("decision_status"), F.lit(10).alias("requested_amount"),
+    )
+    mart = partials.region_status_by_bitmaps(clean)
+    assert rows(mart) == [("R1", "approved", 3000, 3000, 10.0)]
+    assert "event_date" not in physical(mart)
+
+
+def test_partial_rows_of_a_day_hold_words_not_bitmaps(spark):
+    """A day's group with few customers takes a word for each, not a bitmap of 4 KB; none has more words than rows."""
+    made = [(n, "2026-01-01", "R1") for n in (1, 63, 64, 127, 128, 40_000, 1 << 33, 63, None)] + [(64, "2026-01-02", "R1"), (None, "2026-01-02", None)]
+    clean = spark.createDataFrame(made, "customer_number bigint, day string, region_code string").select(
+        "customer_number", F.col("day").cast("timestamp").alias("event_time"), "region_code", F.lit("approved").alias("decision_status"), F.lit(10).alias("requested_amount"),
+    )
+    parts = partials.partial_rows(clean, "applications_by_region_status")
+    assert dict(parts.dtypes)["bits"] == "bigint" and parts.count() == 8
+    merged = partials.merged_rows(parts.unionAll(parts), "applications_by_region_status")
+    for found, times in ((parts, 1), (merged, 2)):
+        assert rows(partials.mart_of(found, "applications_by_region_status")) == [(None, "approved", times, 0, 10.0), ("R1", "approved", 10 * times, 7, 10.0)]
+    assert "SortAggregate" not in physical(partials.mart_of(merged, "applications_by_region_status"))
