@@ -15,6 +15,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -438,3 +439,14 @@ def test_features_of_a_whole_block():
     assert "w:comments" not in html_text.features(html_text.Block(long + "comments", frozenset()))
     assert "w:cookies" in html_text.features(html_text.Block("word " * 60 + "cookies", frozenset()))
     assert "w:comments" in html_text.features(html_text.Block((long + "comments ") + "comments and comments " * 3, frozenset()))
+
+
+def test_url_model_is_as_wide_as_its_labelled_table(spark):
+    """Buckets that do not vary get no weight; leaving them out changes no score."""
+    labelled = urls.labelled_urls(spark).filter("path = '/es/7'")
+    rows = urls.with_features(labelled, (3, 4), 1 << 18)
+    model = urls.train(labelled, (3, 4), 1 << 18)
+    assert model.stages[-1].numFeatures < 1 << 14
+    whole = LogisticRegression(labelCol="blocked", regParam=0.01, maxIter=50).fit(rows)
+    scores = [[vector[1] for (vector,) in m.transform(rows).orderBy("host").select("probability").collect()] for m in (model, whole)]
+    assert max(abs(a - b) for a, b in zip(*scores, strict=True)) < 1e-9
