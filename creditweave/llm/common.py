@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import tempfile
 import zipfile
@@ -9,6 +11,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,6 +84,15 @@ def written(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def free_memory() -> None:
+    """Gives back to the system what a task has used, at its end: the Python worker lives on and serves later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def pieces(text: str) -> Iterator[str]:
     """A text in pieces of about a million characters, cut only between two words and one blank."""
     start = 0

@@ -15,10 +15,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditweave.llm.common import Memo, written
+from creditweave.llm.common import Memo, free_memory, written
 from creditweave.llm.graph import components
 from creditweave.llm.shingles import batch_words, mix, shingle_set
 
@@ -79,6 +79,7 @@ def frequent_tokens(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]
         tokens, counts = _merged(tokens, counts, pending)
         keep = counts >= max(2, seen * FREQUENT)
         yield pa.RecordBatch.from_arrays([pa.array(tokens[keep].view(np.int64)), pa.array(counts[keep]), pa.array(np.full(keep.sum(), seen))], ["token", "n", "seen"])
+        free_memory()
 
     found = docs.select("text").mapInArrow(run, "token long, n long, seen long").groupBy("token").agg(F.sum("n").alias("n"))
     rows = found.filter(F.col("n") >= FREQUENT / 5 * docs.count()).toPandas()
@@ -134,6 +135,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                 prefix.append([] if known else _prefix(tokens, frequent, counts).view(np.int64))
             arrays = [pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], ["doc_id", "key", "n", "node", "prefix"])
+        free_memory()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), doc_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
     return rows.mapInArrow(run, "doc_id long, key long, n long, node long, prefix array<long>")
@@ -299,6 +301,7 @@ def _tokens(texts: DataFrame, size: int) -> DataFrame:
             home = [int(mix(s, 9).min().view(np.int64)) for s in sets]
             arrays = [pa.array(map(_node, sets), pa.int64()), pa.array(home, pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, ["node", "home", "n", "tokens"])
+        free_memory()
 
     return texts.select("text").mapInArrow(run, "node long, home long, n long, tokens binary")
 
@@ -310,22 +313,29 @@ def _least_meetings(n: Column) -> Column:
 def _across(meeting: DataFrame, groups: DataFrame, homes: DataFrame, first: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between groups whose members are not connected yet, where enough of their prefix tokens meet.
 
-    Of two components the smaller one's nodes ask the groups of the other, for every token they share.
+    Of two components the smaller one's nodes ask the groups of the other. They meet in the tokens that few
+    hold; tokens that the same groups hold, as those of a passage, count as one.
     """
     spark = meeting.sparkSession
     sizes = first.groupBy("label").agg(F.count("*").alias("members"))
-    ranked = first.join(sizes, "label").select("node", F.struct("members", "label").alias("rank"))
+    needs = sets.groupBy("node").agg(_least_meetings(F.ceil(F.min("n") * 8 / 10)).alias("needs"))
+    ranked = first.join(sizes, "label").join(needs, "node").select("node", "needs", F.struct("members", "label").alias("rank"))
     placed = written(spark, meeting.join(homes.select("node", "group").distinct(), "node").join(ranked, "node"), "placed-tokens")
-    split = placed.groupBy("token").agg(F.min("rank").alias("smallest"), F.max("rank").alias("largest"))
-    split = written(spark, split.filter("smallest < largest").select("token", "largest"), "split-tokens")
-    apart = written(spark, placed.join(split, "token"), "apart")
-    asking = apart.filter(F.col("rank") < F.col("largest")).select("token", "node", F.col("group").alias("home"), F.col("rank").alias("own"))
-    there = written(spark, apart.select("token", "group", "rank").distinct(), "token-matrix")
-    met = asking.join(there, "token").filter((F.col("own") < F.col("rank")) & (F.col("home") != F.col("group")))
-    met = met.groupBy("node", "group").agg(F.count("*").alias("tokens_met"))
-    least = groups.select("group", F.array_min("lengths").alias("least"))
-    asked = met.join(sets.select("node", "n"), "node").join(least, "group")
-    asked = asked.filter(F.col("tokens_met") >= _least_meetings(F.least("n", "least"))).select("node", "group")
+    split = placed.groupBy("token").agg(F.min("rank").alias("smallest"), F.max("rank").alias("largest"), F.count("*").alias("holders"))
+    apart = placed.join(split.filter("smallest < largest").select("token", "holders"), "token")
+
+    # A partner shares as many of these tokens as a node needs, so the least held of those is not among its last ones.
+    last = Window.partitionBy("node", "group").orderBy(F.desc("holders"), F.desc("token"))
+    kept = apart.withColumn("place", F.row_number().over(last)).filter("place >= needs").select("token", "node", "group", "rank")
+    kept = written(spark, kept, "kept-tokens")
+    # Tokens of the same groups are one, as most of a passage are; a clash of names only asks more.
+    names = kept.groupBy("token").agg(F.min("rank").alias("smallest"), F.max("rank").alias("largest"), F.xxhash64(F.sum(F.xxhash64("group").cast("decimal(38,0)"))).alias("name"))
+    named = kept.join(names.filter("smallest < largest").select("token", "name", "largest"), "token")
+    matrix = written(spark, named.groupBy("name", "node", "group", "rank").agg(F.max("largest").alias("largest")), "token-matrix")
+    asking = matrix.filter(F.col("rank") < F.col("largest")).select("name", "node", F.col("group").alias("home"), F.col("rank").alias("own"))
+    there = matrix.select("name", "group", "rank").distinct()
+    met = asking.join(there, "name").filter((F.col("own") < F.col("rank")) & (F.col("home") != F.col("group")))
+    asked = met.select("node", "group").distinct()
     # Few pairs are left when the tokens join them.
     asked = written(spark, asked, "asked").join(sets.select("node", F.col("tokens").alias("asking")), "node")
     return _opened(asked.join(groups, "group"))
