@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from creditweave.llm.common import CHUNKS, Memo, pieces
+from creditweave.llm.common import CHUNKS, Memo, free_memory, pieces
 from creditweave.llm.suffix_automaton import SuffixAutomaton
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -319,9 +319,10 @@ def encode_ids(docs: DataFrame, path: str) -> DataFrame:
     def run(batches):
         coder = bpe(path)
         for batch in batches:
-            ids = list(coder.encode_all(t.as_py() or "" for t in batch.column("text")))
+            ids = [np.array(i, np.int32) for i in coder.encode_all(t.as_py() or "" for t in batch.column("text"))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], [*batch.schema.names, "token_ids"])
         coder.release()
+        free_memory()
 
     kept = docs.drop("token_ids")
     return kept.mapInArrow(run, StructType([*kept.schema.fields, StructField("token_ids", ArrayType(IntegerType()))]))

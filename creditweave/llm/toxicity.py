@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from creditweave.llm.common import Memo, pieces, remainder, written
+from creditweave.llm.common import Memo, free_memory, pieces, remainder, written
 
 #: Letters that a sign is used for.
 LOOKALIKES = {
@@ -333,6 +333,8 @@ def score(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> Data
         for batch in batches:
             scores = [model.score(restorer.words(t.as_py() or "")) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "score"])
+        del restorer
+        free_memory()
 
     schema = StructType([*kept.schema.fields, StructField("score", DoubleType())])
     return kept.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))

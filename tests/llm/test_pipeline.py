@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
+from creditweave.llm.common import free_memory
 from creditweave.llm.queries import ORACLES, QUERIES
 from tests.compare import assert_same
 
@@ -88,3 +89,22 @@ def test_oracle(spark, sf_dir, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_query_runs(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
+
+
+def test_workers_give_back_what_a_task_used(spark):
+    """Large tables of a finished task are not held by the Python worker that goes on to other stages."""
+
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    def run(batches):
+        yield from batches
+        held = [[str(k + j) for k in range(20_000)] for j in range(50)]  # small objects, as memos hold them
+        held.append(held)  # a cycle, as between an object and a memo of its method
+        most = resident()
+        del held
+        free_memory()
+        assert resident() < most - 20_000_000, (most, resident())
+
+    assert spark.range(4, numPartitions=1).mapInArrow(run, "id long").count() == 4
