@@ -4,9 +4,9 @@ Equal shingle sets are one node, named by a 64-bit hash of the set. A global tok
 every set a prefix of which any partner's prefix holds a tenth of the set, so nodes whose prefixes meet
 others in fewer tokens are done.
 The others are partitioned into small groups of similar sets; each group stores its members' tokens and
-their union. Links inside a group are counted from its token matrix. A node meets another group only
-where enough prefix tokens meet and the two are not connected yet: the overlap of its tokens with the
-group's union bounds every overlap inside, and only groups that the bound lets qualify are opened.
+their union. Links inside a group are counted from its token matrix. Two groups meet only where enough
+prefix tokens of their members meet and they are not connected yet: the overlap of a member's tokens with
+the other group's union bounds every overlap inside, and only groups that the bound lets qualify are opened.
 """
 
 from __future__ import annotations
@@ -256,35 +256,49 @@ def _table(rows: list[dict]) -> pa.RecordBatch:
 
 
 def _opened(asked: DataFrame) -> DataFrame:
-    """Links ``a, b`` of asking nodes to the groups that the union bound lets qualify.
+    """Links ``a, b`` between the members of two groups, where the union bound lets an asking member qualify.
 
-    Members of a group that links join already are one to the asking node: one link is given for them.
+    Members that links of their group join already are one: one link is given between two such sets of members.
     """
 
     def run(batches):
         for batch in batches:
             a, b = [], []
-            for row in zip(*(batch.column(c) for c in ("node", "asking", "nodes", "roots", "lengths", "tokens", "union")), strict=True):
-                node, asking, nodes, roots, lengths, tokens, union = row
-                q, u, all_tokens = (np.frombuffer(x.as_buffer(), np.uint64) for x in (asking, union, tokens))
-                if _common(q, u if len(u) else all_tokens) < _needed(len(q)):
+            for row in zip(*(batch.column(c) for c in ("from_roots", "from_lengths", "from_tokens", "roots", "lengths", "tokens", "union")), strict=True):
+                from_roots, roots = (np.array(row[k].as_py(), np.int64) for k in (0, 3))
+                every, there, union = _members(row[2], row[1]), _members(row[5], row[4]), _numbers(row[6])
+                bound = union if len(union) else there[0]
+                open_ = [k for k, q in enumerate(every) if _common(q, bound) >= _needed(len(q))]
+                if not open_:
                     continue
-                at, linked = 0, set()
-                for member, root, n in zip(nodes.as_py(), roots.as_py(), lengths.as_py(), strict=True):
-                    if root in linked:
-                        at += n
-                        continue
-                    common = _common(q, all_tokens[at : at + n])
-                    at += n
-                    if 100 * common >= 80 * (len(q) + n - common):
-                        a.append(node.as_py())
-                        b.append(member)
-                        linked.add(root)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                at, to = np.nonzero(_links([every[k] for k in open_], there))
+                found = np.unique(np.column_stack([from_roots[open_][at], roots[to]]), axis=0)
+                a.append(found[:, 0])
+                b.append(found[:, 1])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *x])) for x in (a, b)], ["a", "b"])
+        free_memory()
 
     return asked.mapInArrow(run, "a long, b long")
 
 
+def _numbers(value: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), np.uint64)
+
+
+def _members(tokens: pa.Scalar, lengths: pa.Scalar) -> list[np.ndarray]:
+    return np.split(_numbers(tokens), np.cumsum(lengths.as_py())[:-1])
+
+
+def _links(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Whether each set on the left links with each one on the right."""
+    if len(left) == 1:
+        common = np.array([[_common(left[0], r) for r in right]])
+    else:
+        common = _overlaps(left + right)[: len(left), len(left) :]
+    total = np.array([len(s) for s in left])[:, None] + np.array([len(s) for s in right])[None, :]
+    return 100 * common >= 80 * (total - common)
+
+
 def _common(a: np.ndarray, b: np.ndarray) -> int:
     if not len(a) or not len(b):
         return 0
@@ -313,32 +327,37 @@ def _least_meetings(n: Column) -> Column:
 def _across(meeting: DataFrame, groups: DataFrame, homes: DataFrame, first: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between groups whose members are not connected yet, where enough of their prefix tokens meet.
 
-    Of two components the smaller one's nodes ask the groups of the other. They meet in the tokens that few
-    hold; tokens that the same groups hold, as those of a passage, count as one.
+    Groups meet, not their members, in the tokens that few hold; tokens that the same groups hold, as those of
+    a passage, count as one. Of two groups the one with fewer tokens asks the other. So a large group of near
+    copies meets itself once for every two groups, however many members and tokens these have.
     """
     spark = meeting.sparkSession
-    sizes = first.groupBy("label").agg(F.count("*").alias("members"))
     needs = sets.groupBy("node").agg(_least_meetings(F.ceil(F.min("n") * 8 / 10)).alias("needs"))
-    ranked = first.join(sizes, "label").join(needs, "node").select("node", "needs", F.struct("members", "label").alias("rank"))
-    placed = written(spark, meeting.join(homes.select("node", "group").distinct(), "node").join(ranked, "node"), "placed-tokens")
-    split = placed.groupBy("token").agg(F.min("rank").alias("smallest"), F.max("rank").alias("largest"), F.count("*").alias("holders"))
-    apart = placed.join(split.filter("smallest < largest").select("token", "holders"), "token")
+    placed = written(spark, meeting.join(homes.select("node", "group").distinct(), "node").join(first, "node").join(needs, "node"), "placed-tokens")
+    token = Window.partitionBy("token")
+    split = placed.withColumns({"holders": F.count("*").over(token), "smallest": F.min("label").over(token), "largest": F.max("label").over(token)})
+    apart = split.filter("smallest < largest").select("token", "node", "group", "label", "needs", "holders")
 
     # A partner shares as many of these tokens as a node needs, so the least held of those is not among its last ones.
-    last = Window.partitionBy("node", "group").orderBy(F.desc("holders"), F.desc("token"))
-    kept = apart.withColumn("place", F.row_number().over(last)).filter("place >= needs").select("token", "node", "group", "rank")
-    kept = written(spark, kept, "kept-tokens")
+    # Dealt by group, the nodes of one are together, and what they keep is summed up where it is.
+    last = Window.partitionBy("group", "node").orderBy(F.desc("holders"), F.desc("token"))
+    kept = apart.repartition("group").withColumn("place", F.row_number().over(last)).filter("place >= needs")
+    kept = written(spark, kept.groupBy("token", "group").agg(F.min("label").alias("low"), F.max("label").alias("high")), "kept-tokens")
     # Tokens of the same groups are one, as most of a passage are; a clash of names only asks more.
-    names = kept.groupBy("token").agg(F.min("rank").alias("smallest"), F.max("rank").alias("largest"), F.xxhash64(F.sum(F.xxhash64("group").cast("decimal(38,0)"))).alias("name"))
-    named = kept.join(names.filter("smallest < largest").select("token", "name", "largest"), "token")
-    matrix = written(spark, named.groupBy("name", "node", "group", "rank").agg(F.max("largest").alias("largest")), "token-matrix")
-    asking = matrix.filter(F.col("rank") < F.col("largest")).select("name", "node", F.col("group").alias("home"), F.col("rank").alias("own"))
-    there = matrix.select("name", "group", "rank").distinct()
-    met = asking.join(there, "name").filter((F.col("own") < F.col("rank")) & (F.col("home") != F.col("group")))
-    asked = met.select("node", "group").distinct()
+    names = {"name": F.xxhash64(F.sum(F.xxhash64("group").cast("decimal(38,0)")).over(token)), "smallest": F.min("low").over(token), "largest": F.max("high").over(token), "holders": F.count("*").over(token)}
+    named = kept.withColumns(names).filter("smallest < largest and holders > 1")
+    matrix = named.groupBy("name", "group").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    size = groups.select("group", F.array_min("lengths").alias("least"), F.array_max("lengths").alias("most"), F.struct(F.length("tokens").alias("bytes"), "group").alias("rank"))
+    matrix = written(spark, matrix.join(size, "group"), "token-matrix")
+    x, y = matrix.alias("x"), matrix.alias("y")
+    # Two groups that are one component have nothing to ask, and sets that link are of similar size.
+    apart = (F.col("x.low") != F.col("y.high")) | (F.col("x.high") != F.col("y.low"))
+    alike = (100 * F.col("x.most") >= 80 * F.col("y.least")) & (100 * F.col("y.most") >= 80 * F.col("x.least"))
+    met = x.join(y, (F.col("x.name") == F.col("y.name")) & (F.col("x.rank") < F.col("y.rank")) & apart & alike)
+    asked = written(spark, met.select(F.col("x.group").alias("from"), F.col("y.group").alias("group")).distinct(), "asked")
     # Few pairs are left when the tokens join them.
-    asked = written(spark, asked, "asked").join(sets.select("node", F.col("tokens").alias("asking")), "node")
-    return _opened(asked.join(groups, "group"))
+    asking = groups.select(F.col("group").alias("from"), *(F.col(c).alias(f"from_{c}") for c in ("roots", "lengths", "tokens")))
+    return _opened(asked.join(asking, "from").join(groups, "group"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:

@@ -79,6 +79,26 @@ def test_a_passage_of_many_documents_is_met_few_times(spark, monkeypatch):
     assert 0 < tables["token-matrix"].count() < tables["placed-tokens"].count() / 3
 
 
+def test_large_groups_ask_each_other_once(spark, monkeypatch):
+    """Many texts that are alike but mostly not linked: a row for two groups, not for every member and token of them."""
+    rng = random.Random(9)
+    passage = [f"p{k}" for k in range(100)]
+    rows = [(k, " ".join([*passage, *(f"own{k}x{j}" for j in range(20))])) for k in range(64)]
+    for k in range(16):
+        words = rows[k][1].split()
+        words[rng.randrange(100)] = f"n{k}"
+        rows.append((1000 + k, " ".join(words)))
+    tables, real = {}, jaccard.written
+    monkeypatch.setattr(jaccard, "FREQUENT", 2.0)  # nothing is frequent, as in a small part of a large input
+    monkeypatch.setattr(jaccard, "GROUP", 8)
+    monkeypatch.setattr(jaccard, "written", lambda spark, frame, label: tables.setdefault(label, real(spark, frame, label)))
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_components({i: shingles(t) for i, t in rows}) and got[1003] == 3
+    groups, matrix = tables["token-groups"].count(), tables["token-matrix"]
+    assert 0 < tables["asked"].count() <= groups * (groups - 1) / 2
+    assert 0 < matrix.count() == matrix.select("name", "group").distinct().count()
+
+
 def test_ids_shared_by_texts_are_one_document(spark):
     rows = [(1, "a b c d e f"), (1, "p q r s t u"), (2, "a b c d e f"), (3, "p q r s t u"), (4, "z z z z z z")]
     got = {(r.doc_id, r.component_id) for r in jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
