@@ -4,16 +4,19 @@ Within a block, the two ids before predict one id and the id before predicts ano
 run of successes; the longer run names the predicted id. Logistic mixing of adaptive probabilities tells
 how likely it is to come. If it does not, the id is coded by an adaptive order-0 distribution over
 magnitudes of ids and its remaining bits. Blocks know nothing of each other, so any task can read any block. Many blocks are
-coded in step, one id of each at a time, which is what makes numpy fast enough; all arithmetic is on
-integers, so every machine decodes what another one wrote.
+coded in step, one id of each at a time, which is what makes numpy fast enough: an id is one step of the
+range coder, and blocks are short so that many go along. All arithmetic is on integers, so every machine
+decodes what another one wrote.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,237 +25,266 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
-from creditweave.llm.common import CHUNKS, pieces
+from creditweave.llm.common import CHUNKS, UNICODE_SPACE, pieces
 from creditweave.session import scratch_dir
 
 #: Ids in a block, and blocks coded in step.
-BLOCK, LANES = 4096, 2048
-_SLOTS2, _SLOTS1 = 11, 10
+BLOCK, LANES = 1024, 8192
+_SLOTS2, _SLOTS1 = 10, 9
 _CLASSES = 16
-_U32 = np.uint32
+_U64 = np.uint64
 
 
 def _stretch_tables() -> tuple[np.ndarray, np.ndarray]:
     """Integer logit of a 12-bit probability, and its inverse over -2047 to 2047 (rounded once, so exact everywhere)."""
     p = (np.arange(4096) + 0.5) / 4096
-    stretch = np.clip(np.rint(np.log(p / (1 - p)) * 256), -2047, 2047).astype(np.int32)
-    squash = np.clip(np.rint(4096 / (1 + np.exp(-np.arange(-2048, 2048) / 256))), 1, 4095).astype(np.int32)
+    stretch = np.clip(np.rint(np.log(p / (1 - p)) * 256), -2047, 2047).astype(np.int64)
+    squash = np.clip(np.rint(4096 / (1 + np.exp(-np.arange(-2048, 2048) / 256))), 1, 4095).astype(np.int64)
     return stretch, squash
 
 
 _STRETCH, _SQUASH = _stretch_tables()
 
 
-def _magnitude(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class of an id (its bit length, small ids together), its remaining bits and how many they are."""
+def _magnitude(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Class of an id (its bit length, small ids together; class + 2 bits remain) and its remaining bits."""
     x = ids + 4
-    shift = np.frexp(x.astype(np.float32))[1] - 3
-    return shift, x - (4 << shift), shift + 2
+    classes = np.frexp(x.astype(np.float32))[1] - 3
+    return classes, x - (4 << classes)
 
 
-#: What one more id of a class adds to the cumulative counts of all classes.
-_STEPS = (np.arange(_CLASSES + 1)[None, :] > np.arange(_CLASSES)[:, None]) * np.int32(24)
+#: Cumulative probabilities of the classes are of 15 bits; each class keeps this many parts, so any id can come.
+_KEPT = 16
+_FLOOR = (np.arange(_CLASSES + 1, dtype=np.int16) * _KEPT)[:, None]
+_FIRST = np.minimum(np.arange(_CLASSES + 1) * 2048, 32767).astype(np.int16)[:, None]
 
 
 class _Model:
     """Predictions and probabilities of many blocks at once; the same steps run on both sides of the coder."""
 
     def __init__(self, lanes: int):
-        self.n = lanes
-        lane = np.arange(lanes)
-        self.base2, self.base1, self.base = lane << _SLOTS2, lane << _SLOTS1, lane << 4
-        # A slot holds an id and its run of successes (0 to 7).
+        self.lane = np.arange(lanes)
+        self.base2, self.base1, self.base = self.lane << _SLOTS2, self.lane << _SLOTS1, self.lane << 4
+        # A slot holds an id and twice its run of successes (0 to 7), in 28 and 4 bits.
         self.table2, self.table1 = np.zeros(lanes << _SLOTS2, np.int32), np.zeros(lanes << _SLOTS1, np.int32)
-        self.by_run2, self.by_run1 = np.full(lanes << 4, 1 << 15, np.int32), np.full(lanes << 4, 1 << 15, np.int32)
-        self.weight2, self.weight1 = np.full(lanes, 40_000, np.int32), np.full(lanes, 25_000, np.int32)
-        self.total = np.arange(0, (_CLASSES + 1) * 32, 32, dtype=np.int32)[None, :].repeat(lanes, 0)
-        self.last, self.before = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
+        self.by_run2, self.by_run1 = np.full(lanes << 4, 1 << 15, np.int64), np.full(lanes << 4, 1 << 15, np.int64)
+        self.weight2, self.weight1 = np.full(lanes, 40_000), np.full(lanes, 25_000)
+        self.total = np.repeat(_FIRST, lanes, 1)
+        self.last, self.before, self.step = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64), 0
+
+    def keep(self, lanes: int) -> None:
+        """Goes on with the first blocks only; the others are at their end."""
+        for name in ("lane", "base2", "base1", "base", "weight2", "weight1", "last", "before"):
+            setattr(self, name, getattr(self, name)[:lanes])
+        self.total = np.ascontiguousarray(self.total[:, :lanes])
 
     def predict(self) -> tuple[np.ndarray, np.ndarray]:
         """The predicted ids, and the 12-bit probabilities that they come."""
         mixed = self.last * 0x2F0B4C47
-        self.slot1 = self.base1 + ((mixed >> 15) & ((1 << _SLOTS1) - 1))
-        self.slot2 = self.base2 + (((mixed + self.before * 0x1B873593) >> 13) & ((1 << _SLOTS2) - 1))
-        self.entry2, self.entry1 = self.table2[self.slot2], self.table1[self.slot1]
-        run2, run1 = self.entry2 & 7, self.entry1 & 7
-        self.id = np.where(run2 + 1 >= run1, self.entry2, self.entry1) >> 3
-        agree = (self.entry2 ^ self.entry1) < 8
-        self.cell2 = self.base + (run2 << 1) + agree
-        self.cell1 = self.base + (run1 << 1) + agree
-        self.old2, self.old1 = self.by_run2[self.cell2], self.by_run1[self.cell1]
-        self.logit2, self.logit1 = _STRETCH[self.old2 >> 4], _STRETCH[self.old1 >> 4]
+        self.slot1 = ((mixed >> 15) & ((1 << _SLOTS1) - 1)) + self.base1
+        mixed += self.before * 0x1B873593
+        self.slot2 = ((mixed >> 13) & ((1 << _SLOTS2) - 1)) + self.base2
+        self.entry2, self.entry1 = self.table2.take(self.slot2), self.table1.take(self.slot1)
+        run2, run1 = self.entry2 & 14, self.entry1 & 14
+        self.id = np.where(run2 + 2 >= run1, self.entry2, self.entry1) >> 4
+        cell = self.base + ((self.entry2 ^ self.entry1) < 16)
+        self.cell2, self.cell1 = cell + run2, cell + run1
+        self.old2, self.old1 = self.by_run2.take(self.cell2), self.by_run1.take(self.cell1)
+        self.logit2, self.logit1 = _STRETCH.take(self.old2 >> 4), _STRETCH.take(self.old1 >> 4)
         mixed = (self.weight2 * self.logit2 + self.weight1 * self.logit1) >> 16
-        self.p = _SQUASH[np.minimum(np.maximum(mixed, -2047), 2047) + 2048]
+        mixed += 2048
+        self.p = _SQUASH.take(mixed, mode="clip")
         return self.id, self.p
 
-    def learn(self, ids: np.ndarray) -> None:
-        """Takes in the ids that really came."""
-        hit = (ids == self.id).astype(np.int32)
-        error = (hit << 12) - self.p
+    def share(self, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in 12 bits the classes begin, and their widths."""
+        index = classes * len(self.lane) + self.lane
+        total = self.total.reshape(-1)
+        begin = total.take(index) >> 3
+        index += len(self.lane)
+        width = (total.take(index) >> 3) - begin
+        return begin.astype(_U64), width.astype(_U64)
+
+    def find(self, values: np.ndarray) -> np.ndarray:
+        """The classes in which values of 12 bits lie."""
+        return (self.total[1:_CLASSES] <= (values << 3 | 7).astype(np.int16)).view(np.int8).sum(axis=0, dtype=np.int8)
+
+    def learn(self, ids: np.ndarray, hit: np.ndarray, classes: np.ndarray) -> None:
+        """Takes in the ids that really came, whether they were predicted, and their classes (16 bits)."""
+        # A class learns from ids that were not predicted, fast at first.
+        rate = 4 if self.step < 48 else 5 if self.step < 192 else 6
+        inner = self.total[1:_CLASSES]
+        move = classes - np.arange(1, _CLASSES, dtype=np.int16)[:, None]
+        move >>= 15
+        move &= 32767 - _KEPT * _CLASSES
+        move += _FLOOR[1:_CLASSES]
+        move -= inner
+        move >>= rate
+        move &= hit.astype(np.int16) - np.int16(1)
+        inner += move
+        target = hit.astype(np.int64) << 12
+        error = target - self.p
         for weight, logit in ((self.weight2, self.logit2), (self.weight1, self.logit1)):
-            weight += (logit * error + 8192) >> 14
-            np.minimum(np.maximum(weight, -400_000, out=weight), 400_000, out=weight)
-        target = hit * 65535
-        self.by_run2[self.cell2] = self.old2 + ((target - self.old2) >> 5)
-        self.by_run1[self.cell1] = self.old1 + ((target - self.old1) >> 5)
-        kept = ids << 3
+            logit *= error
+            logit += 8192
+            logit >>= 14
+            weight += logit
+            if not self.step & 15:
+                np.minimum(np.maximum(weight, -400_000, out=weight), 400_000, out=weight)
+        target <<= 4
+        for cells, cell, old in ((self.by_run2, self.cell2, self.old2), (self.by_run1, self.cell1, self.old1)):
+            new = target - old
+            new >>= 5
+            new += old
+            cells[cell] = new
+        kept = ids << 4
+        top = kept + 14
         for table, slot, entry in ((self.table2, self.slot2, self.entry2), (self.table1, self.slot1, self.entry1)):
-            table[slot] = np.where((kept ^ entry) < 8, np.minimum(entry + 1, kept + 7), kept)
-        self.before, self.last = self.last, ids
-
-    def learn_class(self, rows: np.ndarray, classes: np.ndarray) -> None:
-        table = self.total[rows]
-        table += _STEPS[classes]
-        # Halved when full; every class keeps a share, so any id can come.
-        full = np.flatnonzero(table[:, -1] > 4096 - 24)
-        if len(full):
-            width = (np.diff(table[full], axis=1) >> 1) | 1
-            table[full, 1:] = np.cumsum(width, axis=1)
-        self.total[rows] = table
-
-
-class _Out:
-    """Range encoders of many blocks: carry-free, 32 bits, a byte at a time."""
-
-    def __init__(self, lanes: int, room: int):
-        self.low, self.range = np.zeros(lanes, _U32), np.full(lanes, 0xFFFFFFFF, _U32)
-        self.bytes, self.size = np.zeros((lanes, room), np.uint8), np.zeros(lanes, np.int64)
-
-    def put(self, rows, start: np.ndarray, width: np.ndarray, bits) -> None:
-        low, span = self.low[rows], self.range[rows] >> bits
-        low = low + start.astype(_U32) * span
-        span = span * width.astype(_U32)
-        open_ = np.arange(len(low))
-        while True:
-            lo, sp = low[open_], span[open_]
-            same = (lo ^ (lo + sp)) < _U32(1 << 24)
-            tight = ~same & (sp < _U32(1 << 16))
-            move = np.flatnonzero(same | tight)
-            if not len(move):
-                break
-            open_ = open_[move]
-            lo, sp = lo[move], np.where(tight[move], (~lo[move] + _U32(1)) & _U32(0xFFFF), sp[move])
-            lane = open_ if isinstance(rows, slice) else rows[open_]
-            self.bytes[lane, self.size[lane]] = lo >> _U32(24)
-            self.size[lane] += 1
-            low[open_], span[open_] = lo << _U32(8), sp << _U32(8)
-        self.low[rows], self.range[rows] = low, span
-
-    def finish(self) -> list[bytes]:
-        for shift in (24, 16, 8, 0):
-            self.bytes[np.arange(len(self.low)), self.size] = (self.low >> _U32(shift)) & _U32(255)
-            self.size += 1
-        return [self.bytes[k, :n].tobytes() for k, n in enumerate(self.size)]
-
-
-class _In:
-    """Range decoders of many blocks."""
-
-    def __init__(self, payloads: list[bytes]):
-        room = max(map(len, payloads)) + 8
-        self.bytes = np.zeros((len(payloads), room), np.uint8)
-        for k, payload in enumerate(payloads):
-            self.bytes[k, : len(payload)] = np.frombuffer(payload, np.uint8)
-        self.low, self.range = np.zeros(len(payloads), _U32), np.full(len(payloads), 0xFFFFFFFF, _U32)
-        first = self.bytes[:, :4].astype(_U32)
-        self.code = (first[:, 0] << _U32(24)) | (first[:, 1] << _U32(16)) | (first[:, 2] << _U32(8)) | first[:, 3]
-        self.at = np.full(len(payloads), 4, np.int64)
-
-    def peek(self, rows, bits) -> np.ndarray:
-        """Where in the 2 ** bits the coded value lies."""
-        self.span = self.range[rows] >> bits
-        value = (self.code[rows] - self.low[rows]) // self.span
-        return np.minimum(value, (_U32(1) << np.asarray(bits, _U32)) - _U32(1)).astype(np.int32)
-
-    def take(self, rows, start: np.ndarray, width: np.ndarray) -> None:
-        low = self.low[rows] + start.astype(_U32) * self.span
-        span = self.span * width.astype(_U32)
-        code = self.code[rows]
-        open_ = np.arange(len(low))
-        while True:
-            lo, sp = low[open_], span[open_]
-            same = (lo ^ (lo + sp)) < _U32(1 << 24)
-            tight = ~same & (sp < _U32(1 << 16))
-            move = np.flatnonzero(same | tight)
-            if not len(move):
-                break
-            open_ = open_[move]
-            lo, sp = lo[move], np.where(tight[move], (~lo[move] + _U32(1)) & _U32(0xFFFF), sp[move])
-            lane = open_ if isinstance(rows, slice) else rows[open_]
-            code[open_] = (code[open_] << _U32(8)) | self.bytes[lane, np.minimum(self.at[lane], self.bytes.shape[1] - 1)]
-            self.at[lane] += 1
-            low[open_], span[open_] = lo << _U32(8), sp << _U32(8)
-        self.low[rows], self.range[rows], self.code[rows] = low, span, code
-
-
-_ALL = slice(None)
-_BITS12 = _U32(12)
+            same = (kept ^ entry) < 16
+            entry += 2
+            table[slot] = np.where(same, np.minimum(entry, top, out=entry), kept)
+        self.before, self.last = self.last, ids.astype(np.int64)
+        self.step += 1
+
+
+# An id takes one step of a range coder of 64 bits: 41 bits name it (12 whether it was predicted, 12 its class, up to
+# 17 what remains). The range is kept at 48 bits or more by shifts of 16.
+
+
+def _words(span: np.ndarray) -> np.ndarray:
+    """How many words of 16 bits bring ranges back to 48 bits."""
+    n = (span < _U64(1 << 48)).astype(np.int8)
+    n += span < _U64(1 << 32)
+    n += span < _U64(1 << 16)
+    return n
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     """Payloads of blocks of ids (all below 2 ** 17); shorter blocks ride along and stop early."""
-    lengths = np.array([len(b) for b in blocks])
+    lanes, lengths = len(blocks), np.array([len(b) for b in blocks])
     order = np.argsort(-lengths, kind="stable")
-    ids = np.zeros((int(lengths.max(initial=0)), len(blocks)), np.int32)
+    ids = np.zeros((int(lengths.max(initial=0)), lanes), np.int32)
     for column, k in enumerate(order):
         ids[: lengths[k], column] = blocks[k]
-    model, out = _Model(len(blocks)), _Out(len(blocks), 5 * len(ids) + 16)
     active = np.searchsorted(-lengths[order], -np.arange(len(ids)), side="left")
+    model, now = _Model(lanes), lanes
+    # A word of 16 bits in 32, so that a carry can wait in it; the one before the first never gets any.
+    room = 3 * len(ids) + 8
+    out = np.zeros(lanes * room, np.uint32)
+    every_low, every_at = np.zeros(lanes, _U64), np.arange(lanes) * room + 1
+    low, at, wide = every_low, every_at, np.full(lanes, (1 << 64) - 1, _U64)
     for step in range(len(ids)):
-        real, now = ids[step], int(active[step])
+        turn = step & 63
+        if not turn:
+            classes, low_bits = _magnitude(ids[step : step + 64])
+            unit = _U64(1) << (15 - classes).astype(_U64)
+            low_bits = low_bits.astype(_U64) * unit
+            narrow, classes = classes.astype(np.int16), classes.astype(np.int64)
+        if active[step] != now:
+            now = int(active[step])
+            model.keep(now)
+            low, at, wide = low[:now], at[:now], wide[:now]
+        real = ids[step, :now]
         guess, p = model.predict()
-        rows = _ALL if now == len(blocks) else np.arange(now)
-        h, q = (real == guess)[:now], p[:now]
-        out.put(rows, np.where(h, 0, q), np.where(h, q, 4096 - q), _BITS12)
-        rest = np.flatnonzero(~h)
-        if len(rest):
-            classes, low, bits = _magnitude(real[rest])
-            table = model.total[rest]
-            each = np.arange(len(rest))
-            start, end = table[each, classes], table[each, classes + 1]
-            out.put(rest, start, end - start, _BITS12)
-            out.put(rest, low, np.ones(len(rest), np.int32), bits.astype(_U32))
-            model.learn_class(rest, classes)
-        model.learn(real)
-    payloads = out.finish()
-    back: list[bytes] = [b""] * len(blocks)
+        hit = real == guess
+        begin, share = model.share(classes[turn, :now])
+        q = p.view(_U64)
+        hits, rest = q << _U64(29), _U64(4096) - q
+        start = ((begin << _U64(17)) + share * low_bits[turn, :now]) * rest
+        start += hits
+        start[hit] = 0
+        share *= rest
+        share *= unit[turn, :now]
+        wide >>= _U64(41)
+        start *= wide
+        wide *= np.where(hit, hits, share)
+        low += start
+        over = np.flatnonzero(low < start)
+        out[at[over] - 1] += np.uint32(1)
+        n = _words(wide)
+        out[at] = low >> _U64(48)
+        more = np.flatnonzero(n > 1)
+        part, place = low[more], at[more]
+        out[place + 1] = (part >> _U64(32)) & _U64(0xFFFF)
+        out[place + 2] = (part >> _U64(16)) & _U64(0xFFFF)
+        at += n
+        shift = (n << 4).astype(_U64)
+        low <<= shift
+        wide <<= shift
+        model.learn(real, hit, narrow[turn, :now])
+    for shift in (48, 32, 16, 0):
+        out[every_at] = (every_low >> _U64(shift)) & _U64(0xFFFF)
+        every_at += 1
+    sizes = every_at - np.arange(lanes) * room
+    words = out.reshape(lanes, room)[:, : int(sizes.max(initial=0))]
+    carried = np.arange(lanes)
+    while len(carried):
+        part = words[carried]
+        carry = part >> 16
+        part &= 0xFFFF
+        part[:, :-1] += carry[:, 1:]
+        words[carried] = part
+        carried = carried[carry.any(axis=1)]
+    back: list[bytes] = [b""] * lanes
     for column, k in enumerate(order):
-        back[k] = payloads[column]
+        back[k] = words[column, 1 : sizes[column]].astype("<u2").tobytes()
     return back
 
 
 def decode_blocks(payloads: list[bytes], lengths: np.ndarray) -> list[np.ndarray]:
     """The ids of blocks, given how many each holds."""
     order = np.argsort(-lengths, kind="stable")
-    longest = int(lengths.max(initial=0))
+    longest, lanes = int(lengths.max(initial=0)), len(payloads)
     if not longest:
         return [np.zeros(0, np.int32) for _ in payloads]
-    model, source = _Model(len(payloads)), _In([payloads[k] for k in order])
-    ids = np.zeros((longest, len(payloads)), np.int32)
+    room = max(map(len, payloads)) // 2 + 4
+    words = np.zeros((lanes, room), np.uint16)
+    for column, k in enumerate(order):
+        words[column, : len(payloads[k]) // 2] = np.frombuffer(payloads[k], "<u2", len(payloads[k]) // 2)
+    words = words.reshape(-1)
+    # Three words from each place on.
+    ahead = np.zeros(len(words), _U64)
+    for k in range(3):
+        ahead[: len(words) - k] |= words[k:].astype(_U64) << _U64(32 - 16 * k)
+    at = np.arange(lanes) * room + 4
+    code = (ahead[at - 4] << _U64(16)) | words[at - 1]
+    wide = np.full(lanes, (1 << 64) - 1, _U64)
+    model, now = _Model(lanes), lanes
+    ids = np.zeros((longest, lanes), np.int32)
     active = np.searchsorted(-lengths[order], -np.arange(longest), side="left")
     for step in range(longest):
-        now = int(active[step])
+        if active[step] != now:
+            now = int(active[step])
+            model.keep(now)
+            code, at, wide = code[:now], at[:now], wide[:now]
         guess, p = model.predict()
-        rows = _ALL if now == len(payloads) else np.arange(now)
-        q = p[:now]
-        hit = source.peek(rows, _BITS12) < q
-        source.take(rows, np.where(hit, 0, q), np.where(hit, q, 4096 - q))
-        real = np.zeros(len(payloads), np.int32)
-        real[:now] = guess[:now]
-        rest = np.flatnonzero(~hit)
-        if len(rest):
-            value, table, each = source.peek(rest, _BITS12), model.total[rest], np.arange(len(rest))
-            classes = np.minimum((table <= value[:, None]).sum(axis=1) - 1, _CLASSES - 1)
-            start, end = table[each, classes], table[each, classes + 1]
-            source.take(rest, start, end - start)
-            low = source.peek(rest, (classes + 2).astype(_U32))
-            source.take(rest, low, np.ones(len(rest), np.int32))
-            real[rest] = (4 << classes) + low - 4
-            model.learn_class(rest, classes)
-        model.learn(real)
-        ids[step] = real
-    back: list[np.ndarray] = [np.zeros(0, np.int32)] * len(payloads)
+        q = p.view(_U64)
+        wide >>= _U64(41)
+        hits, rest = (q << _U64(29)) * wide, (_U64(4096) - q) * wide
+        hit = code < hits
+        over = code - hits
+        unit = rest << _U64(17)
+        narrow = model.find(np.minimum(over // unit, _U64(4094)))
+        classes = narrow.astype(np.int64)
+        begin, share = model.share(classes)
+        over -= unit * begin
+        rest *= share
+        rest <<= (15 - classes).view(_U64)
+        low_bits = over // rest
+        over -= low_bits * rest
+        code, wide = np.where(hit, code, over), np.where(hit, hits, rest)
+        n = _words(wide)
+        shift = (n << 4).astype(_U64)
+        wide <<= shift
+        code <<= shift
+        code |= ahead.take(at, mode="clip") >> (_U64(48) - shift)
+        at += n
+        real = np.where(hit, guess, ((4 << classes) - 4 + low_bits.view(np.int64)).astype(np.int32))
+        model.learn(real, hit, narrow.astype(np.int16))
+        ids[step, :now] = real
+    back: list[np.ndarray] = [np.zeros(0, np.int32)] * lanes
     for column, k in enumerate(order):
         back[k] = ids[: lengths[k], column].copy()
     return back
@@ -291,59 +323,131 @@ def joined_crc(parts: list[tuple[int, int]]) -> int:
     return crc
 
 
+#: Letters, each one of them so in every Unicode version, and signs that are no letters, digits, apostrophes or white space.
+_LETTERS, _SIGNS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0400-\u0481\u4e00-\u9fa5", "!#$%&*+,./:;=?@"
+#: What byte-level pre-tokenization leaves in one piece: such letters or signs that end before the other kind or white space.
+_PIECE = f" ?[{_LETTERS}]++(?=[{UNICODE_SPACE}{_SIGNS}]|\\Z)| ?[{_SIGNS}]++(?=[{UNICODE_SPACE}{_LETTERS}]|\\Z)"
+_FINE = re.compile(f"{_PIECE}|{CHUNKS.pattern}")
+_ONE_PIECE = re.compile(_PIECE)
+
+
+class _Numbers(dict):
+    """Numbers of chunks; a new chunk gets the next one and is put on a list."""
+
+    def __init__(self):
+        super().__init__({None: 0})
+        self.new: list[str] = []
+
+    def __missing__(self, chunk):
+        self[chunk] = number = len(self)
+        self.new.append(chunk)
+        return number
+
+
 class _Encoder:
-    """Ids of texts by the tokenizers library. Chunks that pre-tokenization keeps apart are encoded once and remembered."""
+    """Ids of texts by the tokenizers library. Chunks that pre-tokenization keeps apart are encoded once and remembered.
+
+    At most ``most`` chunks are known: whenever half as many are, those that did not come since the last time are forgotten.
+    """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core is all it has
         self.coder = Tokenizer.from_file(path)
         self.coder.no_truncation()
         self.coder.no_padding()
         self.special = [t.content for t in self.coder.get_added_tokens_decoder().values()]
         self.most = most
+        before = self.coder.pre_tokenizer
+        # One piece may go to the library's model as it is, each byte as its sign, without pre-tokenization.
+        self.plain = self.coder.normalizer is None and isinstance(before, ByteLevel) and before.use_regex and not before.add_prefix_space
+        printed = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        others = iter(range(256, 512))
+        self.signs = {b: chr(b if b in printed else next(others)) for b in range(256)}
+        self._clear()
+        self.older, self.older_ids, self.older_starts = self.known, self.ids, self.starts
         self._clear()
 
     def _clear(self) -> None:
-        self.codes: dict[str, int] = {}
+        self.known = _Numbers()
         self.ids, self.starts = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int64)
-        self.used = 0
-
-    def _learn(self, missing: list[str]) -> None:
-        found = [e.ids for e in self.coder.encode_batch_fast(missing, add_special_tokens=False)]
-        for text in missing:
-            self.codes[text] = len(self.codes)
+        self.starts[1] = self.used = 1
+
+    def _of_chunk(self, chunk: str) -> list[int]:
+        place = self.older.get(chunk)
+        if place is not None:
+            return self.older_ids[self.older_starts[place] : self.older_starts[place + 1]].tolist()
+        if self.plain and _ONE_PIECE.fullmatch(chunk):
+            return [t.id for t in self.coder.model.tokenize(chunk.encode().decode("latin-1").translate(self.signs))]
+        return self.coder.encode(chunk, add_special_tokens=False).ids
+
+    def _learn(self) -> None:
+        missing, self.known.new = self.known.new, []
+        found = [self._of_chunk(c) for c in missing]
         ends = self.used + np.cumsum([len(i) for i in found])
-        while len(self.starts) <= len(self.codes):
+        last = len(self.known)
+        while len(self.starts) <= last:
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
         while len(self.ids) < ends[-1]:
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.starts[len(self.codes) - len(missing) + 1 : len(self.codes) + 1] = ends
-        self.ids[self.used : ends[-1]] = [n for i in found for n in i]
+        self.starts[last - len(missing) + 1 : last + 1] = ends
+        self.ids[self.used : ends[-1]] = list(chain.from_iterable(found))
         self.used = int(ends[-1])
 
-    def _of_chunks(self, chunks: list[str]) -> np.ndarray:
-        if len(self.codes) > self.most:
+    def _of_chunks(self, chunks: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of chunks in one array, and how many each has; None stands for the end of a text."""
+        if len(self.known) > self.most // 2:
+            self.older, self.older_ids, self.older_starts = self.known, self.ids, self.starts
             self._clear()
-        if missing := [c for c in set(chunks) if c not in self.codes]:
-            self._learn(missing)
-        return np.fromiter(map(self.codes.__getitem__, chunks), np.int64, len(chunks))
+        try:
+            numbers = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
+            if self.known.new:
+                self._learn()
+        except BaseException:
+            self._clear()  # chunks that got no ids must not be met again
+            raise
+        self.ids[0] = end_id
+        start = self.starts[numbers]
+        size = self.starts[numbers + 1] - start
+        place = np.repeat(start - (np.cumsum(size) - size), size)
+        place += np.arange(len(place))
+        return self.ids[place], size
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, an end after each, in one array, and how many each has."""
-        parts, lengths = [], []
-        for text in texts:
-            before = len(parts)
+        parts: list[np.ndarray] = []
+        lengths = np.zeros(len(texts), np.int64)
+        chunks: list[str | None] = []
+        begins: list[int] = []  # where in the chunks a text or a piece of one begins, and which text it is
+        owners: list[int] = []
+
+        def flush():
+            if chunks:
+                ids, size = self._of_chunks(chunks, end_id)
+                parts.append(ids)
+                np.add.at(lengths, owners, np.add.reduceat(size, begins))
+                for used in (chunks, begins, owners):
+                    used.clear()
+
+        def put(k: int, found: list):
+            if found:
+                begins.append(len(chunks))
+                owners.append(k)
+                chunks.extend(found)
+            if len(chunks) > 1 << 16:
+                flush()
+
+        for k, text in enumerate(texts):
             # A special token's text splits its surroundings, so such a text is encoded as it is.
-            whole = any(s in text for s in self.special)
-            for piece in [text] if whole else pieces(text):
-                codes = self._of_chunks([piece] if whole else CHUNKS.findall(piece))
-                start, stop = self.starts[codes], self.starts[codes + 1]
-                size = stop - start
-                shift = np.repeat(start - np.concatenate([[0], np.cumsum(size)[:-1]]), size) if len(size) else np.zeros(0, np.int64)
-                parts.append(self.ids[shift + np.arange(len(shift))])
-            parts.append(np.array([end_id], np.int32))
-            lengths.append(sum(map(len, parts[before:])))
-        return np.concatenate(parts) if parts else np.zeros(0, np.int32), np.array(lengths, np.int64)
+            if any(s in text for s in self.special):
+                flush()
+                parts.append(np.array(self.coder.encode(text, add_special_tokens=False).ids, np.int32))
+                lengths[k] = len(parts[-1])
+            else:
+                for piece in pieces(text):
+                    put(k, _FINE.findall(piece))
+            put(k, [None])
+        flush()
+        return np.concatenate(parts) if parts else np.zeros(0, np.int32), lengths
 
 
 @lru_cache(maxsize=2)
@@ -357,6 +461,20 @@ _FILE_TYPES = pa.schema(
 )
 
 
+def _groups(texts: pa.Array) -> Iterator[list[str]]:
+    """Texts (null: empty) in their order, in groups of about a million characters."""
+    group: list[str] = []
+    room = 1 << 20
+    for text in texts:
+        group.append(text.as_py() or "")
+        room -= len(group[-1])
+        if room < 0 or len(group) >= 512:
+            yield group
+            group, room = [], 1 << 20
+    if group:
+        yield group
+
+
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) -> None:
     """Writes the ids of all documents, each with ``end_id`` after it, in ascending order of ``doc_id``.
 
@@ -368,47 +486,66 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) -> No
 
     def run(batches):
         part = TaskContext.get().partitionId()
-        held: list[tuple[int, np.ndarray]] = []
-        rows: list[dict] = []
-        seq = at = number = count = 0
+        held: list[np.ndarray] = []  # ids not yet written, and of which documents
+        owners: list[int] = []
+        sizes: list[int] = []
+        seq = at = number = done = count = 0
+
+        def packed(kind: str, count: int, **columns):
+            given = {"kind": pa.array([kind] * count), "part": pa.array([part] * count, pa.int32())} | columns
+            return pa.RecordBatch.from_arrays([given[f.name] if f.name in given else pa.nulls(count, f.type) for f in _FILE_TYPES], schema=_FILE_TYPES)
 
         def blocks(last: bool):
-            nonlocal seq, held, count
-            owner = np.repeat([n for n, _ in held], [len(i) for _, i in held])
-            ids = np.concatenate([i for _, i in held]) if held else np.zeros(0, np.int32)
+            nonlocal seq, count
+            ids = np.concatenate(held) if held else np.zeros(0, np.int32)
+            held.clear()
             stop = len(ids) if last else len(ids) // BLOCK * BLOCK
-            cuts = range(0, stop, BLOCK)
-            parts = [ids[b : min(b + BLOCK, stop)] for b in cuts]
-            for first in range(0, len(parts), LANES):
-                for k, payload in enumerate(encode_blocks(parts[first : first + LANES])):
-                    own = parts[first + k]
-                    begin = (first + k) * BLOCK
-                    docs, sizes = np.unique(owner[begin : begin + len(own)], return_counts=True)
-                    crc = zlib.crc32(own.astype("<u4").tobytes())
-                    yield {"kind": "block", "part": part, "seq": seq, "n": len(own), "crc": crc, "docs": docs.tolist(), "sizes": sizes.tolist(), "payload": payload}
-                    seq += 1
-            rest_owner, rest = owner[stop:], ids[stop:]
-            turns = np.flatnonzero(np.concatenate([[True], rest_owner[1:] != rest_owner[:-1]])) if len(rest) else []
-            held = [(int(rest_owner[t]), r) for t, r in zip(turns, np.split(rest, turns[1:]) if len(rest) else [], strict=True)]
-            count = len(rest)
-
-        def packed():
-            out = pa.RecordBatch.from_pylist(rows, _FILE_TYPES)
-            rows.clear()
-            return out
+            ends, numbers = np.cumsum(sizes), np.array(owners, np.int64)
+            for first in range(0, stop, BLOCK * LANES):
+                cuts = np.arange(first, min(first + BLOCK * LANES, stop), BLOCK)
+                tops = np.minimum(cuts + BLOCK, stop)
+                parts = [ids[b:e] for b, e in zip(cuts.tolist(), tops.tolist(), strict=True)]
+                # Documents of a block: from the one its first id is of to the one its last id is of.
+                begin, end = np.searchsorted(ends, cuts, "right"), np.searchsorted(ends, tops, "left") + 1
+                offsets = np.concatenate([[0], np.cumsum(end - begin)])
+                inside = np.repeat(begin - offsets[:-1], end - begin) + np.arange(offsets[-1])
+                block = np.repeat(np.arange(len(cuts)), end - begin)
+                share = np.minimum(ends[inside], tops[block]) - np.maximum(ends[inside] - np.array(sizes)[inside], cuts[block])
+                yield packed(
+                    "block",
+                    len(cuts),
+                    seq=pa.array(np.arange(seq, seq + len(cuts))),
+                    n=pa.array(tops - cuts),
+                    crc=pa.array([zlib.crc32(p.astype("<u4", copy=False)) for p in parts], pa.int64()),
+                    docs=pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(numbers[inside])),
+                    sizes=pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(share)),
+                    payload=pa.array(encode_blocks(parts), pa.binary()),
+                )
+                seq += len(cuts)
+            count = len(ids) - stop
+            if count:
+                held.append(ids[stop:].copy())
+                rest = int(np.searchsorted(ends, stop, "right"))
+                owners[:], sizes[:] = owners[rest:], [int(ends[rest]) - stop, *sizes[rest + 1 :]]
+            else:
+                owners.clear()
+                sizes.clear()
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids, _ = _encoder(tokenizer).encode([text.as_py() or ""], end_id)
-                rows.append({"kind": "doc", "part": part, "seq": number, "doc_id": doc_id, "at": at, "n": len(ids)})
-                held.append((number, ids))
-                number, at, count = number + 1, at + len(ids), count + len(ids)
+            for texts in _groups(batch.column(1)):
+                ids, lengths = _encoder(tokenizer).encode(texts, end_id)
+                begin = at + np.cumsum(lengths) - lengths
+                numbers = np.arange(number, number + len(texts))
+                first = number - done
+                yield packed("doc", len(texts), seq=pa.array(numbers), doc_id=batch.column(0).slice(first, len(texts)), at=pa.array(begin), n=pa.array(lengths))
+                held.append(ids)
+                owners += numbers.tolist()
+                sizes += lengths.tolist()
+                number, at, count = number + len(texts), at + len(ids), count + len(ids)
                 if count >= BLOCK * LANES:
-                    for row in blocks(False):
-                        rows.append(row)
-                    yield packed()
-        rows.extend(blocks(True))
-        yield packed()
+                    yield from blocks(False)
+            done = number
+        yield from blocks(True)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
     ordered = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
@@ -422,9 +559,9 @@ def _decoded(blocks: DataFrame) -> Iterator:
         for batch in batches:
             for first in range(0, batch.num_rows, LANES):
                 part = batch.slice(first, LANES)
-                lengths = part.column("n").to_numpy()
+                lengths, sums = part.column("n").to_numpy(), part.column("crc").to_pylist()
                 for k, ids in enumerate(decode_blocks(part.column("payload").to_pylist(), lengths)):
-                    if zlib.crc32(ids.astype("<u4").tobytes()) != part.column("crc")[k].as_py():
+                    if zlib.crc32(ids.astype("<u4", copy=False)) != sums[k]:
                         raise ValueError(f"block {part.column('seq')[k]} of part {part.column('part')[k]} is damaged")
                     yield part, k, ids
 
@@ -460,10 +597,11 @@ def read_checksums(spark, path: str) -> DataFrame:
             return batch
 
         for part, k, ids in decode(batches):
-            place, seq, at = part.column("part")[k].as_py(), part.column("seq")[k].as_py(), 0
-            data = ids.astype("<u4").tobytes()
-            for doc, size in zip(part.column("docs")[k].as_py(), part.column("sizes")[k].as_py(), strict=True):
-                for column, value in zip(out, (place, doc, seq, size, zlib.crc32(data[4 * at : 4 * (at + size)])), strict=True):
+            if not k:
+                places, seqs, docs, sizes = (part.column(c).to_pylist() for c in ("part", "seq", "docs", "sizes"))
+            data, at = memoryview(ids.astype("<u4", copy=False)).cast("B"), 0
+            for doc, size in zip(docs[k], sizes[k], strict=True):
+                for column, value in zip(out, (places[k], doc, seqs[k], size, zlib.crc32(data[4 * at : 4 * (at + size)])), strict=True):
                     column.append(value)
                 at += size
             if len(out[0]) > 10_000:

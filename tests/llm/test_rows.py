@@ -75,6 +75,58 @@ def test_repeated_ids_take_little_room():
     assert len(id_coder.encode_blocks([block])[0]) < len(block) * 2 / 10
 
 
+def test_words_that_keep_coming_are_encoded_once():
+    encoder, asked = id_coder._Encoder(PATH, 200), []
+    library = encoder.coder
+
+    class Counted:
+        model = property(lambda self: self)
+
+        def tokenize(self, text):
+            asked.append(text)
+            return library.model.tokenize(text)
+
+        def encode(self, text, **how):
+            asked.append(text)
+            return library.encode(text, **how)
+
+        def encode_batch_fast(self, texts, **how):
+            asked.extend(texts)
+            return library.encode_batch_fast(texts, **how)
+
+    encoder.coder = Counted()
+    for k in range(60):
+        text = " ".join(f"rare{'abcdefghij'[k % 10]}{'klmnopqrst'[n % 10]}{'uvwxyzabcd'[k // 10]}{n} oftenseen{' .,;'[n % 4]}" for n in range(30))
+        ids, lengths = encoder.encode([text, ""], 0)
+        assert ids.tolist() == [*library.encode(text, add_special_tokens=False).ids, 0, 0] and lengths.tolist() == [len(ids) - 1, 1]
+    assert sum("oftenseen" in a for a in asked) == 1
+
+
+def test_chunks_are_those_of_the_library(library):
+    rng = np.random.default_rng(5)
+    parts = [" ", "  ", "\n", " \n", "\t", "\u2003", "\u3000", "a", "foo", "Bar", "\u00e9", "e\u0301", "'s", "'", "'ll", "1", "23", ".", ",", "!?", "$$", "%", "\u2026"]
+    parts += ["\u4e2d", "\u044f", "\U0001f600", "<|endoftext|>", "<|", "\x85", "\x1c", "\u200b", "\u00aa", "\u00d7", "\u00f7", "\u01c5", "_", "-", "\u2019", "\ufeff", "\u0663"]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 12))) for _ in range(3000)]
+    for encoder in (id_coder._Encoder(PATH), id_coder._Encoder(PATH, 50)):
+        ids, lengths = encoder.encode(texts, 0)
+        for text, got in zip(texts, np.split(ids, np.cumsum(lengths)[:-1]), strict=True):
+            assert got.tolist() == [*library.encode(text, add_special_tokens=False).ids, 0], repr(text)
+
+
+def test_carries_go_through_full_words():
+    # Likely ids and unlikely ones in turn move the range coder's low end over all its places.
+    rng = np.random.default_rng(9)
+    blocks = [np.where(rng.random(1024) < share, 7, rng.integers(0, 1 << 17, 1024)).astype(np.int32) for share in np.linspace(0, 1, 300)]
+    back = id_coder.decode_blocks(id_coder.encode_blocks(blocks), np.array([1024] * 300))
+    assert all((a == b).all() for a, b in zip(blocks, back, strict=True))
+
+
+def test_unforeseen_ids_of_one_magnitude_cost_their_bits():
+    ids = np.random.default_rng(1).integers(16_380, 32_764, 4096).astype(np.int32)  # 14 bits each
+    payloads = id_coder.encode_blocks([ids])
+    assert len(payloads[0]) * 8 < 14.2 * len(ids)
+
+
 def test_joined_crc():
     parts = [b"hello", b"", b"x" * 70_000, b"\x00\x00"]
     assert id_coder.joined_crc([(zlib.crc32(p), len(p)) for p in parts]) == zlib.crc32(b"".join(parts))
