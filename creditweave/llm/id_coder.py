@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
-from creditweave.llm.common import CHUNKS, UNICODE_SPACE, pieces
+from creditweave.llm.common import CHUNKS, UNICODE_SPACE, free_memory, pieces
 from creditweave.session import scratch_dir
 
 #: Ids in a block, and blocks coded in step.
@@ -218,15 +218,17 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         out[every_at] = (every_low >> _U64(shift)) & _U64(0xFFFF)
         every_at += 1
     sizes = every_at - np.arange(lanes) * room
+    del model, ids  # the words need the room
     words = out.reshape(lanes, room)[:, : int(sizes.max(initial=0))]
-    carried = np.arange(lanes)
-    while len(carried):
-        part = words[carried]
-        carry = part >> 16
-        part &= 0xFFFF
-        part[:, :-1] += carry[:, 1:]
-        words[carried] = part
-        carried = carried[carry.any(axis=1)]
+    for first in range(0, lanes, 512):
+        carried = np.arange(first, min(first + 512, lanes))
+        while len(carried):
+            part = words[carried]
+            carry = part >> 16
+            part &= 0xFFFF
+            part[:, :-1] += carry[:, 1:]
+            words[carried] = part
+            carried = carried[carry.any(axis=1)]
     back: list[bytes] = [b""] * lanes
     for column, k in enumerate(order):
         back[k] = words[column, 1 : sizes[column]].astype("<u2").tobytes()
@@ -546,6 +548,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) -> No
                     yield from blocks(False)
             done = number
         yield from blocks(True)
+        free_memory()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
     ordered = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
@@ -556,6 +559,7 @@ def _decoded(blocks: DataFrame) -> Iterator:
     """``part, seq, ids, docs, sizes`` of block rows; a block that fails its checksum raises."""
 
     def run(batches):
+        _encoder.cache_clear()  # a worker that wrote has known chunks, which reading does not need
         for batch in batches:
             for first in range(0, batch.num_rows, LANES):
                 part = batch.slice(first, LANES)
