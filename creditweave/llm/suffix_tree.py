@@ -6,25 +6,28 @@ the entries it adds cost. A state stores the words it predicts differently, disc
 to the shorter context. Each token is scored in the longest state that its preceding words have.
 
 How often a context or an entry must occur is fixed, so the tree grows with the input. Counts, states and
-entries are Spark tables throughout. While they hold at most ``max_local`` rows, tasks look them up in sorted
-arrays; beyond that tokens meet them in joins. Both ways count and score the same.
+entries are Spark tables throughout. While they hold at most ``max_local`` rows, tasks keep them as sorted arrays;
+beyond that each table is cut into parts by key, and a task takes some million tokens past one part after the
+other. Tokens are never shuffled. Both ways count and score the same.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditweave.llm.common import written
+from creditweave.llm.common import free_memory, written
 from creditweave.llm.shingles import batch_words, mix
 
 #: Occurrences that a context needs to become a state, and a sequence to become an entry, at any size.
 CONTEXT_LEAST, ENTRY_LEAST = 64, 16
-#: Rows of a table that tasks may hold as arrays: 100 MB of keys, numbers and places.
+#: Rows of tables that tasks may keep as arrays, 100 MB of keys, numbers and places; a part of a larger table has a quarter.
 MAX_LOCAL = 4_000_000
 #: An entry's probability differs from the shorter context's by this factor at least.
 RATIO = 1.5
@@ -32,6 +35,10 @@ DISCOUNT = 0.5
 _END = np.uint64(0x5F3759DF5F3759DF)
 _LEFT = np.uint64(0x9E3779B97F4A7C15)
 _MOST_KEYS = 4_000_000
+#: Tokens that go past the parts of a table at once, and bytes of the batches they come from.
+_HELD_TOKENS, _HELD_BYTES = 2_000_000, 1 << 23
+_BLOCK = 1 << 18
+_BATCH_ROWS, _BATCH_SETTING = 1_000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 @dataclass
@@ -75,13 +82,110 @@ class _Keys:
         return at
 
 
+class _Parts:
+    """A table by 64-bit key in tasks, as sorted arrays; beyond ``most`` rows in parts that are there one at a time."""
+
+    def __init__(self, table: DataFrame, key: str, value: str, most: int, keep: bool, of=lambda values: values):
+        context, rows = table.sparkSession.sparkContext, table.count()
+        self.keep, self.shared, self.begins = keep, [], [0]
+        self.mask = 0 if rows <= most else (1 << (-(-rows // max(most, 64)) - 1).bit_length()) - 1
+        for part in range(self.mask + 1):
+            mine = table.filter(F.col(key).bitwiseAND(F.lit(self.mask).cast("long")) == part) if self.mask else table
+            keys, values = _pulled(mine, key, value)
+            self.shared.append(context.broadcast((_Keys(keys), of(values))))
+            self.begins.append(self.begins[-1] + len(keys))
+
+    def _part(self, part: int) -> tuple[_Keys, np.ndarray]:
+        shared = self.shared[part]
+        loaded = shared.value
+        if not self.keep and "_path" in vars(shared):  # it can be read from its file again
+            vars(shared).pop("_value", None)
+        return loaded
+
+    def meet(self, keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Part by part: which of the ``keys`` are in the table, the places they have there, and their values."""
+        if not self.mask:
+            order, bounds = None, [0, len(keys)]
+        else:
+            part = (keys & np.uint64(self.mask)).astype(np.uint16 if self.mask < 1 << 16 else np.uint64)
+            order = np.argsort(part, kind="stable")
+            bounds = np.searchsorted(part[order], np.arange(self.mask + 2))
+        for k in range(self.mask + 1):
+            if bounds[k] == bounds[k + 1]:
+                continue
+            known, values = self._part(k)
+            mine = None if order is None else order[bounds[k] : bounds[k + 1]]
+            at = known.find(keys if mine is None else keys[mine])
+            there = np.flatnonzero(at >= 0)
+            at = at[there]
+            yield there if mine is None else mine[there], at + np.int64(self.begins[k]), values[at]
+            known = values = None
+
+    def keys_at(self, places: np.ndarray) -> np.ndarray:
+        out = np.empty(len(places), np.uint64)
+        for k in range(self.mask + 1):
+            mine = np.flatnonzero((places >= self.begins[k]) & (places < self.begins[k + 1]))
+            if len(mine):
+                out[mine] = self._part(k)[0].keys[places[mine] - self.begins[k]]
+        return out
+
+    def destroy(self) -> None:
+        for shared in self.shared:
+            shared.destroy()
+
+
 def _token_runs(column: pa.Array):
     """For runs of rows: tokens with an end after each row, each token's place in its row, and the rows' lengths."""
     for hashes, bounds in batch_words(column):
         tokens = np.insert(hashes, bounds[:, 1], _END)
         lengths = bounds[:, 1] - bounds[:, 0] + 1
         starts = np.cumsum(lengths) - lengths
-        yield tokens, np.arange(len(tokens)) - np.repeat(starts, lengths), lengths
+        yield tokens, (np.arange(len(tokens)) - np.repeat(starts, lengths)).astype(np.int32), lengths
+
+
+def _held_runs(columns: Iterable[pa.Array], least: int):
+    """The runs of the columns, put together until they have ``least`` tokens."""
+    held, size = [], 0
+    for column in columns:
+        for run in _token_runs(column):
+            held.append(run)
+            size += len(run[0])
+            if size >= least:
+                run = tuple(map(np.concatenate, zip(*held, strict=True))) if held[1:] else run
+                held, size = [], 0
+                yield run
+    if held:
+        yield tuple(map(np.concatenate, zip(*held, strict=True)))
+
+
+def _held_batches(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """The batches, put together until they have ``least`` bytes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= least:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """At most a thousand texts go to Python at once: the buffers of ten thousand are much of an executor's memory."""
+    before = spark.conf.get(_BATCH_SETTING)
+    if not 0 < int(before) <= _BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, str(_BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_SETTING, before)
+
+
+def _free_shuffles(spark: SparkSession) -> None:
+    """Shuffle files go when the driver's JVM finds nobody needs them; this lets it look, after a large shuffle is used up."""
+    spark.sparkContext._jvm.System.gc()
 
 
 def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -92,7 +196,8 @@ def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 def _longer(keys: np.ndarray) -> np.ndarray:
     """Keys of the sequences one word longer that end at each token; the first is none."""
     out = np.zeros_like(keys)
-    out[1:] = _joined(keys[:-1], keys[1:])
+    for at in range(0, len(keys) - 1, _BLOCK):
+        out[at + 1 : at + 1 + _BLOCK] = _joined(keys[:-1][at : at + _BLOCK], keys[at + 1 : at + 1 + _BLOCK])
     return out
 
 
@@ -126,13 +231,15 @@ class _Counter:
         if not self.pending:
             return
         keys, counts = np.unique(np.concatenate(self.pending), return_counts=True)
-        both = np.concatenate([self.keys, keys])
-        weight = np.concatenate([self.counts, counts])
         self.pending, self.held = [], 0
-        order = np.argsort(both, kind="stable")
-        both, weight = both[order], weight[order]
-        first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))[: len(both)]
-        self.keys, self.counts = both[first], np.add.reduceat(weight, first) if len(both) else weight
+        at = np.searchsorted(self.keys, keys)
+        old = np.flatnonzero(at < len(self.keys))
+        old = old[self.keys[at[old]] == keys[old]]
+        self.counts[at[old]] += counts[old]
+        new = np.ones(len(keys), bool)
+        new[old] = False
+        at = at[new]
+        self.keys, self.counts = np.insert(self.keys, at, keys[new]), np.insert(self.counts, at, counts[new])
 
     def batches(self):
         self.merge()
@@ -141,17 +248,19 @@ class _Counter:
         self.keys, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
 
-def _counted(texts: DataFrame, keys_of) -> DataFrame:
+def _counted(texts: DataFrame, keys_of, held: int = 0) -> DataFrame:
     """``k, n``: counts of what ``keys_of(tokens, place)`` gives, added up in each task before the shuffle."""
 
     def run(batches):
         counter = _Counter()
-        for batch in batches:
-            for tokens, place, _ in _token_runs(batch.column(0)):
-                yield from counter.add(keys_of(tokens, place))
+        for tokens, place, _ in _held_runs((batch.column(0) for batch in batches), held):
+            yield from counter.add(keys_of(tokens, place))
         yield from counter.batches()
+        del counter
+        free_memory()
 
-    return texts.select("text").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
+    # Tasks have added up; to do it once more in the JVM before the shuffle would cost its memory and spare no row.
+    return texts.select("text").mapInArrow(run, "k long, n long").repartition("k").groupBy("k").agg(F.sum("n").alias("n"))
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -167,48 +276,42 @@ def _pulled(table: DataFrame, key: str, value: str | None = None) -> tuple[np.nd
     return keys[order], rows.column(1).to_numpy()[order] if value else None
 
 
-def _pair_counts(texts: DataFrame, length: int) -> DataFrame:
-    """``ctx, short, n`` of all sequences of ``length`` words: without its last word, and without its first."""
-
-    def run(batches):
-        for batch in batches:
-            for tokens, place, _ in _token_runs(batch.column(0)):
-                short = _sequences(tokens, length - 1)
-                there = place >= length - 1
-                ctx, short = _shifted(short)[there], short[there]
-                _, first, n = np.unique(_joined(ctx, short), return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(ctx[first].view(np.int64)), pa.array(short[first].view(np.int64)), pa.array(n)], ["ctx", "short", "n"])
-
-    return texts.select("text").mapInArrow(run, "ctx long, short long, n long").groupBy("ctx", "short").agg(F.sum("n").alias("n"))
-
+def _sequence_counts(texts: DataFrame, known: DataFrame, length: int, max_local: int) -> DataFrame:
+    """``ctx, short, n, key`` of the frequent sequences: the parts without its last word and without its first are ``known``.
 
-def _indexed_counts(texts: DataFrame, length: int, known: _Keys, is_context: np.ndarray) -> DataFrame:
-    """The same for sequences whose parts are ``known``; their places there make one number to shuffle."""
-    shared = texts.sparkSession.sparkContext.broadcast((known, is_context))
+    The places of both parts among the known make one number to shuffle.
+    """
+    # A task holds its counts besides, so only half as much is kept here.
+    spark, most = texts.sparkSession, max_local // 2
+    keep = known.count() <= most
+    parts = _Parts(known.select("key", (F.col("n") >= CONTEXT_LEAST).alias("is_context")), "key", "is_context", most if keep else most // 2, keep)
 
     def keys_of(tokens, place):
-        known, is_context = shared.value
-        at = known.find(_sequences(tokens, length - 1))
-        # A place of -1 takes the last flag, but such parts are left out.
-        good = (place[1:] >= length - 1) & (at[:-1] >= 0) & (at[1:] >= 0) & is_context[at[:-1]]
-        return (at[:-1][good].astype(np.int64) << 32) | at[1:][good]
+        shorter = _sequences(tokens, length - 1)
+        at, is_context = np.full(len(tokens), -1, np.int32), np.zeros(len(tokens), bool)
+        for there, places, flags in parts.meet(shorter):
+            at[there], is_context[there] = places, flags
+        good = np.flatnonzero((place[1:] >= length - 1) & is_context[:-1] & (at[1:] >= 0))
+        pairs = at[good].astype(np.int64)
+        pairs <<= 32
+        good += 1
+        pairs |= at[good]
+        return pairs
 
     def spelled(batches):
-        known = shared.value[0].keys.view(np.int64)
-        for batch in batches:
+        for batch in _held_batches(batches, 0 if keep else _HELD_BYTES):
             k = batch.column(0).to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(known[k >> 32]), pa.array(known[k & 0xFFFFFFFF]), batch.column(1)], ["ctx", "short", "n"])
+            ctx, short = parts.keys_at(k >> 32), parts.keys_at(k & 0xFFFFFFFF)
+            columns = [pa.array(a.view(np.int64)) for a in (ctx, short, _joined(ctx, short))]
+            yield pa.RecordBatch.from_arrays([*columns[:2], batch.column(1), columns[2]], ["ctx", "short", "n", "key"])
 
-    return _counted(texts, keys_of).filter(F.col("n") >= ENTRY_LEAST).mapInArrow(spelled, "ctx long, short long, n long")
-
-
-def _with_key(counts: DataFrame) -> DataFrame:
-    def run(batches):
-        for batch in batches:
-            ctx, short = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_joined(ctx, short).view(np.int64))], ["ctx", "short", "n", "key"])
-
-    return counts.mapInArrow(run, "ctx long, short long, n long, key long")
+    counts = _counted(texts, keys_of, 0 if keep else _HELD_TOKENS).filter(F.col("n") >= ENTRY_LEAST)
+    # What is left is little: it is dealt anew, so that few tasks take up the parts.
+    counts = counts if keep else counts.repartition("k")
+    found = written(spark, counts.mapInArrow(spelled, "ctx long, short long, n long, key long"), f"counts-{length}")
+    parts.destroy()
+    _free_shuffles(spark)
+    return found
 
 
 def _grams(texts: DataFrame, known: DataFrame, length: int, max_local: int) -> DataFrame:
@@ -217,13 +320,9 @@ def _grams(texts: DataFrame, known: DataFrame, length: int, max_local: int) -> D
     ``known`` (``key, n, final``) holds the sequences one word shorter, with their log-probabilities.
     """
     contexts = known.filter(F.col("n") >= CONTEXT_LEAST).select(F.col("key").alias("ctx"), F.col("n").alias("ctx_n"))
-    if 0 < known.count() <= max_local:
-        keys, n = _pulled(known, "key", "n")
-        counts = _indexed_counts(texts, length, _Keys(keys), n >= CONTEXT_LEAST)
-    else:
-        counts = _pair_counts(texts, length).filter(F.col("n") >= ENTRY_LEAST)
     parents = known.select(F.col("key").alias("short"), F.col("final").alias("parent"))
-    return _with_key(counts).join(contexts, "ctx").join(parents, "short").select("key", "n", "ctx_n", "parent", "ctx")
+    counts = _sequence_counts(texts, known, length, max_local)
+    return counts.join(contexts, "ctx").join(parents, "short").select("key", "n", "ctx_n", "parent", "ctx")
 
 
 def _states(grams: DataFrame) -> DataFrame:
@@ -263,44 +362,44 @@ def train(texts: DataFrame, vocabulary: DataFrame, depth: int = 4, max_local: in
     return tree
 
 
-def _local_parts(rows: DataFrame, tree: SuffixTree, max_local: int) -> DataFrame:
+def _scored(rows: DataFrame, tree: SuffixTree, max_local: int) -> DataFrame:
     """Sums by row with the tree in arrays, and the words whose counts are not in them."""
-    context = rows.sparkSession.sparkContext
-    # At most max_local words have such a share of all tokens.
-    least = max(ENTRY_LEAST, tree.train_tokens // max(max_local, 1) + 1)
-    words, counts = _pulled(tree.vocabulary.filter(F.col("n") >= least), "k", "n")
-    levels = []
-    for level in tree.levels:
-        (states, rest), (entries, entry_logs) = _pulled(level.states, "ctx", "rest"), _pulled(level.entries, "key", "log")
-        levels.append((_Keys(states), rest, _Keys(entries), entry_logs))
-    shared = context.broadcast((_Keys(words), np.append(np.log10(counts + 1.0), 0.0), levels))
-    log_total = tree.log_total
+    spark = rows.sparkSession
+    words = tree.vocabulary.filter(F.col("n") >= ENTRY_LEAST)
+    tables = [(words, "k", "n"), *(t for level in tree.levels for t in ((level.states, "ctx", "rest"), (level.entries, "key", "log")))]
+    keep = sum(table.count() for table, _, _ in tables) <= max_local
+    most = max_local if keep else max_local // 4
+    words, *levels = [_Parts(*t, most, keep, *([lambda n: np.log10(n + 1.0)] if t is tables[0] else [])) for t in tables]
+    levels = list(zip(levels[::2], levels[1::2], strict=True))
+    held, log_total = 0 if keep else _HELD_TOKENS, tree.log_total
 
     def run(batches):
-        words, logs, levels = shared.value
-        for batch in batches:
+        for batch in _held_batches(batches, 0 if keep else _HELD_BYTES):
             out = [[] for _ in range(6)]
-            for tokens, place, lengths in _token_runs(batch.column(1)):
-                at = words.find(tokens)
-                base = logs[at] - log_total
+            for tokens, place, lengths in _held_runs([batch.column(1)], held):
+                base, known = np.full(len(tokens), -log_total), np.zeros(len(tokens), bool)
+                for there, _, logs in words.meet(tokens):
+                    base[there] += logs
+                    known[there] = True
                 total, hit = base.copy(), np.zeros(len(tokens), bool)
                 keys = tokens
-                for n, (states, rest, entries, entry_logs) in enumerate(levels, 1):
+                for n, (states, entries) in enumerate(levels, 1):
                     before, keys = _shifted(keys), _longer(keys)
-                    there = np.flatnonzero(place >= n)
-                    state = states.find(before[there])
-                    there, state = there[state >= 0], state[state >= 0]
-                    entry = entries.find(keys[there])
-                    total[there] += rest[state]
-                    found, entry = there[entry >= 0], entry[entry >= 0]
-                    total[found] = entry_logs[entry]
-                    hit[found] = True
+                    in_state = [np.zeros(0, np.int64)]
+                    for found, _, rest in states.meet(before):
+                        within = place[found] >= n
+                        in_state.append(found[within])
+                        total[in_state[-1]] += rest[within]
+                    there = np.concatenate(in_state)
+                    for found, _, logs in entries.meet(keys[there]):
+                        total[there[found]] = logs
+                        hit[there[found]] = True
                 starts = np.cumsum(lengths) - lengths
                 out[0].append(lengths)
-                out[1].append(np.add.reduceat((at >= 0).astype(np.int64), starts))
+                out[1].append(np.add.reduceat(known.astype(np.int64), starts))
                 out[2].append(np.add.reduceat(base, starts))
                 out[3].append(np.add.reduceat(total, starts))
-                rare = np.flatnonzero(at < 0)
+                rare = np.flatnonzero(~known)
                 cuts = np.searchsorted(rare, starts[1:])
                 out[4].extend(np.split(tokens[rare].view(np.int64), cuts))
                 out[5].extend(np.split(hit[rare], cuts))
@@ -313,7 +412,9 @@ def _local_parts(rows: DataFrame, tree: SuffixTree, max_local: int) -> DataFrame
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     parts = rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, n_local long, base double, model double, rare array<long>, hit array<boolean>")
-    parts = written(rows.sparkSession, parts.withColumn("row", F.monotonically_increasing_id()), "score-parts")
+    parts = written(spark, parts.withColumn("row", F.monotonically_increasing_id()), "score-parts")
+    for table in (words, *(t for level in levels for t in level)):
+        table.destroy()
     # Counts of the other words meet them by a join, then go back to their rows in sums.
     rare = parts.select("row", F.explode(F.arrays_zip("rare", "hit")).alias("r")).select("row", F.col("r.rare").alias("k"), F.col("r.hit").alias("hit"))
     log = F.log10(F.col("n") + 1.0)
@@ -326,37 +427,6 @@ def _local_parts(rows: DataFrame, tree: SuffixTree, max_local: int) -> DataFrame
     )
 
 
-def _joined_parts(rows: DataFrame, tree: SuffixTree) -> DataFrame:
-    """The same sums with one row for each token, which meets the tree's tables in joins."""
-    depth = len(tree.levels)
-    rows = written(rows.sparkSession, rows.withColumn("row", F.monotonically_increasing_id()), "score-rows")
-
-    def run(batches):
-        for batch in batches:
-            at = 0
-            row_ids = batch.column(1).to_numpy()
-            for tokens, place, lengths in _token_runs(batch.column(0)):
-                arrays = [pa.array(np.repeat(row_ids[at : at + len(lengths)], lengths)), pa.array(tokens.view(np.int64))]
-                at += len(lengths)
-                keys = tokens
-                for n in range(1, depth + 1):
-                    before, keys = _shifted(keys), _longer(keys)
-                    arrays += [pa.array(a.view(np.int64), mask=place < n) for a in (before, keys)]
-                yield pa.RecordBatch.from_arrays(arrays, ["row", "k", *(f"{s}{n}" for n in range(1, depth + 1) for s in ("c", "g"))])
-
-    pairs = "".join(f", c{n} long, g{n} long" for n in range(1, depth + 1))
-    tokens = rows.select("text", "row").mapInArrow(run, f"row long, k long{pairs}").join(tree.vocabulary, "k", "left")
-    tokens = tokens.withColumn("base", F.coalesce(F.log10(F.col("n") + 1.0), F.lit(0.0)) - tree.log_total).withColumn("model", F.col("base"))
-    for n, level in enumerate(tree.levels, 1):
-        tokens = tokens.join(level.states.withColumnRenamed("ctx", f"c{n}"), f"c{n}", "left").join(level.entries.withColumnRenamed("key", f"g{n}"), f"g{n}", "left")
-        model = F.when(F.col("rest").isNull(), F.col("model")).otherwise(F.coalesce("log", F.col("model") + F.col("rest")))
-        tokens = tokens.withColumn("model", model).drop("rest", "log", f"c{n}", f"g{n}")
-    sums = tokens.groupBy("row").agg(
-        F.count("*").alias("n_tokens"), F.count("n").alias("n_known"), F.sum("base").alias("base_score"), F.sum("model").alias("score")
-    )
-    return rows.select("row", "doc_id", "held_out").join(sums, "row").drop("row")
-
-
 def score(docs: DataFrame, is_training: Column, depth: int = 4, max_local: int = MAX_LOCAL) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row of ``docs``.
 
@@ -364,14 +434,15 @@ def score(docs: DataFrame, is_training: Column, depth: int = 4, max_local: int =
     ``score`` the tree's log10 probabilities; ``is_training`` (on ``doc_id``) marks the rows that both learn
     from. A null or empty text has the end alone. Every row gives a row; copies and shared ids get equal
     scores for equal texts. With nothing to learn from, N and V are 0. Other columns are left out.
-    Tables of more than ``max_local`` rows are joined, not held in tasks.
+    Tables of more than ``max_local`` rows are taken through tasks in parts, not held.
     """
     spark = docs.sparkSession
     texts = docs.filter(is_training).select("text")
-    vocabulary = written(spark, word_counts(texts), "word-counts")
-    tree = train(texts, vocabulary, depth, max_local)
     rows = docs.select("doc_id", "text", (~is_training).alias("held_out"))
-    size = sum(level.states.count() + level.entries.count() for level in tree.levels)
-    scored = _local_parts(rows, tree, max_local) if size <= max_local else _joined_parts(rows, tree)
+    with _small_batches(spark):
+        vocabulary = written(spark, word_counts(texts), "word-counts")
+        _free_shuffles(spark)
+        tree = train(texts, vocabulary, depth, max_local)
+        scored = _scored(rows, tree, max_local)
     n_tokens = F.lit(tree.train_tokens).cast("long").alias("train_tokens")
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", n_tokens, "base_score", "score")

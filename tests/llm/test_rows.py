@@ -260,6 +260,25 @@ def test_suffix_tree_against_brute_force(spark, chained, max_local):
     assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == base
 
 
+def test_suffix_tree_sends_no_token_rows(spark, chained, monkeypatch):
+    """With tables of more than ``max_local`` rows too, tasks hand on counts and sums by row, not a row for each token."""
+    sent, frame = spark.sparkContext.accumulator(0), type(spark.range(1))
+    original = frame.mapInArrow
+
+    def counted(self, func, schema, *other):
+        def run(batches):
+            for batch in func(batches):
+                sent.add(batch.num_rows)
+                yield batch
+
+        return original(self, run, schema, *other)
+
+    monkeypatch.setattr(frame, "mapInArrow", counted)
+    docs = spark.createDataFrame(chained, "doc_id long, text string").repartition(4)
+    got = suffix_tree.score(docs, remainder(F.col("doc_id"), 7) != 2, max_local=100).collect()
+    assert 0 < sent.value < sum(r.n_tokens for r in got) / 4
+
+
 def test_suffix_tree_states_are_distributions(chained):
     """In every retained state the probabilities of all words, the unknown one among them, add up to one."""
     _, states, prob, words = brute_tree([t for _, t in chained], 4)
