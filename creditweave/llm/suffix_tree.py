@@ -7,7 +7,7 @@ to the shorter context. Each token is scored in the longest state that its prece
 
 How often a context or an entry must occur is fixed, so the tree grows with the input. Counts, states and
 entries are Spark tables throughout. While they hold at most ``max_local`` rows, tasks keep them as sorted arrays;
-beyond that each table is cut into parts by key, and a task takes some million tokens past one part after the
+beyond that each table is cut into parts by key, and a task takes a million tokens past one part after the
 other. Tokens are never shuffled. Both ways count and score the same.
 """
 
@@ -36,7 +36,7 @@ _END = np.uint64(0x5F3759DF5F3759DF)
 _LEFT = np.uint64(0x9E3779B97F4A7C15)
 _MOST_KEYS = 4_000_000
 #: Tokens that go past the parts of a table at once, and bytes of the batches they come from.
-_HELD_TOKENS, _HELD_BYTES = 2_000_000, 1 << 23
+_HELD_TOKENS, _HELD_BYTES = 1_000_000, 1 << 22
 _BLOCK = 1 << 18
 _BATCH_ROWS, _BATCH_SETTING = 1_000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 
@@ -222,7 +222,7 @@ class _Counter:
     def add(self, keys: np.ndarray):
         self.pending.append(keys)
         self.held += len(keys)
-        if self.held > max(1 << 20, len(self.keys)):
+        if self.held > max(1 << 19, len(self.keys) // 2):
             self.merge()
             if len(self.keys) > _MOST_KEYS:
                 yield from self.batches()
